@@ -227,3 +227,64 @@ RUN_LOG = struct(
     sheet_name=S,
     logged_at=TS,
 )
+
+# -- staging tables ----------------------------------------------------------
+
+STAGING = {
+    "stripe_charges": RAW["stripe_charges"],
+    "paypal_transactions": RAW["paypal_transactions"],
+    "google_ads_performance": struct(
+        date=D,
+        customer_id=S,
+        clicks=I,
+        impressions=I,
+        cost_usd=DecimalType(20, 2),
+        conversions=F,
+        cost_per_conversion_usd=F,
+    ),
+    "facebook_ads_performance": RAW["facebook_ads"],
+    "analytics_sessions": struct(
+        date=D,
+        session_source=S,
+        session_medium=S,
+        country=S,
+        sessions=I,
+        page_views=I,
+        bounce_rate=F,
+        conversions=F,
+    ),
+    "sheet_inventory": struct(
+        sku_id=S,
+        sku_name=S,
+        program_id=S,
+        quantity_on_hand=I,
+        reorder_threshold=I,
+        reorder_quantity=I,
+        unit_cost_usd=N,
+        units_per_student=N,
+        snapshot_date=D,
+        loaded_at=TS,
+    ),
+    "sheet_programs": struct(
+        program_id=S,
+        program_name=S,
+        program_code=S,
+        duration_weeks=I,
+        max_enrollment=I,
+        is_active=B,
+        loaded_at=TS,
+    ),
+    "sheet_students": struct(
+        student_id=S,
+        first_name=S,
+        last_name=S,
+        email=S,
+        phone=S,
+        program_id=S,
+        enrollment_status=S,
+        enrolled_at=D,
+        expected_grad_date=D,
+        actual_grad_date=D,
+        loaded_at=TS,
+    ),
+}

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.calc import in_range
 from ledgerline.functions.casts import (
     iso_date,
     money,
@@ -16,7 +17,7 @@ from ledgerline.functions.casts import (
     whole_number,
 )
 from ledgerline.sources.landed import empty_if_null, kept_columns
-from ledgerline.sources.records import Field, parse_fields
+from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 # The vendor's names of the three counted actions.
 ACTION_COLUMNS = {
@@ -32,7 +33,7 @@ def unpack(insights: DataFrame) -> DataFrame:
 
 
 def in_window(start: date, end: date) -> Column:
-    return F.col("date_start").between(start.isoformat(), end.isoformat())
+    return unreadable_or(in_range(iso_date(F.col("date_start")), start, end))
 
 
 def parse(rows: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
+from ledgerline.functions.calc import in_range
 from ledgerline.functions.casts import iso_date, real_number, refused, whole_number
-from ledgerline.sources.landed import LANDED_DATE, kept_columns
-from ledgerline.sources.records import Field, parse_fields
+from ledgerline.sources.landed import kept_columns
+from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 
 def flatten_struct(rows: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def on_day(day: date) -> Column:
 
 
 def in_window(start: date, end: date) -> Column:
-    return F.col("`segments.date`").between(start.isoformat(), end.isoformat())
+    return unreadable_or(in_range(iso_date(F.col("`segments.date`")), start, end))
 
 
 def parse(rows: DataFrame) -> DataFrame:
@@ -62,5 +63,3 @@ def parse(rows: DataFrame) -> DataFrame:
     ]
     return parse_fields(rows, fields, kept_columns(rows))
 
-
-__all__ = ["LANDED_DATE", "flatten_struct", "in_window", "on_day", "parse", "unpack"]

@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.calc import in_range
 from ledgerline.functions.casts import compact_date
 from ledgerline.sources.landed import empty_if_null, kept_columns
-from ledgerline.sources.records import Field, parse_fields
+from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ def unpack(reports: DataFrame, config: ReportConfig) -> DataFrame:
 
 
 def in_window(start: date, end: date) -> Column:
-    return F.col("date").between(start.strftime("%Y%m%d"), end.strftime("%Y%m%d"))
+    return unreadable_or(in_range(compact_date(F.col("date")), start, end))
 
 
 def parse(rows: DataFrame, config: ReportConfig) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import first_filled, iso_date, money, refused
 from ledgerline.sources.landed import LANDED_DATE, empty_if_null, kept_columns
-from ledgerline.sources.records import Field, parse_fields
+from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ssZ"
 
@@ -22,12 +22,14 @@ def unpack(pages: DataFrame) -> DataFrame:
 
 def in_window(start: date, end: date) -> Column:
     """Initiated from ``start`` 00:00:00 to ``end`` 23:59:59, at offset -0000."""
-    instant = F.try_to_timestamp(
-        F.col("transaction_info.transaction_initiation_date"), F.lit(INSTANT_FORMAT)
+    initiated = F.col("transaction_info.transaction_initiation_date")
+    instant = F.coalesce(
+        F.try_to_timestamp(initiated, F.lit(INSTANT_FORMAT)),
+        initiated.try_cast("timestamp"),
     )
-    midnight = F.lit(f"{start.isoformat()}T00:00:00Z").cast("timestamp")
-    next_midnight = F.lit(f"{(end + timedelta(days=1)).isoformat()}T00:00:00Z")
-    return (instant >= midnight) & (instant < next_midnight.cast("timestamp"))
+    first = F.lit(f"{start.isoformat()}T00:00:00Z").cast("timestamp")
+    after = F.lit(f"{(end + timedelta(days=1)).isoformat()}T00:00:00Z")
+    return unreadable_or((instant >= first) & (instant < after.cast("timestamp")))
 
 
 def parse(transactions: DataFrame) -> DataFrame:

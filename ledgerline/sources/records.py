@@ -40,6 +40,11 @@ def parse_fields(rows: DataFrame, fields: list[Field], keep: list[str]) -> DataF
     )
 
 
+def unreadable_or(in_window: Column) -> Column:
+    """Keep rows whose date cannot be read, so that the parser refuses them."""
+    return F.coalesce(in_window, F.lit(True))
+
+
 def accept(parsed: DataFrame, label: str) -> DataFrame:
     """Typed columns only; any refused record fails the job with its text."""
     message = F.concat(

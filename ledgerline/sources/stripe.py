@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.calc import cents_to_dollars, epoch_bounds, epoch_to_date
 from ledgerline.functions.casts import first_filled, refused, whole_number
 from ledgerline.sources.landed import LANDED_DATE, kept_columns
-from ledgerline.sources.records import Field, parse_fields
+from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 
 def unpack(pages: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def unpack(pages: DataFrame) -> DataFrame:
 def in_window(start: date, end: date) -> Column:
     """Charges created in the UTC days ``start`` to ``end``, both inclusive."""
     first, last = epoch_bounds(start, end)
-    return whole_number(F.col("created")).between(first, last)
+    return unreadable_or(whole_number(F.col("created")).between(first, last))
 
 
 def parse(charges: DataFrame) -> DataFrame:
