@@ -61,7 +61,7 @@ def _contains() -> Column:
     """The LIKE condition; plain names skip the pattern matcher."""
     return F.when(
         F.col("has_wildcard"),
-        F.col("subject_text").like(F.concat(F.lit("%"), "needle", F.lit("%"))),
+        F.like("subject_text", F.concat(F.lit("%"), "needle", F.lit("%"))),
     ).otherwise(F.contains("subject_text", "needle"))
 
 
@@ -85,7 +85,7 @@ def _match_by_piece(payments: DataFrame, programs: DataFrame) -> DataFrame:
         F.explode(_subject_pieces(F.col("subject_text"))).alias("piece"),
     )
     spread = filed.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint")
+        "salt", F.explode(F.array([F.lit(n).cast("bigint") for n in range(SALTS)]))
     )
     pairs = (
         looked_up.join(spread, ["piece", "salt"])

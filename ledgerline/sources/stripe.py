@@ -78,14 +78,15 @@ def page_report(pages: DataFrame) -> DataFrame:
         F.try_element_at("data", F.lit(-1))["id"].alias("last_id"),
         "has_more",
     )
-    ends = linked.where(F.col("last_id").isNotNull()).select(LANDED_DATE, "last_id")
-    cursors = linked.where(F.col("starting_after").isNotNull())
-    lost = cursors.join(
-        ends,
-        (cursors["starting_after"] == ends["last_id"])
-        & (cursors[LANDED_DATE] == ends[LANDED_DATE]),
-        "left_anti",
-    ).select(LANDED_DATE, *_marks(broken=F.lit(1)))
+    # The cursor that a page after this one would carry.
+    ends = linked.where(F.col("last_id").isNotNull()).select(
+        LANDED_DATE, F.col("last_id").alias("starting_after")
+    )
+    lost = (
+        linked.where(F.col("starting_after").isNotNull())
+        .join(ends, [LANDED_DATE, "starting_after"], "left_anti")
+        .select(LANDED_DATE, *_marks(broken=F.lit(1)))
+    )
     counted = linked.select(
         LANDED_DATE,
         *_marks(
