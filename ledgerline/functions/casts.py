@@ -37,13 +37,15 @@ def truncated_number(text: Column) -> Column:
 
 def iso_date(text: Column) -> Column:
     """``yyyy-MM-dd`` and nothing else: no times, no one-digit months."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d\z"), text.try_cast("date"))
 
 
 def compact_date(text: Column) -> Column:
     """``yyyyMMdd``; the day may have one digit."""
-    dashed = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{1,2})$", "$1-$2-$3")
-    return F.when(text.rlike(r"^\d{7,8}$"), F.try_to_date(dashed, "yyyy-MM-d"))
+    dashed = F.concat_ws(
+        "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+    )
+    return F.when(text.rlike(r"^\d{7,8}\z"), dashed.try_cast("date"))
 
 
 def first_filled(*texts: Column) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.sizing import NESTED_LOOP_LIMIT, SizeLimit, fits
+from ledgerline.session import ensure_checkpoint_dir
 
 UNKNOWN = "unknown"
 PIECE_LENGTH = 3
@@ -72,6 +73,10 @@ def _match_by_broadcast(payments: DataFrame, programs: DataFrame) -> DataFrame:
 
 
 def _match_by_piece(payments: DataFrame, programs: DataFrame) -> DataFrame:
+    # Read three times below, so the aggregated payments and the programs are
+    # written once to the checkpoint folder instead of computed again.
+    ensure_checkpoint_dir(payments.sparkSession)
+    payments, programs = payments.checkpoint(), programs.checkpoint()
     subjects = (
         payments.where(F.col("transaction_subject").isNotNull())
         .select("transaction_subject")

@@ -36,8 +36,9 @@ def instant(name: str) -> Column:
 
 
 def day(name: str) -> Column:
-    """A date, or its ISO text; any other text fails the job."""
-    return F.to_date(F.col(name).cast("string"), "yyyy-MM-dd")
+    """A date, or its ISO text.  On a date the cast is none, so filters on the
+    column still prune folders."""
+    return F.col(name).cast("date")
 
 
 def flag(name: str) -> Column:
@@ -66,7 +67,7 @@ def stripe_charges(raw: DataFrame, start: date, end: date) -> DataFrame:
         raw,
         {
             **_same(text, "charge_id"),
-            **_same(_date_column, "charge_date"),
+            **_same(day, "charge_date"),
             **_same(
                 numeric,
                 "gross_amount_usd",
@@ -93,7 +94,7 @@ def paypal_transactions(raw: DataFrame, start: date, end: date) -> DataFrame:
         raw,
         {
             **_same(text, "transaction_id"),
-            **_same(_date_column, "transaction_date"),
+            **_same(day, "transaction_date"),
             **_same(numeric, "gross_amount_usd"),
             **_same(
                 text,
@@ -115,7 +116,7 @@ def google_ads_performance(raw: DataFrame, start: date, end: date) -> DataFrame:
     return _select(
         raw,
         {
-            **_same(_date_column, "date"),
+            **_same(day, "date"),
             **_same(text, "customer_id"),
             **_same(whole, "clicks", "impressions"),
             "cost_usd": cost,
@@ -131,7 +132,7 @@ def facebook_ads_performance(raw: DataFrame, start: date, end: date) -> DataFram
     return _select(
         raw,
         {
-            **_same(_date_column, "date"),
+            **_same(day, "date"),
             **_same(text, "campaign_id", "campaign_name"),
             **_same(whole, "impressions", "clicks"),
             **_same(numeric, "spend_usd"),
@@ -147,7 +148,7 @@ def analytics_sessions(raw: DataFrame, start: date, end: date) -> DataFrame:
     return _select(
         raw,
         {
-            **_same(_date_column, "date"),
+            **_same(day, "date"),
             "session_source": text("sessionSource"),
             "session_medium": text("sessionMedium"),
             "country": text("country"),
@@ -206,7 +207,3 @@ def sheet_students(raw: DataFrame, start: date, end: date) -> DataFrame:
         },
     ).where(in_range(F.col("enrolled_at"), start, end))
 
-
-def _date_column(name: str) -> Column:
-    # Already typed by the parser: a plain cast keeps the folder filter usable.
-    return F.col(name).cast("date")

@@ -65,6 +65,12 @@ STRIPE_PAGE = struct(
     starting_after=S, data=ArrayType(STRIPE_CHARGE), has_more=BooleanType()
 )
 
+# What the completeness checks read of a page.
+STRIPE_PAGE_LINKS = struct(
+    starting_after=S, data=ArrayType(texts("id")), has_more=BooleanType()
+)
+PAYPAL_PAGE_NUMBERS = struct(page=LongType(), total_pages=LongType())
+
 AMOUNT = texts("value", "currency_code")
 PAYPAL_TRANSACTION = struct(
     transaction_info=struct(

@@ -27,8 +27,8 @@ def in_window(start: date, end: date) -> Column:
 def parse(charges: DataFrame) -> DataFrame:
     # An expanded balance transaction arrives as an object, an unexpanded one
     # as its id; only the object carries fee and net.
-    balance = F.from_json("balance_transaction", "fee string, net string")
-    staged = charges.withColumn("balance", balance)
+    balance = F.json_tuple("balance_transaction", "fee", "net")
+    staged = charges.select("*", balance.alias("balance_fee", "balance_net"))
     col = F.col
     created = whole_number(col("created"))
 
@@ -48,8 +48,8 @@ def parse(charges: DataFrame) -> DataFrame:
         Field("charge_date", epoch_to_date(created), refused(col("created"), created)),
         required_cents("gross_amount_usd", "amount"),
         required_cents("amount_captured_usd", "amount_captured"),
-        optional_cents("fee_usd", "balance.fee"),
-        optional_cents("net_usd", "balance.net"),
+        optional_cents("fee_usd", "balance_fee"),
+        optional_cents("net_usd", "balance_net"),
         required_text("currency", "currency"),
         required_text("status", "status"),
         Field("description", first_filled(col("description"))),

@@ -20,6 +20,7 @@ from ledgerline.plans import marts, staging
 from ledgerline.plans.models import MODELS, model
 from ledgerline.plans.runner import run_model
 from ledgerline.plans.warehouse import Warehouse
+from ledgerline.schemas import PAYPAL_PAGE_NUMBERS
 from ledgerline.session import scratch_path
 from ledgerline.sources import (
     facebook_ads,
@@ -276,7 +277,8 @@ FROM (SELECT paid_on AS landed_date, COUNT(DISTINCT order_key % 3) AS pages_foun
       FROM line_base GROUP BY paid_on) AS found_pages"""
 )
 def chk_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paypal.page_report(inputs.paypal_pages(spark, sf_dir))
+    pages = inputs.paypal_pages(spark, sf_dir, PAYPAL_PAGE_NUMBERS)
+    return paypal.page_report(pages)
 
 
 CHAINS = """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline import schemas
 from ledgerline.plans.ingest import add_loaded_at
@@ -243,7 +244,7 @@ def stripe_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
              'data', array(named_struct('id', 'ch_' || k)),
              'has_more', k % 16 < 15)) AS document""",
     )
-    return documents_from_text(texts, schemas.STRIPE_PAGE)
+    return documents_from_text(texts, schemas.STRIPE_PAGE_LINKS)
 
 
 TRANSACTION = f"""named_struct(
@@ -269,7 +270,9 @@ INITIATED = """CAST(paid_on AS STRING) || 'T'
   || lpad(CAST(quantity % 24 AS STRING), 2, '0') || ':30:00+0000'"""
 
 
-def paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paypal_pages(
+    spark: SparkSession, sf_dir: str, schema: StructType = schemas.PAYPAL_PAGE
+) -> DataFrame:
     """A page per line: one transaction, or no list at all."""
     transaction = TRANSACTION.format(initiated=INITIATED)
     texts = base(spark, sf_dir, "line_base").selectExpr(
@@ -280,7 +283,7 @@ def paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               'transaction_details', if(line_number = 4 AND flag = 'A', NULL,
                 array({transaction})))) AS document""",
     )
-    return documents_from_text(texts, schemas.PAYPAL_PAGE)
+    return documents_from_text(texts, schema)
 
 
 def google_ads_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
