@@ -13,8 +13,9 @@ FIRST_DAY = date(2024, 1, 1)
 
 def calendar_days(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from ``start`` to ``end``, both inclusive."""
-    days = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day")))
-    return spark.range(1).where(F.lit(start <= end)).select(days.alias("partition_date"))
+    count = max((end - start).days + 1, 0)
+    day = F.date_add(F.lit(start), F.col("id").cast("int"))
+    return spark.range(0, count, 1, 1).select(day.alias("partition_date"))
 
 
 def missing_days(calendar: DataFrame, run_log: DataFrame, source: str) -> DataFrame:
