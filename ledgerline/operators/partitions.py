@@ -7,6 +7,7 @@ stay as they are and a repeated job gives the same table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,14 +15,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a write counted on its way, without reading the table again."""
+
+    rows: int
+    null_keys: int
+
+
 def write_days(
     frame: DataFrame,
     path: str,
     partition_columns: list[str],
     cluster_columns: tuple[str, ...] = (),
     rebalance: bool = True,
-) -> int:
-    """Replace the partitions that ``frame`` has rows for; rows written.
+    key_column: str | None = None,
+) -> Written:
+    """Replace the partitions that ``frame`` has rows for.
 
     ``rebalance`` brings the rows of a partition together so that it gets few,
     full files; a partition that is too big for one task is split by AQE.  Leave
@@ -29,24 +39,40 @@ def write_days(
     ``cluster_columns`` sort rows within files, so that Parquet statistics can
     skip row groups.
     """
-    counted = Observation()
     laid_out = frame
     if rebalance:
         laid_out = laid_out.hint("rebalance", *map(F.col, partition_columns))
     if cluster_columns:
         laid_out = laid_out.sortWithinPartitions(*partition_columns, *cluster_columns)
+    counted, observation = count_on_write(laid_out, key_column)
     (
-        laid_out.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
+        counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_columns)
         .parquet(path)
     )
-    rows = counted.get.get("rows")
-    if rows is None:
+    return written(observation, path)
+
+
+def count_on_write(
+    frame: DataFrame, key_column: str | None
+) -> tuple[DataFrame, Observation]:
+    observation = Observation()
+    is_null = F.lit(False) if key_column is None else F.col(key_column).isNull()
+    counted = frame.observe(
+        observation,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(is_null, 1)).alias("null_keys"),
+    )
+    return counted, observation
+
+
+def written(observation: Observation, path: str) -> Written:
+    counts = observation.get
+    if counts.get("rows") is None:
         raise ValueError(f"The write to {path} reported no row count")
-    return rows
+    return Written(counts["rows"], counts["null_keys"])
 
 
 def replace_range(
@@ -56,7 +82,8 @@ def replace_range(
     start: date,
     end: date,
     rebalance: bool = True,
-) -> int:
+    key_column: str | None = None,
+) -> Written:
     """Rebuild ``[start, end]``: also days that have no rows any more.
 
     The new rows are written first.  A folder of the range that still holds a
@@ -64,15 +91,17 @@ def replace_range(
     """
     spark = frame.sparkSession
     before = {
-        day: set(_files(spark, path, time_column, day))
+        day: _first_file(spark, _day_folder(path, time_column, day))
         for day in list_days(spark, path, time_column)
         if start <= day <= end
     }
-    rows = write_days(frame, path, [time_column], rebalance=rebalance)
-    for day, files in before.items():
-        if files & set(_files(spark, path, time_column, day)):
+    counts = write_days(
+        frame, path, [time_column], rebalance=rebalance, key_column=key_column
+    )
+    for day, file in before.items():
+        if file is not None and exists(spark, file):
             _delete(spark, _day_folder(path, time_column, day))
-    return rows
+    return counts
 
 
 def read_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -111,8 +140,15 @@ def _day_folder(path: str, column: str, day: date) -> str:
     return f"{path}/{column}={day.isoformat()}"
 
 
-def _files(spark: SparkSession, path: str, column: str, day: date) -> list[str]:
-    return _names(spark, _day_folder(path, column, day))
+def _first_file(spark: SparkSession, folder: str) -> str | None:
+    """One data file; a write gives its files new names."""
+    path, files = _filesystem(spark, folder)
+    listing = files.listStatusIterator(path)
+    while listing.hasNext():
+        name = listing.next().getPath().getName()
+        if name[0] not in "._":
+            return f"{folder}/{name}"
+    return None
 
 
 def _delete(spark: SparkSession, path: str) -> None:

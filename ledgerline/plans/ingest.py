@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.operators.partitions import read_days, write_days
+from ledgerline.operators.partitions import write_days
 from ledgerline.operators.run_days import calendar_days
 from ledgerline.plans.warehouse import SNAPSHOT_DATE, Warehouse
 from ledgerline.schemas import RAW, RUN_LOG, StringType
@@ -135,19 +135,23 @@ def append_to_lake(
         records.withColumn("run_id", F.lit(run_id)),
         warehouse.lake_path(source),
         ["partition_date", "run_id"],
-    )
+    ).rows
 
 
 def read_lake_run(warehouse: Warehouse, source: str, run_id: str) -> DataFrame:
-    """One run's records.  The lake holds every run, so a run must be named."""
+    """One run's records.  The lake holds every run, so a run must be named.
+
+    Only that run's folders are listed, not the whole history.
+    """
     columns = [f for f in RAW[source].fields if f.name != SNAPSHOT_DATE]
     schema = (
         StructType(columns)
         .add("partition_date", RUN_LOG["partition_date"].dataType)
         .add("run_id", StringType())
     )
-    lake = read_days(warehouse.spark, warehouse.lake_path(source), schema)
-    return lake.where(F.col("run_id") == run_id)
+    lake = warehouse.lake_path(source)
+    reader = warehouse.spark.read.schema(schema).option("basePath", lake)
+    return reader.parquet(f"{lake}/partition_date=*/run_id={run_id}")
 
 
 def load_partitions(
@@ -165,7 +169,7 @@ def load_partitions(
         [partition_column],
         cluster_columns,
         rebalance,
-    )
+    ).rows
 
 
 def ingest(

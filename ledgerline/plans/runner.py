@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
-
-from ledgerline.functions.calc import in_range, whole_months
-from ledgerline.operators.partitions import replace_range
-from ledgerline.operators.quality import assert_no_nulls
+from ledgerline.functions.calc import whole_months
+from ledgerline.operators.partitions import count_on_write, replace_range, written
+from ledgerline.operators.quality import AuditError
 from ledgerline.plans.models import BY_MONTH, FULL, MODELS, Model
 from ledgerline.plans.warehouse import Warehouse
 
 
-def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int | None:
-    """Build one model for a day range; rows written (none for a full build).
+def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int:
+    """Build one model for a day range; rows written.
 
     A by-month model is widened to whole months, since its days only make sense
-    together.  Days of the range that have no rows any more are removed.
+    together.  Days of the range that have no rows any more are removed.  The
+    null-key audit counts while writing, so it costs no second scan.
     """
     if model.kind == BY_MONTH:
         start, end = whole_months(start, end)
@@ -25,24 +24,26 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
     frame = model.build(inputs, start, end)
     path = warehouse.path(model.name)
     if model.kind == FULL:
-        frame.write.mode("overwrite").parquet(path)
-        assert_no_nulls(warehouse.read(model.name), model.audit_column, model.name)
-        return None
-    rows = replace_range(
-        frame, path, model.time_column, start, end, rebalance=not model.keeps_layout
-    )
-    if rows:
-        built = warehouse.read(model.name)
-        assert_no_nulls(
-            built.where(in_range(F.col(model.time_column), start, end)),
-            model.audit_column,
-            model.name,
+        counted, observation = count_on_write(frame, model.audit_column)
+        counted.write.mode("overwrite").parquet(path)
+        counts = written(observation, path)
+    else:
+        counts = replace_range(
+            frame,
+            path,
+            model.time_column,
+            start,
+            end,
+            rebalance=not model.keeps_layout,
+            key_column=model.audit_column,
+        )
+    if counts.null_keys:
+        raise AuditError(
+            f"{model.name}: {counts.null_keys} rows with null {model.audit_column}"
         )
-    return rows
+    return counts.rows
 
 
-def run_all_models(
-    warehouse: Warehouse, start: date, end: date
-) -> dict[str, int | None]:
+def run_all_models(warehouse: Warehouse, start: date, end: date) -> dict[str, int]:
     """Every model in registry order, which puts staging before marts."""
     return {m.name: run_model(warehouse, m, start, end) for m in MODELS}

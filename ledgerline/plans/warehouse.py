@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.partitions import exists, list_days, read_days
+from ledgerline.operators.sizing import HASH_JOIN_LIMIT, fits
 from ledgerline.schemas import RAW, RUN_LOG, STAGING
+from ledgerline.session import ensure_checkpoint_dir
 
 SNAPSHOT_DATE = "partition_date"
 
@@ -60,11 +62,17 @@ def latest_per_snapshot(inventory: DataFrame) -> DataFrame:
     """Rows of each snapshot date from the last landing that holds it.
 
     Works for a sheet that shows one day and for one that keeps its history.
-    There is one row per snapshot date in the small side.
+    The small side has one row per snapshot date; it is measured and then
+    broadcast, since a join on so few keys would shuffle badly.
     """
-    last = inventory.groupBy("snapshot_date").agg(
-        F.max(SNAPSHOT_DATE).alias(SNAPSHOT_DATE)
+    ensure_checkpoint_dir(inventory.sparkSession)
+    last = (
+        inventory.groupBy("snapshot_date")
+        .agg(F.max(SNAPSHOT_DATE).alias(SNAPSHOT_DATE))
+        .checkpoint()
     )
+    if fits(last, ["snapshot_date"], HASH_JOIN_LIMIT):
+        last = F.broadcast(last)
     return inventory.join(last, ["snapshot_date", SNAPSHOT_DATE], "left_semi").select(
         *inventory.columns
     )

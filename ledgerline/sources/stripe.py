@@ -70,36 +70,33 @@ def page_report(pages: DataFrame) -> DataFrame:
     Pages form a chain: each one but the first names the last charge of the
     page before, and only the last has ``has_more = false``.  The set is whole
     when there is one first page, one last page, and no cursor whose page was
-    lost.  Cursors are charge ids, so the anti join spreads evenly.
+    lost.
+
+    Every page gives two rows, one under its own last charge and one under the
+    charge it continues from, so that one pass over the documents and one
+    aggregate by charge pair them up.  Charge ids spread evenly.
     """
-    linked = pages.select(
-        LANDED_DATE,
-        F.nullif("starting_after", F.lit("")).alias("starting_after"),
-        F.try_element_at("data", F.lit(-1))["id"].alias("last_id"),
-        "has_more",
-    )
-    # The cursor that a page after this one would carry.
-    ends = linked.where(F.col("last_id").isNotNull()).select(
-        LANDED_DATE, F.col("last_id").alias("starting_after")
-    )
-    lost = (
-        linked.where(F.col("starting_after").isNotNull())
-        .join(ends, [LANDED_DATE, "starting_after"], "left_anti")
-        .select(LANDED_DATE, *_marks(broken=F.lit(1)))
-    )
-    counted = linked.select(
+    cursor = F.nullif("starting_after", F.lit(""))
+    own_end = F.try_element_at("data", F.lit(-1))["id"]
+    is_last = F.coalesce(~F.col("has_more"), F.lit(True))
+    links = pages.select(
         LANDED_DATE,
-        *_marks(
-            page=F.lit(1),
-            first=F.col("starting_after").isNull().cast("int"),
-            last=F.coalesce(~F.col("has_more"), F.lit(True)).cast("int"),
+        F.inline(
+            F.array(
+                _link(own_end, page=1, first=cursor.isNull(), last=is_last, end=1),
+                _link(cursor, cursor=cursor.isNotNull()),
+            )
         ),
     )
-    report = counted.unionByName(lost).groupBy(LANDED_DATE).agg(
+    by_charge = links.groupBy(LANDED_DATE, "charge").agg(
+        *[F.sum(name).alias(name) for name in LINK_COUNTS]
+    )
+    lost = F.when(F.col("end") == 0, F.col("cursor")).otherwise(0)
+    report = by_charge.groupBy(LANDED_DATE).agg(
         F.sum("page").alias("pages"),
         F.sum("first").alias("first_pages"),
         F.sum("last").alias("last_pages"),
-        F.sum("broken").alias("broken_links"),
+        F.sum(lost).alias("broken_links"),
     )
     whole = (
         (F.col("first_pages") == 1)
@@ -109,6 +106,15 @@ def page_report(pages: DataFrame) -> DataFrame:
     return report.withColumn("is_complete", whole)
 
 
-def _marks(**given: Column) -> list[Column]:
-    names = ("page", "first", "last", "broken")
-    return [given.get(n, F.lit(0)).cast("bigint").alias(n) for n in names]
+LINK_COUNTS = ("page", "first", "last", "end", "cursor")
+
+
+def _link(charge: Column, **counts: Column | int) -> Column:
+    given = {name: counts.get(name, 0) for name in LINK_COUNTS}
+    return F.struct(
+        charge.alias("charge"),
+        *[
+            (F.lit(n) if isinstance(n, int) else n).cast("bigint").alias(name)
+            for name, n in given.items()
+        ],
+    )

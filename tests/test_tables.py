@@ -11,7 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import new_york_day, whole_months
-from ledgerline.operators.partitions import list_days, replace_range, write_days
+from ledgerline.operators.partitions import (
+    Written,
+    list_days,
+    replace_range,
+    write_days,
+)
 from ledgerline.operators.quality import AuditError, assert_no_nulls, repeated_keys
 from ledgerline.operators.run_days import calendar_days, missing_days
 from ledgerline.plans import ingest as loads
@@ -210,8 +215,9 @@ def test_rebuild_clears_days_that_became_empty(warehouse):
 
 def test_rows_written_are_reported(warehouse):
     rows = fb_raw(warehouse.spark, (D15, "a", 1), (D15, "b", 2))
-    assert write_days(rows, f"{warehouse.root}/t", ["date"]) == 2
-    assert write_days(rows.where("false"), f"{warehouse.root}/t", ["date"]) == 0
+    path = f"{warehouse.root}/t"
+    assert write_days(rows, path, ["date"], key_column="reach") == Written(2, 2)
+    assert write_days(rows.where("false"), path, ["date"]) == Written(0, 0)
 
 
 def test_clustered_files_are_sorted(warehouse):
