@@ -27,14 +27,15 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 
 def documents_from_text(texts: DataFrame, schema: StructType) -> DataFrame:
-    """Same, for documents held in a text column ``document``.
+    """Same, for documents held in a text column ``document``; others are kept.
 
     The one-element ``inline`` keeps the parsed document in a step of its own:
     as a plain projection it would be merged into later ones and the text
     parsed again for every field used.
     """
     document = F.from_json("document", schema, STRICT)
-    return texts.select(LANDED_DATE, F.inline(F.array(document)))
+    others = [name for name in texts.columns if name != "document"]
+    return texts.select(*others, F.inline(F.array(document)))
 
 
 def landed_between(documents: DataFrame, start: date, end: date) -> DataFrame:

@@ -79,25 +79,33 @@ def full_name(name: Column) -> Column:
     )
 
 
-def page_report(pages: DataFrame) -> DataFrame:
-    """Per run day: are all numbered pages 1 to ``total_pages`` there?
-
-    A page without a total counts as the only one.
+def page_report(
+    pages: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
+) -> DataFrame:
+    """Per fetch (a run day, unless told otherwise): are its pages whole?
+
+    Each number from 1 to ``total_pages`` must be there once; a page landed
+    twice would double its transactions.  A page without a total is the only
+    one.
     """
-    total = F.coalesce(F.col("total_pages"), F.lit(1))
     numbered = pages.select(
-        LANDED_DATE, F.coalesce("page", F.lit(1)).alias("page"), total.alias("total")
+        *run_columns,
+        F.coalesce("page", F.lit(1)).alias("page"),
+        F.coalesce("total_pages", F.lit(1)).alias("total"),
     )
-    # One row per page number before counting: a re-landed page counts once.
-    distinct_pages = numbered.groupBy(LANDED_DATE, "page").agg(
-        F.max("total").alias("total")
+    by_number = numbered.groupBy(*run_columns, "page").agg(
+        F.count(F.lit(1)).alias("landed"), F.max("total").alias("total")
     )
-    report = distinct_pages.groupBy(LANDED_DATE).agg(
+    report = by_number.groupBy(*run_columns).agg(
+        F.sum("landed").alias("pages_landed"),
         F.count(F.lit(1)).alias("pages_found"),
         F.greatest(F.max("total"), F.lit(1)).alias("pages_expected"),
         F.max("page").alias("last_page"),
     )
-    whole = (F.col("pages_found") == F.col("pages_expected")) & (
-        F.col("last_page") == F.col("pages_expected")
+    expected = F.col("pages_expected")
+    whole = (
+        (F.col("pages_landed") == expected)
+        & (F.col("pages_found") == expected)
+        & (F.col("last_page") == expected)
     )
     return report.withColumn("is_complete", whole)

@@ -64,13 +64,15 @@ def parse(charges: DataFrame) -> DataFrame:
     return parse_fields(staged, fields, kept_columns(charges))
 
 
-def page_report(pages: DataFrame) -> DataFrame:
-    """Per run day: is the chain of cursor pages whole?
+def page_report(
+    pages: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
+) -> DataFrame:
+    """Per fetch (a run day, unless told otherwise): is its page chain whole?
 
     Pages form a chain: each one but the first names the last charge of the
     page before, and only the last has ``has_more = false``.  The set is whole
-    when there is one first page, one last page, and no cursor whose page was
-    lost.
+    when there is one first page, one last page, no cursor whose page was lost
+    and no page landed twice.
 
     Every page gives two rows, one under its own last charge and one under the
     charge it continues from, so that one pass over the documents and one
@@ -80,7 +82,7 @@ def page_report(pages: DataFrame) -> DataFrame:
     own_end = F.try_element_at("data", F.lit(-1))["id"]
     is_last = F.coalesce(~F.col("has_more"), F.lit(True))
     links = pages.select(
-        LANDED_DATE,
+        *run_columns,
         F.inline(
             F.array(
                 _link(own_end, page=1, first=cursor.isNull(), last=is_last, end=1),
@@ -88,20 +90,25 @@ def page_report(pages: DataFrame) -> DataFrame:
             )
         ),
     )
-    by_charge = links.groupBy(LANDED_DATE, "charge").agg(
+    by_charge = links.groupBy(*run_columns, "charge").agg(
         *[F.sum(name).alias(name) for name in LINK_COUNTS]
     )
     lost = F.when(F.col("end") == 0, F.col("cursor")).otherwise(0)
-    report = by_charge.groupBy(LANDED_DATE).agg(
+    repeated = F.when(
+        F.col("charge").isNotNull() & (F.col("end") > 1), F.col("end") - 1
+    ).otherwise(0)
+    report = by_charge.groupBy(*run_columns).agg(
         F.sum("page").alias("pages"),
         F.sum("first").alias("first_pages"),
         F.sum("last").alias("last_pages"),
         F.sum(lost).alias("broken_links"),
+        F.sum(repeated).alias("repeated_pages"),
     )
     whole = (
         (F.col("first_pages") == 1)
         & (F.col("last_pages") == 1)
         & (F.col("broken_links") == 0)
+        & (F.col("repeated_pages") == 0)
     )
     return report.withColumn("is_complete", whole)
 

@@ -20,7 +20,6 @@ from ledgerline.plans import marts, staging
 from ledgerline.plans.models import MODELS, model
 from ledgerline.plans.runner import run_model
 from ledgerline.plans.warehouse import Warehouse
-from ledgerline.schemas import PAYPAL_PAGE_NUMBERS
 from ledgerline.session import scratch_path
 from ledgerline.sources import (
     facebook_ads,
@@ -270,20 +269,23 @@ def src_facebook_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT landed_date, pages_found, CAST(3 AS BIGINT) AS pages_expected,
-  last_page, pages_found = 3 AND last_page = 3 AS is_complete
-FROM (SELECT paid_on AS landed_date, COUNT(DISTINCT order_key % 3) AS pages_found,
-        MAX(1 + order_key % 3) AS last_page
-      FROM line_base GROUP BY paid_on) AS found_pages"""
+SELECT landed_date, order_key, pages_landed, pages_found, pages_expected, last_page,
+  pages_landed = pages_expected AND pages_found = pages_expected AS is_complete
+FROM (SELECT DATE '2024-01-01' + CAST(order_key % 182 AS INT) AS landed_date, order_key,
+        COUNT(*) AS pages_landed,
+        COUNT(DISTINCT (line_number - 1) % (1 + order_key % 3)) AS pages_found,
+        1 + order_key % 3 AS pages_expected,
+        MAX(1 + (line_number - 1) % (1 + order_key % 3)) AS last_page
+      FROM line_base GROUP BY order_key) AS found_pages"""
 )
 def chk_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.paypal_pages(spark, sf_dir, PAYPAL_PAGE_NUMBERS)
-    return paypal.page_report(pages)
+    pages = inputs.paypal_page_sets(spark, sf_dir)
+    return paypal.page_report(pages, ("landed_date", "order_key"))
 
 
 CHAINS = """
-  (SELECT DATE '2024-01-01' + CAST(k // 16 AS INT) AS landed_date,
-     'ch_' || k AS id, k % 16 = 15 AS is_last,
+  (SELECT DATE '2024-01-01' + CAST(k // 16 % 182 AS INT) AS landed_date,
+     k // 16 AS chain, 'ch_' || k AS id, k % 16 = 15 AS is_last,
      CASE WHEN flag = 'P' AND priority = '5-LOW' THEN 'ch_lost_' || k
        WHEN k % 16 > 0 THEN 'ch_' || (k - 1) END AS cursor_id
    FROM order_base)"""
@@ -291,20 +293,22 @@ CHAINS = """
 
 @query(
     f"""
-SELECT p.landed_date, COUNT(*) AS pages,
+SELECT p.landed_date, p.chain, COUNT(*) AS pages,
   COUNT(*) FILTER (WHERE p.cursor_id IS NULL) AS first_pages,
   COUNT(*) FILTER (WHERE p.is_last) AS last_pages,
   COUNT(*) FILTER (WHERE p.cursor_id IS NOT NULL AND e.id IS NULL) AS broken_links,
+  COUNT(*) - COUNT(DISTINCT p.id) AS repeated_pages,
   COUNT(*) FILTER (WHERE p.cursor_id IS NULL) = 1
     AND COUNT(*) FILTER (WHERE p.is_last) = 1
     AND COUNT(*) FILTER (WHERE p.cursor_id IS NOT NULL AND e.id IS NULL) = 0
     AS is_complete
 FROM {CHAINS} AS p
-LEFT JOIN {CHAINS} AS e ON p.cursor_id = e.id AND p.landed_date = e.landed_date
-GROUP BY p.landed_date"""
+LEFT JOIN {CHAINS} AS e ON p.cursor_id = e.id AND p.chain = e.chain
+GROUP BY p.landed_date, p.chain"""
 )
 def chk_stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stripe.page_report(inputs.stripe_chains(spark, sf_dir))
+    chains = inputs.stripe_chains(spark, sf_dir)
+    return stripe.page_report(chains, ("landed_date", "chain"))
 
 
 # -- parsers -----------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ledgerline import schemas
 from ledgerline.plans.ingest import add_loaded_at
@@ -188,6 +187,18 @@ def raw_programs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- landed documents --------------------------------------------------------
 
+
+def spread_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base on all cores: writing and reading JSON is CPU work.
+
+    A table too small to be split is one task, and is spread out; one with a
+    split for every core is left alone.
+    """
+    frame = base(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 CHARGE = """to_json(named_struct(
   'id', 'ch_' || k,
   'created', created,
@@ -223,7 +234,7 @@ SPARSE_CHARGE = """to_json(named_struct(
 
 def stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per order: none, one or two charges."""
-    texts = base(spark, sf_dir, "order_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "order_base").selectExpr(
         "paid_on AS landed_date",
         f"""'{{"data":[' || concat_ws(',',
               if(priority = '1-URGENT' AND flag = 'O', NULL, {CHARGE}),
@@ -234,9 +245,10 @@ def stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stripe_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen pages per chain and run day; some cursors name a lost page."""
-    texts = base(spark, sf_dir, "order_base").selectExpr(
-        "DATE '2024-01-01' + CAST(k div 16 AS INT) AS landed_date",
+    """Sixteen pages per chain; some cursors name a lost page."""
+    texts = spread_base(spark, sf_dir, "order_base").selectExpr(
+        "DATE '2024-01-01' + CAST(k div 16 % 182 AS INT) AS landed_date",
+        "k div 16 AS chain",
         """to_json(named_struct(
              'starting_after', CASE WHEN flag = 'P' AND priority = '5-LOW'
                  THEN 'ch_lost_' || k
@@ -270,20 +282,30 @@ INITIATED = """CAST(paid_on AS STRING) || 'T'
   || lpad(CAST(quantity % 24 AS STRING), 2, '0') || ':30:00+0000'"""
 
 
-def paypal_pages(
-    spark: SparkSession, sf_dir: str, schema: StructType = schemas.PAYPAL_PAGE
-) -> DataFrame:
+def paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per line: one transaction, or no list at all."""
     transaction = TRANSACTION.format(initiated=INITIATED)
-    texts = base(spark, sf_dir, "line_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "line_base").selectExpr(
         "paid_on AS landed_date",
         f"""to_json(named_struct(
-              'page', 1 + order_key % 3,
-              'total_pages', 3,
+              'page', 1,
+              'total_pages', 1,
               'transaction_details', if(line_number = 4 AND flag = 'A', NULL,
                 array({transaction})))) AS document""",
     )
-    return documents_from_text(texts, schema)
+    return documents_from_text(texts, schemas.PAYPAL_PAGE)
+
+
+def paypal_page_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A set of one to three numbered pages per order: whole, short or repeated."""
+    texts = spread_base(spark, sf_dir, "line_base").selectExpr(
+        "DATE '2024-01-01' + CAST(order_key % 182 AS INT) AS landed_date",
+        "order_key",
+        """to_json(named_struct(
+             'page', 1 + (line_number - 1) % (1 + order_key % 3),
+             'total_pages', 1 + order_key % 3)) AS document""",
+    )
+    return documents_from_text(texts, schemas.PAYPAL_PAGE_NUMBERS)
 
 
 def google_ads_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +325,7 @@ def faulty_google_ads_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ads_documents(
     spark: SparkSession, sf_dir: str, clicks: str, without_conversions: str
 ) -> DataFrame:
-    texts = base(spark, sf_dir, "event_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "event_base").selectExpr(
         "ad_day AS landed_date",
         f"""to_json(named_struct(
               'segments', named_struct('date', CAST(ad_day AS STRING)),
@@ -337,7 +359,7 @@ def analytics_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"'metric_values', {values(metrics)})"
         )
 
-    texts = base(spark, sf_dir, "event_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "event_base").selectExpr(
         "day AS landed_date",
         f"""to_json(named_struct('rows', CASE event_type
               WHEN 'error' THEN NULL
@@ -354,7 +376,7 @@ def facebook_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"named_struct('action_type', '{kind}', 'value', {value})"
 
     purchase = action("offsite_conversion.fb_pixel_purchase", "'2'")
-    texts = base(spark, sf_dir, "event_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "event_base").selectExpr(
         "day AS landed_date",
         f"""to_json(named_struct(
               'date_start', CAST(day AS STRING),
@@ -386,7 +408,7 @@ def inventory_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"array(array({header}), array({cells}))"
 
     forward, backward = list(INVENTORY), list(reversed(INVENTORY))
-    texts = base(spark, sf_dir, "part_base").selectExpr(
+    texts = spread_base(spark, sf_dir, "part_base").selectExpr(
         "snapshot_date AS landed_date",
         f"""to_json(named_struct('sheet', 'inventory', 'values',
               if(size % 2 = 0, {values(forward)}, {values(backward)}))) AS document""",
