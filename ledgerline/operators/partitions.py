@@ -109,6 +109,28 @@ def read_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_range(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    column: str,
+    start: date,
+    end: date,
+) -> DataFrame:
+    """The days ``start`` to ``end`` of a table: no other folder is listed."""
+    folders = range_folders(spark, path, column, start, end)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def range_folders(
+    spark: SparkSession, path: str, column: str, start: date, end: date
+) -> list[str]:
+    days = list_days(spark, path, column)
+    return [_day_folder(path, column, day) for day in days if start <= day <= end]
+
+
 def list_days(spark: SparkSession, path: str, column: str) -> list[date]:
     """Days a table has folders for: one listing, no scan."""
     prefix = f"{column}="

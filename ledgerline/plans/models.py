@@ -33,6 +33,8 @@ class Model:
     build: Callable[[Inputs, date, date], DataFrame]
     # The input has the same day folders, so the write needs no shuffle.
     keeps_layout: bool = False
+    # Inputs that are not limited to the day range.
+    whole_reads: tuple[str, ...] = ()
 
 
 def _staging(
@@ -59,6 +61,8 @@ def _staging(
         reads=(f"raw.{raw}",),
         build=build,
         keeps_layout=keeps_layout,
+        # Sheets are kept by the day they were landed, not by their own dates.
+        whole_reads=() if keeps_layout else (f"raw.{raw}",),
     )
 
 
@@ -69,6 +73,7 @@ def _mart(
     grain: tuple[str, ...],
     audit_column: str,
     reads: tuple[str, ...],
+    whole_reads: tuple[str, ...] = (),
 ) -> Model:
     assemble = getattr(marts, table)
 
@@ -76,7 +81,14 @@ def _mart(
         return assemble(*[inputs[name] for name in reads], start, end)
 
     return Model(
-        f"marts.{table}", kind, time_column, grain, audit_column, reads, build
+        f"marts.{table}",
+        kind,
+        time_column,
+        grain,
+        audit_column,
+        reads,
+        build,
+        whole_reads=whole_reads,
     )
 
 
@@ -149,6 +161,7 @@ MODELS: tuple[Model, ...] = (
             "staging.paypal_transactions",
             "staging.sheet_programs",
         ),
+        whole_reads=("staging.sheet_programs",),
     ),
     _mart(
         "ad_attribution",
@@ -169,6 +182,8 @@ MODELS: tuple[Model, ...] = (
         ("sku_id", "snapshot_date"),
         "sku_id",
         ("staging.sheet_inventory", "staging.sheet_students"),
+        # Active students are counted whenever they enrolled.
+        whole_reads=("staging.sheet_students",),
     ),
 )
 

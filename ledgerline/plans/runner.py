@@ -8,9 +8,25 @@ from ledgerline.functions.calc import whole_months
 from ledgerline.operators.partitions import count_on_write, replace_range, written
 from ledgerline.operators.quality import AuditError
 from ledgerline.plans.models import BY_MONTH, FULL, MODELS, Model
+from ledgerline.plans.models import model as model_named
 from ledgerline.plans.warehouse import Warehouse
 
 
+# Day columns of the raw tables that staging reads by range.
+RAW_DAYS = {
+    "raw.stripe_charges": "charge_date",
+    "raw.paypal_transactions": "transaction_date",
+    "raw.google_ads": "date",
+    "raw.facebook_ads": "date",
+    "raw.google_analytics": "date",
+}
+
+
+def kept_by(name: str) -> str:
+    """The column a table's folders are named by."""
+    return RAW_DAYS.get(name) or model_named(name).time_column
+
+
 def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int:
     """Build one model for a day range; rows written.
 
@@ -20,7 +36,12 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
     """
     if model.kind == BY_MONTH:
         start, end = whole_months(start, end)
-    inputs = {name: warehouse.read(name) for name in model.reads}
+    inputs = {
+        name: warehouse.read(name)
+        if name in model.whole_reads
+        else warehouse.read_range(name, kept_by(name), start, end)
+        for name in model.reads
+    }
     frame = model.build(inputs, start, end)
     path = warehouse.path(model.name)
     if model.kind == FULL:

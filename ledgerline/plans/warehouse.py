@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.partitions import exists, list_days, read_days
+from ledgerline.operators.partitions import (
+    exists,
+    list_days,
+    read_days,
+    read_range,
+)
 from ledgerline.operators.sizing import HASH_JOIN_LIMIT, fits
 from ledgerline.schemas import RAW, RUN_LOG, STAGING
 from ledgerline.session import ensure_checkpoint_dir
@@ -38,18 +44,24 @@ class Warehouse:
             return frame.select(*schema.fieldNames())
         return self.spark.read.parquet(self.path(name))
 
+    def read_range(self, name: str, column: str, start: date, end: date) -> DataFrame:
+        """Day folders ``start`` to ``end`` of a table kept by ``column``."""
+        layer, table = name.split(".")
+        schema = {"raw": RAW, "staging": STAGING}[layer][table]
+        return read_range(
+            self.spark, self.path(name), schema, column, start, end
+        ).select(*schema.fieldNames())
+
     def _read_raw(self, table: str) -> DataFrame:
-        frame = read_days(self.spark, self.path(f"raw.{table}"), RAW[table])
+        path, schema = self.path(f"raw.{table}"), RAW[table]
         if table == "google_sheets_inventory":
-            return latest_per_snapshot(frame)
+            return latest_per_snapshot(read_days(self.spark, path, schema))
         if table.startswith("google_sheets_"):
-            return self._latest_sheet(frame, table)
-        return frame
-
-    def _latest_sheet(self, frame: DataFrame, table: str) -> DataFrame:
-        """A sheet is landed whole every day: only its last landing counts."""
-        days = list_days(self.spark, self.path(f"raw.{table}"), SNAPSHOT_DATE)
-        return frame.where(F.col(SNAPSHOT_DATE) == F.lit(days[-1])) if days else frame
+            # A sheet is landed whole every day: only its last landing counts.
+            days = list_days(self.spark, path, SNAPSHOT_DATE)
+            last = days[-1] if days else date.min
+            return read_range(self.spark, path, schema, SNAPSHOT_DATE, last, last)
+        return read_days(self.spark, path, schema)
 
     def run_log(self) -> DataFrame:
         path = f"{self.root}/run_log"

@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+ADVISORY_BYTES = 128 << 20
+
+
 def build_session(
     app_name: str = "ledgerline",
     master: str | None = None,
@@ -32,6 +35,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sized_for(shuffled_bytes: int) -> dict[str, str]:
+    """Extra settings for jobs that shuffle about this much.
+
+    AQE merges partitions but, outside skew handling, does not add any: the
+    initial number must suit the largest shuffle.
+    """
+    partitions = max(200, min(50_000, shuffled_bytes // ADVISORY_BYTES))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
+    }
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name in the shared folder of ``spark.checkpoint.dir``.
 

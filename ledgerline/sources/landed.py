@@ -15,15 +15,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from ledgerline.functions.calc import in_range
+from ledgerline.operators.partitions import range_folders
 
 LANDED_DATE = "landed_date"
 STRICT = {"mode": "FAILFAST"}
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Documents under ``path``; ``landed_date`` comes from the folder names."""
+def read_documents(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
+    """Documents under ``path``; ``landed_date`` comes from the folder names.
+
+    With a day range only its folders are listed, which matters once years of
+    days have been landed.
+    """
     dated = StructType([*schema.fields, StructField(LANDED_DATE, DateType())])
-    return spark.read.options(**STRICT).schema(dated).json(path)
+    reader = spark.read.options(**STRICT).schema(dated)
+    if start is None or end is None:
+        return reader.json(path)
+    folders = range_folders(spark, path, LANDED_DATE, start, end)
+    if not folders:
+        return spark.createDataFrame([], dated)
+    return reader.option("basePath", path).json(folders)
 
 
 def documents_from_text(texts: DataFrame, schema: StructType) -> DataFrame:

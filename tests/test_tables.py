@@ -24,6 +24,7 @@ from ledgerline.plans.models import MODELS, model
 from ledgerline.plans.runner import run_all_models, run_model
 from ledgerline.plans.warehouse import latest_per_snapshot
 from ledgerline.schemas import RAW
+from ledgerline.session import sized_for
 from ledgerline.sources.landed import read_documents
 
 RUN_TIME = datetime(2024, 2, 1, 6, 0, tzinfo=UTC)
@@ -73,7 +74,9 @@ def insight(day, clicks="5"):
 
 
 def run(source, folder, warehouse, start, end, run_id="r1", **options):
-    documents = read_documents(warehouse.spark, str(folder), source.landed_schema)
+    documents = read_documents(
+        warehouse.spark, str(folder), source.landed_schema, start, end
+    )
     log = loads.ingest(
         source, documents, warehouse, start, end, run_id, RUN_TIME, **options
     )
@@ -213,6 +216,24 @@ def test_rebuild_clears_days_that_became_empty(warehouse):
     assert list_days(spark, path, "date") == [D15, D17]
 
 
+def test_range_read_lists_only_its_days(warehouse):
+    rows = fb_raw(warehouse.spark, (D15, "a", 1), (D16, "b", 2), (D17, "c", 3))
+    loads.load_partitions(rows, warehouse, "facebook_ads")
+    found = warehouse.read_range("raw.facebook_ads", "date", D16, D17)
+    assert all("date=2024-01-15" not in name for name in found.inputFiles())
+    assert {(r.date, r.campaign_id) for r in found.collect()} == {(D16, "b"), (D17, "c")}
+    later = date(2025, 1, 1)
+    empty = warehouse.read_range("raw.facebook_ads", "date", later, later)
+    assert empty.count() == 0 and empty.columns == found.columns
+
+
+def test_session_sizing():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized_for(1 << 30)[key] == "200"
+    assert sized_for(1 << 40)[key] == "8192"
+    assert sized_for(1 << 50)[key] == "50000"
+
+
 def test_rows_written_are_reported(warehouse):
     rows = fb_raw(warehouse.spark, (D15, "a", 1), (D15, "b", 2))
     path = f"{warehouse.root}/t"
