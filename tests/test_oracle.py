@@ -6,10 +6,9 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from ledgerline.workload.catalog import CHECKS, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-CHECKS = entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +18,8 @@ def connection():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
