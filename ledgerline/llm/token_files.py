@@ -123,7 +123,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -> None:
             yield packed()
 
     (
-        tokens.repartitionByRange("doc_id", "ids")
+        tokens.repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "ids")
         .mapInArrow(encode, BLOCK_SCHEMA)
         .write.option("compression", "none")
