@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import packing, token_files
+from ledgerline.llm import near_text, near_vectors, packing, token_files
 from ledgerline.llm.common import documents
 from ledgerline.llm.tokens import default_vocabulary
 from ledgerline.session import scratch_path
@@ -24,6 +24,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents at five-word Jaccard similarity 0.8 or more."""
+    return near_text.near_documents(documents(spark, sf_dir))
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95 or more."""
+    return near_vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     packed = packing.pack(documents(spark, sf_dir), default_vocabulary())
@@ -40,6 +50,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op6_near_documents": op6_near_documents,
+    "op8_near_vectors": op8_near_vectors,
     "op9_packing": op9_packing,
 }
 CHECKS: dict[str, str] = {}
