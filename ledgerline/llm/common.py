@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ledgerline
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
 
 # A frame of narrow rows may be broadcast up to this many rows (at 16 bytes a row,
@@ -12,6 +17,23 @@ from ledgerline.session import ensure_checkpoint_dir, scratch_path
 BROADCAST_ROWS = 2_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(ledgerline.__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="ledgerline-")) / "ledgerline_package.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -97,6 +119,7 @@ __all__ = [
     "BROADCAST_ROWS",
     "components",
     "documents",
+    "ship",
     "small_side",
     "whole_text",
     "written",

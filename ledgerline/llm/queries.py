@@ -3,18 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import near_text, near_vectors, packing, token_files
-from ledgerline.llm.common import documents
+from ledgerline.llm import (
+    mixing,
+    near_text,
+    near_vectors,
+    packing,
+    quality,
+    surrogates,
+    token_files,
+    toxicity,
+)
+from ledgerline.llm.common import documents, ship
 from ledgerline.llm.tokens import default_vocabulary
 from ledgerline.session import scratch_path
 
+# A deployment passes its own secret here.
+SURROGATE_KEY = "surrogates of the test tables"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Query] = {}
+CHECKS: dict[str, str] = {}
+
+
+def query(function: Query) -> Query:
+    """Register a function under its name; executors get the package first."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
 
+    QUERIES[function.__name__] = run
+    return run
+
+
+@query
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the token-id files and back."""
     path = scratch_path(spark, "token-files")
@@ -24,16 +53,44 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and likelihood ratio of all documents; good labels are the target."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.quality(
+        documents(spark, sf_dir), labels.where("quality = 1").select("doc_id")
+    )
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents from the labels outside fold 2."""
+    return toxicity.toxicity(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    )
+
+
+@query
 def op6_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents at five-word Jaccard similarity 0.8 or more."""
     return near_text.near_documents(documents(spark, sf_dir))
 
 
+@query
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data."""
+    return surrogates.replace(
+        documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY
+    )
+
+
+@query
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.95 or more."""
     return near_vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     packed = packing.pack(documents(spark, sf_dir), default_vocabulary())
@@ -48,10 +105,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
-    "op1_token_files": op1_token_files,
-    "op6_near_documents": op6_near_documents,
-    "op8_near_vectors": op8_near_vectors,
-    "op9_packing": op9_packing,
-}
-CHECKS: dict[str, str] = {}
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mix of all sources."""
+    return mixing.mixed(documents(spark, sf_dir).select("doc_id", "source"))
