@@ -181,13 +181,31 @@ def _placed(entries: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Tables by order: shares of runs and weights of contexts in either class."""
+    """Used slots of every table with their values in either class.
 
-    shares: np.ndarray  # order, class, slot
-    lefts: np.ndarray
+    Tables 0 to ``ORDER - 1`` hold shares of runs, those after weights of contexts.
+    """
+
+    slots: list[np.ndarray]
+    values: list[np.ndarray]
     slope: float = 0.0
     offset: float = 0.0
 
+    def laid_out(self) -> Tables:
+        full = np.zeros((2 * ORDER, 2, SLOTS), np.float32)
+        full[ORDER:] = 1
+        for table, slots, values in zip(full, self.slots, self.values):
+            table[:, slots] = values
+        return Tables(full[:ORDER], full[ORDER:])
+
+
+@dataclass
+class Tables:
+    """The model ready for look-ups, by order, class and slot."""
+
+    shares: np.ndarray
+    lefts: np.ndarray
+
     def evidence(self, words: list[str]) -> np.ndarray:
         """Sum of log-likelihood differences over the characters of each word."""
         padded = [OPEN * (ORDER - 1) + normal(w) + CLOSE for w in words]
@@ -241,16 +259,16 @@ def trained(labelled: DataFrame) -> Model:
         entries = both if entries is None else entries.unionByName(both)
     # At most 2 * ORDER * SLOTS rows, whatever the corpus.
     table = _placed(entries).toPandas()
-    shares = np.zeros((ORDER, 2, SLOTS), np.float32)
-    lefts = np.ones((ORDER, 2, SLOTS), np.float32)
-    for number, rows in table.groupby("table"):
-        into = shares[number - 1] if number < 100 else lefts[number - 101]
-        into[:, rows["slot"].to_numpy()] = rows[["a", "b"]].to_numpy().T
-    return Model(shares, lefts)
+    numbers = [*range(1, ORDER + 1), *range(101, ORDER + 101)]
+    rows = [table[table["table"] == number] for number in numbers]
+    return Model(
+        [r["slot"].to_numpy(np.int32) for r in rows],
+        [r[["a", "b"]].to_numpy(np.float32).T.copy() for r in rows],
+    )
 
 
-# Evidence of words under one model, kept per worker.
-_known: dict[str, dict[str, float]] = {}
+# Tables of one model and evidence of words under it, kept per worker.
+_known: dict[str, tuple[Tables, dict[str, float]]] = {}
 
 
 def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
@@ -259,10 +277,10 @@ def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
     name = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         if name not in _known:
             _known.clear()
-        known = _known.setdefault(name, {})
+            _known[name] = shared.value.laid_out(), {}
+        tables, known = _known[name]
         for batch in batches:
             out = []
             for at in range(0, batch.num_rows, 128):
@@ -274,7 +292,7 @@ def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
                     new = list(set().union(*split))
                 for lo in range(0, len(new), 20_000):
                     part = new[lo : lo + 20_000]
-                    known.update(zip(part, model.evidence(part).tolist()))
+                    known.update(zip(part, tables.evidence(part).tolist()))
                 look = known.__getitem__
                 out += [sum(map(look, w)) / len(w) if w else 0.0 for w in split]
             yield pa.RecordBatch.from_arrays(
@@ -307,7 +325,7 @@ def _calibrated(model: Model, scored: DataFrame) -> Model:
         weights -= step * min(1.0, 5 / max(size, 1e-12))
         if size < 1e-9:
             break
-    return Model(model.shares, model.lefts, float(weights[0]), float(weights[1]))
+    return Model(model.slots, model.values, float(weights[0]), float(weights[1]))
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
