@@ -37,49 +37,41 @@ def words_of(text: Column) -> Column:
     )
 
 
-def repeated_words(hashes: Column) -> Column:
-    """Words that lie in a window of five words found twice or more in the text."""
+def windows_of(hashes: Column) -> Column:
+    """A hash of every window of five words."""
     last = F.size(hashes) - WINDOW_WORDS
-    windows = F.when(
+    return F.when(
         last >= 0,
         F.transform(
             F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
             lambda i: F.xxhash64(*[F.get(hashes, i + n) for n in range(WINDOW_WORDS)]),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    return windows
 
 
-def _covered(windows: Column) -> Column:
-    """Positions covered by windows whose hash occurs more than once."""
-    marked = F.array_sort(
-        F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    )
-    places = F.array_sort(
-        F.transform(
-            F.filter(
-                F.transform(
-                    marked,
-                    lambda x, n: F.struct(
-                        x["i"].alias("i"),
-                        (
-                            F.coalesce(F.get(marked, n - 1)["h"] == x["h"], F.lit(False))
-                            | F.coalesce(F.get(marked, n + 1)["h"] == x["h"], F.lit(False))
-                        ).alias("again"),
-                    ),
-                ),
-                lambda x: x["again"],
-            ),
-            lambda x: x["i"],
-        )
+def _ranked(windows: Column) -> Column:
+    """Windows with their places, equal ones side by side; none where all differ."""
+    pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(
+        F.size(F.array_distinct(windows)) < F.size(windows), F.array_sort(pairs)
     )
+
+
+def _covered(ranked: str) -> Column:
+    """Words covered by windows that stand beside an equal one in column ``ranked``.
+
+    A column's name, not an expression: the lambdas would evaluate that per element.
+    """
+    side = lambda n: F.get(F.col(ranked), n)["h"]
+    same = lambda n, x: F.coalesce(side(n) == x["h"], F.lit(False))
+    again = F.filter(ranked, lambda x, n: same(n - 1, x) | same(n + 1, x))
+    places = F.array_sort(F.transform(again, lambda x: x["i"]))
     width = F.lit(WINDOW_WORDS)
-    gaps = F.aggregate(
-        places,
-        F.struct(F.lit(-WINDOW_WORDS).alias("last"), F.lit(0).alias("n")),
-        lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(width, i - a["last"])).alias("n")),
+    start = F.struct(F.lit(-WINDOW_WORDS).alias("last"), F.lit(0).alias("n"))
+    step = lambda a, i: F.struct(
+        i.alias("last"), (a["n"] + F.least(width, i - a["last"])).alias("n")
     )
-    return gaps["n"]
+    return F.coalesce(F.aggregate(places, start, step)["n"], F.lit(0))
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
@@ -152,7 +144,7 @@ def quality(
     measured = (
         _with_words(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
         .withColumn("lines", lines)
-        .withColumn("windows", repeated_words(F.col("hashes")))
+        .withColumn("windows", windows_of(F.col("hashes")))
         .select(
             "doc_id",
             F.size("words").cast("long").alias("n_words"),
@@ -162,12 +154,8 @@ def quality(
             "windows",
             _buckets(F.col("hashes")).alias("buckets"),
         )
-        .withColumn(
-            "n_repeat_words",
-            F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0))
-            .otherwise(_covered(F.col("windows")))
-            .cast("long"),
-        )
+        .withColumn("ranked", _ranked(F.col("windows")))
+        .withColumn("n_repeat_words", _covered("ranked").cast("long"))
         .withColumn(
             "score",
             F.aggregate("buckets", F.lit(0.0), lambda a, b: a + F.get(table, b))
