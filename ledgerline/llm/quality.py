@@ -20,7 +20,7 @@ from ledgerline.llm.common import small_side, whole_text
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
-KEEP_FROM = -0.25
+KEEP_FROM = -0.08
 FEWEST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW_WORDS = 5
