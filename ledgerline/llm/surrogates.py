@@ -65,14 +65,21 @@ _PART = r"[^\W\d_][^\W\d_'’]*(?:-[^\W\d_]+)*"
 _NAME = rf"\b(?P<title>{'|'.join(TITLES)})(?P<dot>\.?[  ])(?P<name>{_PART}(?:[  ]{_PART}){{0,2}})"
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:password|passwd|secret|token|api_key)\s?[=:]\s?[A-Za-z0-9_-]{8,})"
+    r"|(?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:password|passwd|secret|token|api_key) ?[=:] ?[A-Za-z0-9_-]{8,})"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
     r"|(?P<card>(?<![\d-])(?:\d{4}[ -]?){3}\d{1,7}(?![\d-]*\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d))"
     rf"|{_NAME}"
 )
-# A text without any of these holds no entity; this keeps most texts off the pattern.
-_HINT = re.compile(rf"[@0-9]|\b(?:{'|'.join(TITLES)})\b|(?:AKIA|ASIA|password|passwd|secret|token|api_key)")
+KINDS = frozenset(["email", "secret", "ip", "card", "phone"])
+# What every entity holds a part of; it keeps most texts off the pattern.
+_DIGITS = re.compile(r"[0-9][0-9. -]{5}")
+_MARKS = ("@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", *TITLES)
+
+
+def may_hold(text: str) -> bool:
+    """False only where ``text`` has no entity."""
+    return any(mark in text for mark in _MARKS) or bool(_DIGITS.search(text))
 
 
 def luhn(digits: str) -> int:
@@ -93,14 +100,22 @@ def script_of(text: str) -> str:
     return "latin"
 
 
-def found_in(text: str) -> Iterator[tuple[re.Match, str, str, tuple[int, int]]]:
-    """Match, kind, normal form and the part to replace of every entity in turn."""
-    if not _HINT.search(text):
+def found_in(text: str) -> Iterator[tuple[str, str, int, int]]:
+    """Kind, normal form, start and end of every entity in turn; none spans lines."""
+    if not may_hold(text):
         return
-    for match in PATTERN.finditer(text):
-        kind = match.lastgroup if match.lastgroup in ("email", "secret", "ip", "card", "phone") else "name"
-        value = match[kind]
-        span = match.span(kind)
+    at = 0
+    for line in text.split("\n"):
+        if may_hold(line):
+            for kind, normal, lo, hi in _found_in_line(line):
+                yield kind, normal, at + lo, at + hi
+        at += len(line) + 1
+
+
+def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
+    for match in PATTERN.finditer(line):
+        kind = match.lastgroup if match.lastgroup in KINDS else "name"
+        value, lo, hi = match[kind], *match.span(kind)
         if kind == "email":
             normal = value.lower()
         elif kind == "card":
@@ -109,19 +124,20 @@ def found_in(text: str) -> Iterator[tuple[re.Match, str, str, tuple[int, int]]]:
                 continue
         elif kind == "phone":
             normal = re.sub(r"[^\d+]", "", value)
-        elif kind == "secret" and "=" in value or kind == "secret" and ":" in value:
-            at = re.search(r"[=:]\s?", value).end()
-            normal, span = value[at:], (span[0] + at, span[1])
+        elif kind == "secret":
+            sign = re.search("[=:] ?", value)
+            lo += sign.end() if sign else 0
+            normal = line[lo:hi]
         elif kind == "name":
-            parts = _name_parts(value)
-            if not parts:
+            length = _name_parts(value)
+            if not length:
                 continue
-            span = (span[0], span[0] + parts)
-            words = re.split("[  ]", text[span[0] : span[1]])
+            hi = lo + length
+            words = re.split("[ \u00a0]", line[lo:hi])
             normal = f"{TITLES[match['title']]}|{' '.join(words).casefold()}"
         else:
             normal = value
-        yield match, kind, normal, span
+        yield kind, normal, lo, hi
 
 
 def _name_parts(value: str) -> int:
@@ -268,7 +284,7 @@ def entities(docs: DataFrame) -> DataFrame:
             seen = {
                 (kind, normal)
                 for text in batch.column(0)
-                for _, kind, normal, _ in found_in(text.as_py())
+                for kind, normal, _, _ in found_in(text.as_py())
             }
             kinds, normals = zip(*seen) if seen else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -356,7 +372,7 @@ def _rewritten(docs: DataFrame, key: str, lookup) -> DataFrame:
                 counts.append(0)
                 continue
             parts, at, n = [], 0, 0
-            for _, kind, normal, (lo, hi) in found_in(text):
+            for kind, normal, lo, hi in found_in(text):
                 parts += [text[at:lo], written_like(kind, lookup(cipher, kind, normal), text[lo:hi])]
                 at, n = hi, n + 1
             out.append("".join([*parts, text[at:]]) if n else text)
@@ -386,7 +402,7 @@ def _replaced_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for n, (_, kind, normal, (lo, hi)) in enumerate(found_in(text)):
+                for n, (kind, normal, lo, hi) in enumerate(found_in(text)):
                     out.append((row, n, kind, normal, lo, hi))
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
