@@ -14,6 +14,7 @@ from ledgerline.llm import (
     near_vectors,
     packing,
     quality,
+    revisits,
     surrogates,
     token_files,
     toxicity,
@@ -62,6 +63,70 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """WARC records from raw pages: each page's response and a later revisit of its URL.
+
+    Pages were captured a minute apart in the order of their ids.  A response carries
+    the page's md5 as entity tag; every page was asked for again 90 minutes later with
+    the tag it had then, so where another page of the same canonical URL was captured
+    in between, its tag no longer agrees.
+    """
+    page = pages.select(
+        "page_id",
+        "url",
+        F.octet_length("html").cast("string").alias("size"),
+        F.md5(F.col("html").cast("binary")).alias("md5"),
+    )
+    seconds = F.col("page_id") * 60
+    date = lambda s: F.date_format(F.timestamp_seconds(s), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    first = F.create_map(
+        F.lit("Content-Type"), F.lit("text/html"),
+        F.lit("Content-Length"), F.col("size"),
+        F.lit("ETag"), F.concat(F.lit('"'), F.col("md5"), F.lit('"')),
+        F.lit("Date"), date(seconds),
+        F.lit("Cache-Control"), F.lit("max-age=60"),
+    )
+    later = F.create_map(
+        F.lit("etag"), F.concat(F.lit('W/"'), F.col("md5"), F.lit('"')),
+        F.lit("date"), date(seconds + 5400),
+        F.lit("cache-control"), F.lit("max-age=600"),
+        F.lit("content-length"), F.lit("0"),
+    )
+    responses = page.select(
+        (F.col("page_id") * 2).alias("record_id"),
+        "url",
+        seconds.alias("captured_at"),
+        F.lit(200).alias("status"),
+        first.alias("headers"),
+    )
+    asked = page.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        "url",
+        (seconds + 5400).alias("captured_at"),
+        F.lit(304).alias("status"),
+        later.alias("headers"),
+    )
+    return responses.unionByName(asked)
+
+
+@query
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the revisits of all pages stand for, with their merged headers."""
+    resolved = revisits.resolve(captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    fields = F.array_sort(
+        F.transform(
+            F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])
+        )
+    )
+    return resolved.select(
+        "record_id",
+        "canonical",
+        "outcome",
+        "response_id",
+        F.array_join(fields, "\n").alias("headers"),
+    )
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents from the labels outside fold 2."""
@@ -109,3 +174,91 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in the mix of all sources."""
     return mixing.mixed(documents(spark, sf_dir).select("doc_id", "source"))
+
+CHECKS["op4_revisits"] = """
+WITH parts AS (
+    SELECT page_id, md5(html) AS tag, strlen(html) AS size,
+           regexp_replace(url, '#.*$', '') AS bare
+    FROM pages
+), split AS (
+    SELECT page_id, tag, size,
+           lower(regexp_extract(bare, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+           regexp_replace(bare, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+    FROM parts
+), named AS (
+    SELECT page_id, tag, size, CASE scheme WHEN 'https' THEN 'http' ELSE scheme END
+        || '://'
+        || regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)),
+                                         '(:80|:443)$', ''), '^www[.]', '')
+        || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+        list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*[?](.*)$', 1), '&'),
+            lambda x: x <> '' AND NOT starts_with(x, 'utm_') AND NOT starts_with(x, 'ref='))) AS query
+    FROM split
+), urls AS (
+    SELECT page_id, tag, size, page_id * 60 AS taken, place
+        || CASE WHEN len(query) = 0 THEN '' ELSE '?' || array_to_string(query, '&') END AS canonical
+    FROM named
+), found AS (
+    SELECT v.page_id, v.canonical, v.tag, v.taken + 5400 AS taken,
+           arg_max({'page': r.page_id, 'tag': r.tag, 'size': r.size}, r.page_id) AS r
+    FROM urls v JOIN urls r
+      ON r.canonical = v.canonical AND r.taken <= v.taken + 5400
+    GROUP BY ALL
+)
+SELECT page_id * 2 + 1 AS record_id, canonical,
+       CASE WHEN r.tag = tag THEN 'resolved' ELSE 'validator-mismatch' END AS outcome,
+       r.page * 2 AS response_id,
+       'cache-control: max-age=600' || chr(10)
+       || CASE WHEN r.tag = tag
+          THEN 'content-length: ' || r.size || chr(10) || 'content-type: text/html' || chr(10)
+          ELSE 'content-length: 0' || chr(10) END
+       || 'date: ' || strftime(make_timestamp(taken * 1000000), '%Y-%m-%dT%H:%M:%SZ') || chr(10)
+       || CASE WHEN r.tag = tag THEN 'etag: "' || r.tag || '"' ELSE 'etag: W/"' || tag || '"' END AS headers
+FROM found
+"""
+
+CHECKS["op10_mixing"] = """
+WITH RECURSIVE counted AS (
+    SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1
+), shares AS (
+    SELECT s, n, CAST(floor(sqrt(n)) AS BIGINT) AS share FROM counted
+), sums AS (
+    SELECT s, n, share, sum(share) OVER (ORDER BY s) AS upto, sum(share) OVER () AS total,
+           greatest(240, 2 * count(*) OVER ()) - count(*) OVER () AS spare
+    FROM shares
+), weighted AS (
+    SELECT s, CAST((n + 7) // 8 AS BIGINT) AS blocks,
+           CAST(1 + (spare * upto) // total - (spare * (upto - share)) // total AS BIGINT) AS w
+    FROM sums
+), slots AS (
+    -- One slot after another: t counts within the phase, done within it, had before it.
+    SELECT CAST(-1 AS BIGINT) AS slot, CAST(0 AS BIGINT) AS t, '' AS s, CAST(-1 AS BIGINT) AS block,
+           (SELECT list({'s': s, 'w': w, 'blocks': blocks, 'had': CAST(0 AS BIGINT), 'done': CAST(0 AS BIGINT)} ORDER BY s)
+            FROM weighted) AS state
+    UNION ALL
+    SELECT slot + 1,
+           CASE WHEN pick.had + pick.done + 1 = pick.blocks THEN 0 ELSE t + 1 END,
+           pick.s, pick.had + pick.done,
+           CASE WHEN pick.had + pick.done + 1 = pick.blocks
+                THEN list_transform(list_filter(state, lambda x: x.s <> pick.s),
+                     lambda x: {'s': x.s, 'w': x.w, 'blocks': x.blocks, 'had': x.had + x.done, 'done': CAST(0 AS BIGINT)})
+                ELSE list_transform(state, lambda x: {'s': x.s, 'w': x.w, 'blocks': x.blocks, 'had': x.had,
+                     'done': x.done + CASE WHEN x.s = pick.s THEN 1 ELSE 0 END}) END
+    FROM (
+        SELECT slot, t, state,
+               list_sort(list_transform(
+                   list_filter(state, lambda x: (x.done * total) // x.w <= t),
+                   lambda x: {'due': ((x.done + 1) * total + x.w - 1) // x.w, 's': x.s,
+                              'blocks': x.blocks, 'had': x.had, 'done': x.done}))[1] AS pick
+        FROM (SELECT *, CAST(list_sum(list_transform(state, lambda x: x.w)) AS BIGINT) AS total FROM slots)
+        WHERE len(state) > 0
+    )
+), numbered AS (
+    SELECT doc_id, source, coalesce(source, '') AS s,
+           row_number() OVER (PARTITION BY coalesce(source, '')
+                              ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS n
+    FROM documents
+)
+SELECT doc_id, source, n // 8 AS mix_block, slot AS mix_slot, CAST(n % 8 AS INTEGER) AS mix_place
+FROM numbered JOIN slots ON slots.s = numbered.s AND slots.block = n // 8
+"""
