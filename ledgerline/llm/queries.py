@@ -14,6 +14,7 @@ from ledgerline.llm import (
     near_vectors,
     packing,
     quality,
+    repeats,
     revisits,
     surrogates,
     token_files,
@@ -63,6 +64,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without byte strings of 400 that occur more than once."""
+    return repeats.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """WARC records from raw pages: each page's response and a later revisit of its URL.
 
