@@ -370,7 +370,10 @@ def near_documents(
     firsts = sets.select("set_id", "first_id", "n_docs")
     heads = components(exact.select(F.col("id").alias("a"), F.col("head").alias("b")))
     in_class = heads.join(firsts, F.col("node") == F.col("set_id"))
-    class_ids = in_class.groupBy("root").agg(F.min("first_id").alias("class_first"))
+    # Of sets with the same first document, one stands for the class.
+    class_ids = in_class.groupBy("root").agg(
+        F.min(F.struct("first_id", "set_id")).alias("class_first")
+    )
     of_set = (
         firsts.join(counts, firsts["set_id"] == counts["id"], "left")
         .join(
@@ -381,21 +384,46 @@ def near_documents(
         .select(
             "set_id",
             (F.coalesce("n_other", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
-            F.coalesce("class_first", "first_id").alias("class_id"),
+            F.coalesce("class_first.first_id", "first_id").alias("class_id"),
+            F.coalesce(F.col("class_first.set_id") == F.col("set_id"), F.lit(True)).alias("stands"),
         )
     )
     linked = usable.select("doc_id", "set_id").join(of_set, "set_id")
     alone = every.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id")
+        "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"),
+        F.lit(True).alias("stands"),
     )
     return (
-        linked.select("doc_id", "n_links", "class_id")
+        linked.select("doc_id", "n_links", "class_id", "stands")
         .unionByName(alone)
         .select(
             "doc_id",
             "class_id",
             "n_links",
-            F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"),
+            F.coalesce(
+                (F.col("doc_id") == F.col("class_id")) & F.col("stands"), F.lit(True)
+            ).alias("kept"),
         )
     )
 
+
+def one_of_each_class(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_documents`` keeps.
+
+    Rows without a ``doc_id`` stay.  Where an id is repeated, rows with the same text
+    are one document.
+    """
+    kept = written(
+        near_documents(docs, similarity).where("kept and doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n_rows")),
+        "near-kept",
+    )
+    named = docs.where("doc_id is not null")
+    once = named.join(small_side(kept.where("n_rows = 1").select("doc_id")), "doc_id", "left_semi")
+    again = named.join(small_side(kept.where("n_rows > 1").select("doc_id")), "doc_id", "left_semi")
+    return (
+        once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+        .unionByName(docs.where("doc_id is null"))
+        .select(docs.columns)
+    )

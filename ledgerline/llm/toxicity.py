@@ -271,30 +271,36 @@ def trained(labelled: DataFrame) -> Model:
 _known: dict[str, tuple[Tables, dict[str, float]]] = {}
 
 
+def _scored(name: str, model: Model, texts: list[str]) -> list[float]:
+    """Evidence of each text, by tables kept in the worker under ``name``."""
+    if name not in _known:
+        _known.clear()
+        _known[name] = model.laid_out(), {}
+    tables, known = _known[name]
+    out: list[float] = []
+    for at in range(0, len(texts), 128):
+        split = [text.lower().split() for text in texts[at : at + 128]]
+        new = list(set().union(*split).difference(known))
+        if len(known) + len(new) > MOST_WORDS:
+            known.clear()
+            new = list(set().union(*split))
+        for lo in range(0, len(new), 20_000):
+            part = new[lo : lo + 20_000]
+            known.update(zip(part, tables.evidence(part).tolist()))
+        look = known.__getitem__
+        out += [sum(map(look, w)) / len(w) if w else 0.0 for w in split]
+    return out
+
+
 def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
     """``docs`` (its last column is the text) with the evidence in place of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     name = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _known:
-            _known.clear()
-            _known[name] = shared.value.laid_out(), {}
-        tables, known = _known[name]
         for batch in batches:
-            out = []
-            for at in range(0, batch.num_rows, 128):
-                texts = batch.column(batch.num_columns - 1).slice(at, 128).to_pylist()
-                split = [text.lower().split() for text in texts]
-                new = list(set().union(*split).difference(known))
-                if len(known) + len(new) > MOST_WORDS:
-                    known.clear()
-                    new = list(set().union(*split))
-                for lo in range(0, len(new), 20_000):
-                    part = new[lo : lo + 20_000]
-                    known.update(zip(part, tables.evidence(part).tolist()))
-                look = known.__getitem__
-                out += [sum(map(look, w)) / len(w) if w else 0.0 for w in split]
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            out = _scored(name, shared.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(out, pa.float64())],
                 [*batch.schema.names[:-1], "evidence"],
@@ -371,3 +377,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return score(docs, model, threshold).select(
         "doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "score", "predicted"
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    name = uuid.uuid4().hex
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
+            evidence = np.array(_scored(name, shared.value, texts))
+            logit = shared.value.slope * evidence + shared.value.offset
+            low = 1 / (1 + np.exp(-logit.clip(-700, 700))) < threshold
+            yield batch.filter(pa.array(low, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
