@@ -113,7 +113,9 @@ def found_in(text: str) -> Iterator[tuple[str, str, int, int]]:
 
 
 def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
-    for match in PATTERN.finditer(line):
+    at = 0
+    while match := PATTERN.search(line, at):
+        at = match.end()
         kind = match.lastgroup if match.lastgroup in KINDS else "name"
         value, lo, hi = match[kind], *match.span(kind)
         if kind == "email":
@@ -130,9 +132,10 @@ def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
             normal = line[lo:hi]
         elif kind == "name":
             length = _name_parts(value)
+            # What follows a name, or isn't one, may begin the next.
+            at = hi = lo + length
             if not length:
                 continue
-            hi = lo + length
             words = re.split("[ \u00a0]", line[lo:hi])
             normal = f"{TITLES[match['title']]}|{' '.join(words).casefold()}"
         else:
