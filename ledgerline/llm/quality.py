@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import small_side, whole_text
+from ledgerline.llm.common import small_side, whole_text, written
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
@@ -106,8 +106,11 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[float]:
             F.explode(_buckets(F.col("hashes"))).alias("bucket"),
         )
     )
-    counts = grams.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target")
+    counts = written(
+        grams.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target")
+        ),
+        "bucket-counts",
     )
     every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket")
     filled = every.join(counts, "bucket", "left").na.fill(0, ["raw", "target"])
