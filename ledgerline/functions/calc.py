@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.schemas import MONEY
+from ledgerline.schemas import MONEY, WIDE_MONEY
 
 SECONDS_PER_DAY = 86_400
 
@@ -39,14 +39,25 @@ def epoch_to_date(seconds: Column) -> Column:
     return F.date_from_unix_date(days.try_cast("int"))
 
 
-def epoch_bounds(start: date, end: date) -> tuple[int, int]:
+def epoch_bounds(start: date | Column, end: date | Column) -> tuple[Column, Column]:
     """First and last second of the UTC days ``start`` to ``end``."""
-    first = calendar.timegm(start.timetuple())
-    last = calendar.timegm(end.timetuple()) + SECONDS_PER_DAY - 1
-    return first, last
+    second = lambda day: F.unix_date(F.lit(day)).cast("bigint") * SECONDS_PER_DAY
+    return second(start), second(end) + (SECONDS_PER_DAY - 1)
 
 
-def in_range(day: Column, start: date, end: date) -> Column:
+def times_count(amount: Column, count: Column) -> Column:
+    """An amount of money times a 64-bit count, exact to nine decimals.
+
+    The plain product would have 27 + 19 digits and lose decimals, so whole and
+    fractional parts are multiplied by themselves.
+    """
+    number = count.cast("decimal(19,0)")
+    whole = F.floor(amount).cast("decimal(18,0)")
+    part = (amount - whole).cast("decimal(10,9)")
+    return ((whole * number).cast("decimal(37,9)") + part * number).cast(WIDE_MONEY)
+
+
+def in_range(day: Column, start: date | Column, end: date | Column) -> Column:
     return day.between(F.lit(start), F.lit(end))
 
 

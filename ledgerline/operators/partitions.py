@@ -75,35 +75,6 @@ def written(observation: Observation, path: str) -> Written:
     return Written(counts["rows"], counts["null_keys"])
 
 
-def replace_range(
-    frame: DataFrame,
-    path: str,
-    time_column: str,
-    start: date,
-    end: date,
-    rebalance: bool = True,
-    key_column: str | None = None,
-) -> Written:
-    """Rebuild ``[start, end]``: also days that have no rows any more.
-
-    The new rows are written first.  A folder of the range that still holds a
-    file from before the write was not replaced, so it is stale and is removed.
-    """
-    spark = frame.sparkSession
-    before = {
-        day: _first_file(spark, _day_folder(path, time_column, day))
-        for day in list_days(spark, path, time_column)
-        if start <= day <= end
-    }
-    counts = write_days(
-        frame, path, [time_column], rebalance=rebalance, key_column=key_column
-    )
-    for day, file in before.items():
-        if file is not None and exists(spark, file):
-            _delete(spark, _day_folder(path, time_column, day))
-    return counts
-
-
 def read_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table with its declared types; the folder value is typed by the schema."""
     return spark.read.schema(schema).parquet(path)
@@ -162,17 +133,36 @@ def _day_folder(path: str, column: str, day: date) -> str:
     return f"{path}/{column}={day.isoformat()}"
 
 
-def _first_file(spark: SparkSession, folder: str) -> str | None:
-    """One data file; a write gives its files new names."""
-    path, files = _filesystem(spark, folder)
-    listing = files.listStatusIterator(path)
-    while listing.hasNext():
-        name = listing.next().getPath().getName()
-        if name[0] not in "._":
-            return f"{folder}/{name}"
-    return None
+def delete(spark: SparkSession, path: str) -> None:
+    folder, files = _filesystem(spark, path)
+    files.delete(folder, True)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def put_in_place(spark: SparkSession, made: str, path: str) -> None:
+    """Rename the folder ``made`` to ``path``, whose old content goes."""
+    source, files = _filesystem(spark, made)
+    target, _ = _filesystem(spark, path)
+    if files.exists(target):
+        files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{made} could not be renamed to {path}")
+
+
+def swap_range(
+    spark: SparkSession, made: str, path: str, time_column: str, start: date, end: date
+) -> None:
+    """Days ``start`` to ``end`` of the table at ``path`` become those of ``made``."""
+    new = set(list_days(spark, made, time_column))
+    for day in list_days(spark, path, time_column):
+        if start <= day <= end and day not in new:
+            delete(spark, _day_folder(path, time_column, day))
+    for day in sorted(new):
+        put_in_place(
+            spark, _day_folder(made, time_column, day), _day_folder(path, time_column, day)
+        )
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
     folder, files = _filesystem(spark, path)
-    files.delete(folder, True)
+    files.mkdirs(folder)

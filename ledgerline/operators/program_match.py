@@ -1,24 +1,25 @@
 """Match payment subjects with programs by name.
 
 A subject matches a program when ``lower(subject) LIKE '%lower(name)%'``.  The
-name is a pattern: ``%`` and ``_`` in it are wildcards.  A subject may match
-several programs and is repeated for each; one that matches none gets the
-program ``unknown``.
-
-Up to a measured number of programs they are broadcast and compared with every
-subject.  Beyond it the comparison becomes an equi join: every name is filed
-under one short piece of its literal text, every subject is looked up under all
-of its pieces, and the pairs found are checked with the full condition.  A
-subject that contains a name contains that name's piece, so both ways give the
-same rows.
+name is a pattern: ``%`` and ``_`` in it are wildcards, a backslash is itself.  A
+subject may match several programs and is repeated for each; one that matches none
+gets the program ``unknown``.
+
+Every name is filed under one short piece of its literal text.  A subject that contains
+a name contains that name's piece, so only programs filed under a piece of the subject
+are compared with it.  Up to a measured number of programs the filing is a constant of
+the plan and subjects are matched within their own rows; beyond it the pieces are an
+equi join.  Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.sizing import NESTED_LOOP_LIMIT, SizeLimit, fits
+from ledgerline.operators.sizing import IN_PLAN_LIMIT, SizeLimit, fits
 from ledgerline.session import ensure_checkpoint_dir
 
 UNKNOWN = "unknown"
@@ -26,20 +27,26 @@ PIECE_LENGTH = 3
 # A piece that many subjects share is spread over this many join keys.
 SALTS = 16
 WILDCARDS = r"[%_\\]"
+# No text holds it, so a pattern has no escapes.
+NO_ESCAPE = "\x00"
 
 
 def match_programs(
     payments: DataFrame,
     programs: DataFrame,
-    limit: SizeLimit = NESTED_LOOP_LIMIT,
+    limit: SizeLimit = IN_PLAN_LIMIT,
 ) -> DataFrame:
     """``payments`` with ``program_id`` and ``program_name`` added."""
     # The condition yields null for a null name, so such programs cannot match.
-    named = programs.select("program_id", "program_name").where(
-        F.col("program_name").isNotNull()
+    # Written once: it is measured, filed and joined.
+    ensure_checkpoint_dir(programs.sparkSession)
+    named = (
+        programs.select("program_id", "program_name")
+        .where(F.col("program_name").isNotNull())
+        .checkpoint()
     )
     if fits(named, ["program_id", "program_name"], limit):
-        joined = _match_by_broadcast(payments, named)
+        joined = _match_in_row(payments, named)
     else:
         joined = _match_by_piece(payments, named)
     return joined.select(
@@ -58,25 +65,48 @@ def _patterns(programs: DataFrame) -> DataFrame:
     )
 
 
-def _contains() -> Column:
+def _contains(needle: Column, has_wildcard: Column) -> Column:
     """The LIKE condition; plain names skip the pattern matcher."""
-    return F.when(
-        F.col("has_wildcard"),
-        F.like("subject_text", F.concat(F.lit("%"), "needle", F.lit("%"))),
-    ).otherwise(F.contains("subject_text", "needle"))
+    subject = F.col("subject_text")
+    pattern = F.concat(F.lit("%"), needle, F.lit("%"))
+    return F.when(has_wildcard, F.like(subject, pattern, F.lit(NO_ESCAPE))).otherwise(
+        F.contains(subject, needle)
+    )
 
 
-def _match_by_broadcast(payments: DataFrame, programs: DataFrame) -> DataFrame:
-    return payments.withColumn("subject_text", F.lower("transaction_subject")).join(
-        F.broadcast(_patterns(programs)), _contains(), "left"
+def _match_in_row(payments: DataFrame, programs: DataFrame) -> DataFrame:
+    """Matches as arrays of each payment: no join, no row but the hits."""
+    filed: dict[str, list[dict]] = {}
+    # As many rows as the limit allows.
+    for row in _file_by_piece(_patterns(programs)).collect():
+        values = row.asDict()
+        filed.setdefault(values.pop("piece"), []).append(values)
+    kind = (
+        "map<string,array<struct<program_id:string,program_name:string,"
+        "needle:string,has_wildcard:boolean>>>"
+    )
+    by_piece = F.from_json(F.lit(json.dumps(filed)), kind)
+    pieces = F.from_json(F.lit(json.dumps(sorted(filed))), "array<string>")
+    hits = F.array_intersect(_subject_pieces(F.col("subject_text")), pieces)
+    near = F.flatten(F.transform(hits, lambda piece: F.element_at(by_piece, piece)))
+    found = F.filter(near, lambda p: _contains(p["needle"], p["has_wildcard"]))
+    hit = F.col("hit")
+    return (
+        payments.withColumn("subject_text", F.lower("transaction_subject"))
+        .withColumn("hit", F.explode_outer(found))
+        .select(
+            *payments.columns,
+            hit["program_id"].alias("program_id"),
+            hit["program_name"].alias("program_name"),
+        )
     )
 
 
 def _match_by_piece(payments: DataFrame, programs: DataFrame) -> DataFrame:
-    # Read three times below, so the aggregated payments and the programs are
-    # written once to the checkpoint folder instead of computed again.
+    # Read three times below, so the aggregated payments are written once to the
+    # checkpoint folder instead of computed again.
     ensure_checkpoint_dir(payments.sparkSession)
-    payments, programs = payments.checkpoint(), programs.checkpoint()
+    payments = payments.checkpoint()
     subjects = (
         payments.where(F.col("transaction_subject").isNotNull())
         .select("transaction_subject")
@@ -94,7 +124,7 @@ def _match_by_piece(payments: DataFrame, programs: DataFrame) -> DataFrame:
     )
     pairs = (
         looked_up.join(spread, ["piece", "salt"])
-        .where(_contains())
+        .where(_contains(F.col("needle"), F.col("has_wildcard")))
         .select("transaction_subject", "program_id", "program_name")
     )
     return payments.join(pairs, "transaction_subject", "left")

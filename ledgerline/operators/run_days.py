@@ -21,7 +21,7 @@ def calendar_days(spark: SparkSession, start: date, end: date) -> DataFrame:
 def missing_days(calendar: DataFrame, run_log: DataFrame, source: str) -> DataFrame:
     """Days of the calendar without a finished load of ``source``.
 
-    A day that ran and found no rows is finished too.
+    A day that was landed without rows is finished too; one that was never landed isn't.
     """
     finished = (
         run_log.where(

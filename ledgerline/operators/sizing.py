@@ -22,9 +22,8 @@ class SizeLimit:
     text_bytes: int
 
 
-# Every row of the other side is compared with every program, so this limit is
-# about work as much as memory.
-NESTED_LOOP_LIMIT = SizeLimit(rows=2_000, text_bytes=1 << 20)
+# What may be a constant of a plan.
+IN_PLAN_LIMIT = SizeLimit(rows=2_000, text_bytes=1 << 20)
 HASH_JOIN_LIMIT = SizeLimit(rows=200_000, text_bytes=16 << 20)
 
 

@@ -12,12 +12,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.operators.partitions import write_days
+from ledgerline.operators.partitions import delete, exists, range_folders, write_days
 from ledgerline.operators.run_days import calendar_days
 from ledgerline.plans.warehouse import SNAPSHOT_DATE, Warehouse
 from ledgerline.schemas import RAW, RUN_LOG, StringType
@@ -30,7 +30,7 @@ from ledgerline.sources import (
     stripe,
 )
 from ledgerline.sources.landed import LANDED_DATE, landed_between
-from ledgerline.sources.records import accept, rejects
+from ledgerline.sources.records import PARSE_ERROR, accept, rejects
 
 FAIL_RUN, FAIL_DAY = "fail run", "fail day"
 
@@ -45,7 +45,8 @@ class Source:
 
     table: str
     landed_schema: StructType
-    parse: Callable[[DataFrame, date, date], DataFrame]
+    # Takes documents and the first and last day asked for, as columns.
+    parse: Callable[[DataFrame, Column, Column], DataFrame]
     partition_column: str
     page_report: Callable[[DataFrame], DataFrame] | None = None
     sheet_name: str | None = None
@@ -138,10 +139,17 @@ def append_to_lake(
     ).rows
 
 
-def read_lake_run(warehouse: Warehouse, source: str, run_id: str) -> DataFrame:
-    """One run's records.  The lake holds every run, so a run must be named.
+def read_lake_run(
+    warehouse: Warehouse,
+    source: str,
+    run_id: str,
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
+    """One run's records, of the days ``start`` to ``end`` where they are given.
 
-    Only that run's folders are listed, not the whole history.
+    The lake holds every run, so a run must be named.  With days only their folders
+    are listed.
     """
     columns = [f for f in RAW[source].fields if f.name != SNAPSHOT_DATE]
     schema = (
@@ -151,7 +159,19 @@ def read_lake_run(warehouse: Warehouse, source: str, run_id: str) -> DataFrame:
     )
     lake = warehouse.lake_path(source)
     reader = warehouse.spark.read.schema(schema).option("basePath", lake)
-    return reader.parquet(f"{lake}/partition_date=*/run_id={run_id}")
+    if start is None or end is None:
+        return reader.parquet(f"{lake}/partition_date=*/run_id={run_id}")
+    return reader.parquet(*run_folders(warehouse, source, run_id, start, end))
+
+
+def run_folders(
+    warehouse: Warehouse, source: str, run_id: str, start: date, end: date
+) -> list[str]:
+    """The folders that a run has for the days ``start`` to ``end``."""
+    spark, lake = warehouse.spark, warehouse.lake_path(source)
+    days = range_folders(spark, lake, "partition_date", start, end)
+    folders = [f"{day}/run_id={run_id}" for day in days]
+    return [folder for folder in folders if exists(spark, folder)]
 
 
 def load_partitions(
@@ -184,25 +204,35 @@ def ingest(
 ) -> DataFrame:
     """Load the days ``start`` to ``end`` of one source; this run's log rows.
 
-    A day without rows is logged as skipped, and its partition stays as it is.
-    A bad record fails the whole run before anything is replaced, or, with
-    ``FAIL_DAY``, only the day it was landed for.
+    Every document is read as the run of its own landed day would read it, so a range
+    gives what its days give one by one.  A day that was landed without rows is logged
+    as skipped, one that was never landed as missing; their partitions stay as they
+    are.  A bad record fails the whole run before anything is replaced, or, with
+    ``FAIL_DAY``, only the day it was landed for.  So does a record whose partition is
+    another day than it was landed for: replacing that day by a part of its rows would
+    lose the others.
+
+    A run id that is used again replaces its earlier files of the days asked for.
     """
     landed = landed_between(documents, start, end)
     if source.page_report is not None:
         _require_whole(source.page_report(landed), source.table)
+    # At most one row per day of the range.
+    there = {row[0] for row in landed.select(LANDED_DATE).distinct().collect()}
     failed = []
     if on_bad_record == FAIL_DAY:
-        failed = _days_with_rejects(source.parse(landed, start, end))
+        failed = _days_with_rejects(_parsed(source, landed))
         landed = landed.where(~F.col(LANDED_DATE).isin(failed)) if failed else landed
 
-    records = accept(source.parse(landed, start, end), source.table)
-    day = LANDED_DATE if source.partition_column == SNAPSHOT_DATE else source.partition_column
+    records = accept(_parsed(source, landed), source.table)
+    day = _day_column(source)
+    for folder in run_folders(warehouse, source.table, run_id, start, end):
+        delete(warehouse.spark, folder)
     dated = records.withColumn("partition_date", F.col(day)).drop(LANDED_DATE)
     stamped = add_loaded_at(dated, run_time)
     kept = append_to_lake(stamped, warehouse, source.table, run_id)
     if kept:
-        run = read_lake_run(warehouse, source.table, run_id)
+        run = read_lake_run(warehouse, source.table, run_id, start, end)
         columns = RAW[source.table].fieldNames()
         loaded = load_partitions(
             run.select(*columns),
@@ -217,7 +247,24 @@ def ingest(
         per_day = run.groupBy("partition_date").agg(F.count(F.lit(1)).alias("rows"))
     else:
         per_day = None
-    return log_run(source, warehouse, start, end, run_id, run_time, per_day, failed)
+    return log_run(
+        source, warehouse, start, end, run_id, run_time, per_day, failed, sorted(there)
+    )
+
+
+def _day_column(source: Source) -> str:
+    by_landing = source.partition_column == SNAPSHOT_DATE
+    return LANDED_DATE if by_landing else source.partition_column
+
+
+def _parsed(source: Source, landed: DataFrame) -> DataFrame:
+    """Records in the windows of their own landed days; those of another are refused."""
+    parsed = source.parse(landed, F.col(LANDED_DATE), F.col(LANDED_DATE))
+    day = _day_column(source)
+    if day == LANDED_DATE:
+        return parsed
+    strays = F.when(F.col(day) != F.col(LANDED_DATE), F.lit(f"{day} of another run day"))
+    return parsed.withColumn(PARSE_ERROR, F.coalesce(PARSE_ERROR, strays))
 
 
 def log_run(
@@ -229,6 +276,7 @@ def log_run(
     run_time: datetime,
     per_day: DataFrame | None,
     failed: list[date],
+    landed: list[date],
 ) -> DataFrame:
     """Append one row per day of the run, and return them."""
     days = calendar_days(warehouse.spark, start, end)
@@ -236,6 +284,7 @@ def log_run(
         per_day = days.where(F.lit(False)).withColumn("rows", F.lit(0).cast("bigint"))
     rows = F.coalesce("rows", F.lit(0).cast("bigint"))
     is_failed = F.col("partition_date").isin(failed) if failed else F.lit(False)
+    is_landed = F.col("partition_date").isin(landed) if landed else F.lit(False)
     log = add_loaded_at(
         days.join(per_day, "partition_date", "left").select(
             F.lit(source.table).alias("source"),
@@ -243,7 +292,8 @@ def log_run(
             F.lit(run_id).alias("run_id"),
             F.when(is_failed, "failed")
             .when(rows > 0, "loaded")
-            .otherwise("skipped")
+            .when(is_landed, "skipped")
+            .otherwise("missing")
             .alias("status"),
             rows.alias("rows_loaded"),
             F.when(
@@ -265,9 +315,10 @@ def log_run(
 
 
 def _require_whole(report: DataFrame, table: str) -> None:
-    holes = report.where(~F.col("is_complete")).limit(5).collect()
+    # At most one row per day of the run.
+    holes = report.where(~F.col("is_complete")).select(LANDED_DATE).distinct().collect()
     if holes:
-        days = ", ".join(str(row[LANDED_DATE]) for row in holes)
+        days = ", ".join(sorted(str(row[LANDED_DATE]) for row in holes))
         raise IncompletePages(f"{table}: pages are missing for {days}")
 
 
@@ -293,5 +344,6 @@ __all__ = [
     "load_partitions",
     "log_run",
     "read_lake_run",
+    "run_folders",
     "sheet",
 ]

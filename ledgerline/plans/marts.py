@@ -12,7 +12,12 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calc import in_range, month_start, safe_divide
+from ledgerline.functions.calc import (
+    in_range,
+    month_start,
+    safe_divide,
+    times_count,
+)
 from ledgerline.operators.program_match import match_programs
 from ledgerline.operators.sizing import HASH_JOIN_LIMIT, fits, one_row_per_day
 from ledgerline.schemas import COUNT, WIDE_MONEY
@@ -217,7 +222,7 @@ def stock_levels(
 def stock_status(joined: DataFrame) -> DataFrame:
     on_hand = F.col("quantity_on_hand")
     active = F.coalesce("active_student_count", F.lit(0))
-    usage = (F.col("units_per_student") * active.cast(COUNT)).cast(WIDE_MONEY)
+    usage = times_count(F.col("units_per_student"), active)
     # Nine decimals, as a numeric quotient has; null where nothing is used.
     days = safe_divide(on_hand.cast(COUNT), usage).cast(WIDE_MONEY)
     status = (
@@ -226,7 +231,7 @@ def stock_status(joined: DataFrame) -> DataFrame:
         .when(days <= F.lit(Decimal(REORDER_SOON_DAYS)), "reorder_soon")
         .otherwise("ok")
     )
-    reorder_cost = F.col("unit_cost_usd") * F.col("reorder_quantity").cast(COUNT)
+    reorder_cost = times_count(F.col("unit_cost_usd"), F.col("reorder_quantity"))
     return joined.select(
         "sku_id",
         "sku_name",

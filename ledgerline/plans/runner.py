@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from ledgerline.functions.calc import whole_months
-from ledgerline.operators.partitions import count_on_write, replace_range, written
+from ledgerline.operators.partitions import (
+    count_on_write,
+    delete,
+    ensure_folder,
+    put_in_place,
+    swap_range,
+    write_days,
+    written,
+)
 from ledgerline.operators.quality import AuditError
 from ledgerline.plans.models import BY_MONTH, FULL, MODELS, Model
 from ledgerline.plans.models import model as model_named
@@ -31,37 +40,45 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
     """Build one model for a day range; rows written.
 
     A by-month model is widened to whole months, since its days only make sense
-    together.  Days of the range that have no rows any more are removed.  The
-    null-key audit counts while writing, so it costs no second scan.
+    together.  Days of the range that have no rows any more are removed.  Rows are
+    written beside the table, counted by the null-key audit on the way, and take the
+    table's place only if they pass it.
     """
     if model.kind == BY_MONTH:
         start, end = whole_months(start, end)
     inputs = {
-        name: warehouse.read(name)
+        name: warehouse.read_whole(name, start, end)
         if name in model.whole_reads
         else warehouse.read_range(name, kept_by(name), start, end)
         for name in model.reads
     }
     frame = model.build(inputs, start, end)
-    path = warehouse.path(model.name)
+    path, spark = warehouse.path(model.name), warehouse.spark
+    made = f"{warehouse.root}/building/{model.name}-{uuid.uuid4().hex}"
     if model.kind == FULL:
         counted, observation = count_on_write(frame, model.audit_column)
-        counted.write.mode("overwrite").parquet(path)
-        counts = written(observation, path)
+        counted.write.parquet(made)
+        counts = written(observation, made)
     else:
-        counts = replace_range(
+        counts = write_days(
             frame,
-            path,
-            model.time_column,
-            start,
-            end,
+            made,
+            [model.time_column],
             rebalance=not model.keeps_layout,
             key_column=model.audit_column,
         )
     if counts.null_keys:
+        delete(spark, made)
         raise AuditError(
             f"{model.name}: {counts.null_keys} rows with null {model.audit_column}"
         )
+    if model.kind == FULL:
+        put_in_place(spark, made, path)
+    else:
+        swap_range(spark, made, path, model.time_column, start, end)
+        delete(spark, made)
+        # A table without any rows yet is a folder all the same.
+        ensure_folder(spark, path)
     return counts.rows
 
 

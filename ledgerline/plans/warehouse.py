@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.calc import in_range
 from ledgerline.operators.partitions import (
     exists,
     list_days,
@@ -17,6 +18,7 @@ from ledgerline.operators.partitions import (
 from ledgerline.operators.sizing import HASH_JOIN_LIMIT, fits
 from ledgerline.schemas import RAW, RUN_LOG, STAGING
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.records import unreadable_or
 
 SNAPSHOT_DATE = "partition_date"
 
@@ -52,6 +54,21 @@ class Warehouse:
             self.spark, self.path(name), schema, column, start, end
         ).select(*schema.fieldNames())
 
+    def read_whole(self, name: str, start: date, end: date) -> DataFrame:
+        """A table that isn't kept by the days of a run: sheets, programs.
+
+        Of the inventory only snapshots of those days are wanted, and a snapshot isn't
+        landed before its day: earlier landings are not listed.
+        """
+        if name != "raw.google_sheets_inventory":
+            return self.read(name)
+        schema = RAW["google_sheets_inventory"]
+        rows = read_range(self.spark, self.path(name), schema, SNAPSHOT_DATE, start, date.max)
+        taken = F.col("snapshot_date").try_cast("date")
+        return latest_per_snapshot(
+            rows.where(unreadable_or(in_range(taken, start, end)))
+        )
+
     def _read_raw(self, table: str) -> DataFrame:
         path, schema = self.path(f"raw.{table}"), RAW[table]
         if table == "google_sheets_inventory":

@@ -24,8 +24,8 @@ from pyspark.sql.types import (
 MONEY = DecimalType(27, 9)
 # Published ratios and sums of sums.
 WIDE_MONEY = DecimalType(38, 9)
-# Counts that multiply money: 27 + 10 + 1 digits is the widest exact product.
-COUNT = DecimalType(10, 0)
+# Any 64-bit count.
+COUNT = DecimalType(19, 0)
 
 S, I, F, N, B, D, TS = (
     StringType(),

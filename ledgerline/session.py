@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,7 +43,7 @@ def sized_for(shuffled_bytes: int) -> dict[str, str]:
     AQE merges partitions but, outside skew handling, does not add any: the
     initial number must suit the largest shuffle.
     """
-    partitions = max(200, min(50_000, shuffled_bytes // ADVISORY_BYTES))
+    partitions = max(200, shuffled_bytes // ADVISORY_BYTES)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
@@ -51,18 +53,22 @@ def sized_for(shuffled_bytes: int) -> dict[str, str]:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name in the shared folder of ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where that setting is absent, which is
-    the case in single-machine tests.
+    Where that setting is absent, a folder of this machine will do for a local master
+    and is refused for any other.
     """
+    return f"{shared_folder(spark)}/ledgerline/{label}-{uuid.uuid4().hex}"
+
+
+def shared_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="ledgerline-")
-    return f"{base}/ledgerline/{label}-{uuid.uuid4().hex}"
+    if shared:
+        return shared.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return tempfile.mkdtemp(prefix="ledgerline-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let ``DataFrame.checkpoint`` work where no folder has been named."""
     if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(
-            shared or tempfile.mkdtemp(prefix="ledgerline-checkpoint-")
-        )
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

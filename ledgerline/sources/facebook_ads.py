@@ -32,7 +32,7 @@ def unpack(insights: DataFrame) -> DataFrame:
     return insights.withColumn("actions", empty_if_null(F.col("actions")))
 
 
-def in_window(start: date, end: date) -> Column:
+def in_window(start: date | Column, end: date | Column) -> Column:
     return unreadable_or(in_range(iso_date(F.col("date_start")), start, end))
 
 

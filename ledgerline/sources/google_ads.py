@@ -41,7 +41,7 @@ def on_day(day: date) -> Column:
     return F.col("`segments.date`") == F.lit(day.isoformat())
 
 
-def in_window(start: date, end: date) -> Column:
+def in_window(start: date | Column, end: date | Column) -> Column:
     return unreadable_or(in_range(iso_date(F.col("`segments.date`")), start, end))
 
 

@@ -48,7 +48,7 @@ def unpack(reports: DataFrame, config: ReportConfig) -> DataFrame:
     )
 
 
-def in_window(start: date, end: date) -> Column:
+def in_window(start: date | Column, end: date | Column) -> Column:
     return unreadable_or(in_range(compact_date(F.col("date")), start, end))
 
 
@@ -81,7 +81,10 @@ def parse(rows: DataFrame, config: ReportConfig) -> DataFrame:
 
 
 def report(
-    reports: DataFrame, config: ReportConfig, start: date, end: date
+    reports: DataFrame,
+    config: ReportConfig,
+    start: date | Column,
+    end: date | Column,
 ) -> DataFrame:
     """Rows of the asked days with the asked dimensions and metrics."""
     return parse(unpack(reports, config).where(in_window(start, end)), config)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.calc import epoch_bounds
 from ledgerline.functions.casts import first_filled, iso_date, money, refused
 from ledgerline.sources.landed import LANDED_DATE, empty_if_null, kept_columns
 from ledgerline.sources.records import Field, parse_fields, unreadable_or
@@ -20,16 +21,15 @@ def unpack(pages: DataFrame) -> DataFrame:
     return pages.select(*kept_columns(pages), F.inline(details))
 
 
-def in_window(start: date, end: date) -> Column:
+def in_window(start: date | Column, end: date | Column) -> Column:
     """Initiated from ``start`` 00:00:00 to ``end`` 23:59:59, at offset -0000."""
     initiated = F.col("transaction_info.transaction_initiation_date")
     instant = F.coalesce(
         F.try_to_timestamp(initiated, F.lit(INSTANT_FORMAT)),
         initiated.try_cast("timestamp"),
     )
-    first = F.lit(f"{start.isoformat()}T00:00:00Z").cast("timestamp")
-    after = F.lit(f"{(end + timedelta(days=1)).isoformat()}T00:00:00Z")
-    return unreadable_or((instant >= first) & (instant < after.cast("timestamp")))
+    first, last = epoch_bounds(start, end)
+    return unreadable_or(F.unix_seconds(instant).between(first, last))
 
 
 def parse(transactions: DataFrame) -> DataFrame:

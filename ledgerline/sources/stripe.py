@@ -18,7 +18,7 @@ def unpack(pages: DataFrame) -> DataFrame:
     return pages.select(*kept_columns(pages), F.inline("data"))
 
 
-def in_window(start: date, end: date) -> Column:
+def in_window(start: date | Column, end: date | Column) -> Column:
     """Charges created in the UTC days ``start`` to ``end``, both inclusive."""
     first, last = epoch_bounds(start, end)
     return unreadable_or(whole_number(F.col("created")).between(first, last))

@@ -773,7 +773,7 @@ def new_warehouse(spark: SparkSession, label: str) -> Warehouse:
     """
 SELECT partition_date, source, run_id, status, rows_loaded, has_uri, logged_at
 FROM (SELECT d.day AS partition_date, 'facebook_ads' AS source, 'run-0001' AS run_id,
-        CASE WHEN COUNT(e.k) > 0 THEN 'loaded' ELSE 'skipped' END AS status,
+        CASE WHEN COUNT(e.k) > 0 THEN 'loaded' ELSE 'missing' END AS status,
         COUNT(e.k) AS rows_loaded, COUNT(e.k) > 0 AS has_uri,
         TIMESTAMP '2024-02-01 06:00:00' AS logged_at
       FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31',
@@ -975,15 +975,14 @@ FROM (SELECT CAST(unnest(generate_series({EVENT_FROM}, {EVENT_TO}, INTERVAL 1 DA
 WHERE d.day NOT IN (SELECT date FROM ads)"""
 )
 def backfill_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = (
-        inputs.raw_google_ads(spark, sf_dir)
-        .groupBy(F.col("date").alias("partition_date"))
-        .agg(F.count(F.lit(1)).alias("rows_loaded"))
-        .select(
-            "partition_date",
-            F.lit("google_ads").alias("source"),
-            F.lit("loaded").alias("status"),
-        )
+    """Days that an ingest run of the whole range left without a finished load."""
+    log = loads.ingest(
+        loads.google_ads_account("1234567890"),
+        inputs.google_ads_documents(spark, sf_dir),
+        new_warehouse(spark, "gaps"),
+        *EVENT_RANGE,
+        RUN_ID,
+        RUN_TIME,
     )
     return missing_days(calendar_days(spark, *EVENT_RANGE), log, "google_ads")
 

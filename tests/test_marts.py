@@ -246,6 +246,19 @@ def test_stock_keeps_nine_decimals_of_usage(spark):
     assert row.days_of_stock_remaining == Decimal("40.5")
 
 
+def test_stock_holds_any_64_bit_count(spark):
+    item = {
+        "sku_id": "x",
+        "quantity_on_hand": 9_223_372_036_854_775_807,
+        "reorder_quantity": 20_000_000_000,
+        "unit_cost_usd": money("1.005000001"),
+        "units_per_student": money("0.5"),
+    }
+    row = stock(spark, [item], [("a", "active")] * 3)["x"]
+    assert row.days_of_stock_remaining == Decimal("6148914691236517204.7")
+    assert row.reorder_cost_usd == Decimal("20100000020.00") and row.stock_status == "ok"
+
+
 def test_ads_staging_rounds_cost_and_guards_division(spark):
     raw = spark.createDataFrame(
         [

@@ -44,6 +44,7 @@ def test_edges(spark, limit):
         (6, "nothing here"),
         (7, "a"),
         (8, "Barber and Cosmetology"),
+        (9, "zz\\y and A\\b_c"),
     ]
     programs = [
         ("p1", "Cosmetology"),
@@ -54,6 +55,9 @@ def test_edges(spark, limit):
         ("p5", "no%here"),
         ("p6", "a"),
         ("p7", None),
+        ("p8", "zz\\y"),
+        ("p9", "a\\b%"),
+        ("p10", "q\\"),
     ]
     found = match_programs(
         spark.createDataFrame(payments, PAYMENTS),

@@ -14,7 +14,7 @@ from ledgerline.functions.calc import new_york_day, whole_months
 from ledgerline.operators.partitions import (
     Written,
     list_days,
-    replace_range,
+    swap_range,
     write_days,
 )
 from ledgerline.operators.quality import AuditError, assert_no_nulls, repeated_keys
@@ -91,7 +91,7 @@ def test_ingest_stripe_from_files(warehouse, tmp_path):
     assert {d: (r.status, r.rows_loaded) for d, r in log.items()} == {
         D15: ("loaded", 2),
         D16: ("loaded", 1),
-        D17: ("skipped", 0),
+        D17: ("missing", 0),
     }
     assert "/lake/stripe_charges/partition_date=2024-01-15/run_id=r1" in log[D15].uri
     table = warehouse.read("raw.stripe_charges")
@@ -105,6 +105,93 @@ def test_ingest_stripe_from_files(warehouse, tmp_path):
     assert table.where("charge_id = 'ch_1'").head().gross_amount_usd == Decimal(10)
 
 
+def payment(key, written, day):
+    return {
+        "transaction_info": {
+            "transaction_id": key,
+            "transaction_initiation_date": f"{day.isoformat()}T{written}",
+            "transaction_amount": {"value": "9.50", "currency_code": "USD"},
+            "transaction_status": "S",
+        }
+    }
+
+
+def numbered(*payments):
+    return {"page": 1, "total_pages": 1, "transaction_details": list(payments)}
+
+
+def test_a_record_of_another_day_stops_the_run_before_anything_is_lost(warehouse, tmp_path):
+    land(tmp_path, D15, numbered(payment("a", "10:00:00+0000", D15), payment("b", "11:00:00+0000", D15)))
+    run(loads.PAYPAL, tmp_path, warehouse, D15, D15, "r1")
+    # Still the 15th as written, but the 16th as an instant: the run of the 16th gets it.
+    land(tmp_path, D16, numbered(payment("c", "23:30:00-0500", D15), payment("e", "09:00:00+0000", D16)))
+    with pytest.raises(Exception, match="transaction_date of another run day"):
+        run(loads.PAYPAL, tmp_path, warehouse, D16, D16, "r2")
+    log = run(loads.PAYPAL, tmp_path, warehouse, D15, D16, "r3", on_bad_record=loads.FAIL_DAY)
+    assert [log[day].status for day in (D15, D16)] == ["loaded", "failed"]
+    kept = warehouse.read("raw.paypal_transactions").collect()
+    assert {(r.transaction_id, r.transaction_date) for r in kept} == {("a", D15), ("b", D15)}
+
+
+def test_a_range_gives_what_its_days_give(warehouse, tmp_path):
+    land(tmp_path, D15, page(charge("on", D15), charge("late", D16)))
+    land(tmp_path, D16, page(charge("early", D15), charge("two", D16)))
+    found = []
+    for ranges in ([(D15, D16)], [(D15, D15), (D16, D16)]):
+        for start, end in ranges:
+            run(loads.STRIPE, tmp_path, warehouse, start, end, f"r{len(found)}")
+        rows = warehouse.read("raw.stripe_charges").collect()
+        found.append({(r.charge_id, r.charge_date) for r in rows})
+    assert found == [{("on", D15), ("two", D16)}] * 2
+
+
+def test_a_run_id_may_be_used_again_for_fewer_days(warehouse, tmp_path):
+    land(tmp_path / "a", D15, page(charge("one", D15)))
+    land(tmp_path / "a", D16, page(charge("two", D16)))
+    run(loads.STRIPE, tmp_path / "a", warehouse, D15, D16, "r1")
+    land(tmp_path / "b", D16, page(charge("three", D16)))
+    log = run(loads.STRIPE, tmp_path / "b", warehouse, D16, D16, "r1")
+    assert log[D16].rows_loaded == 1
+    ids = {r.charge_id for r in warehouse.read("raw.stripe_charges").collect()}
+    assert ids == {"one", "three"}
+
+
+def test_days_never_landed_stay_gaps(warehouse, tmp_path):
+    land(tmp_path, D15, page(charge("one", D15)))
+    land(tmp_path, D16, page())
+    log = run(loads.STRIPE, tmp_path, warehouse, D15, D17)
+    assert [log[d].status for d in (D15, D16, D17)] == ["loaded", "skipped", "missing"]
+    days = calendar_days(warehouse.spark, D15, D17)
+    gaps = missing_days(days, warehouse.run_log(), "stripe_charges").collect()
+    assert [r.partition_date for r in gaps] == [D17]
+
+
+def test_a_failed_audit_leaves_the_table_as_it_was(warehouse):
+    for name, table, day, key in (
+        ("staging.stripe_charges", "stripe_charges", "charge_date", "charge_id"),
+        ("staging.sheet_programs", "google_sheets_programs", "partition_date", "program_id"),
+    ):
+        built, good = model(name), one_raw_row(warehouse.spark, table)
+        loads.load_partitions(good, warehouse, table, day)
+        run_model(warehouse, built, D15, D15)
+        before = sorted(map(str, warehouse.read(name).collect()))
+        assert len(before) == 1
+        bad = good.withColumn(key, F.lit(None).cast("string"))
+        loads.load_partitions(bad, warehouse, table, day)
+        with pytest.raises(AuditError):
+            run_model(warehouse, built, D15, D15)
+        assert sorted(map(str, warehouse.read(name).collect())) == before
+
+
+def one_raw_row(spark, table):
+    values = {"date": D15, "timestamp": RUN_TIME, "bigint": 1, "double": 1.0, "string": "1"}
+    row = tuple(
+        "true" if f.name == "is_active" else values.get(f.dataType.simpleString(), Decimal(1))
+        for f in RAW[table].fields
+    )
+    return spark.createDataFrame([row], RAW[table])
+
+
 def test_ingest_only_the_asked_days(warehouse, tmp_path):
     land(tmp_path, D15, page(charge("ch_1", D15)))
     land(tmp_path, D16, page(charge("ch_2", D16)))
@@ -212,7 +299,9 @@ def test_rebuild_clears_days_that_became_empty(warehouse):
     path = warehouse.path(performance.name)
     kept = warehouse.read(performance.name).where(F.col("date") != F.lit(D16))
     frame = spark.createDataFrame(kept.collect(), kept.schema)
-    replace_range(frame.where(F.col("date") < F.lit(D17)), path, "date", D15, D16)
+    made = f"{warehouse.root}/made"
+    write_days(frame.where(F.col("date") < F.lit(D17)), made, ["date"])
+    swap_range(spark, made, path, "date", D15, D16)
     assert list_days(spark, path, "date") == [D15, D17]
 
 
@@ -231,7 +320,7 @@ def test_session_sizing():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert sized_for(1 << 30)[key] == "200"
     assert sized_for(1 << 40)[key] == "8192"
-    assert sized_for(1 << 50)[key] == "50000"
+    assert sized_for(1 << 50)[key] == str(1 << 23)
 
 
 def test_rows_written_are_reported(warehouse):
