@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 
@@ -870,22 +869,19 @@ def ingested(
 ) -> DataFrame:
     """Run the load job and read the table back."""
     warehouse = new_warehouse(spark, "ingest")
-    # The landed pages made from the tables are not chained within a day; the
-    # page checks have queries of their own.
-    unchained = replace(source, page_report=None)
-    loads.ingest(unchained, documents, warehouse, *days, RUN_ID, RUN_TIME)
+    loads.ingest(source, documents, warehouse, *days, RUN_ID, RUN_TIME)
     return warehouse.read(f"raw.{source.table}")
 
 
 @query(f"SELECT {CHARGE_COLUMNS}, loaded_at FROM paged_charges")
 def ingest_stripe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.stripe_pages(spark, sf_dir)
+    pages = inputs.fetched_stripe_pages(spark, sf_dir)
     return ingested(spark, loads.STRIPE, pages, PAYMENT_RANGE)
 
 
 @query(f"SELECT {TRANSACTION_COLUMNS}, loaded_at FROM paged_transactions")
 def ingest_paypal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.paypal_pages(spark, sf_dir)
+    pages = inputs.fetched_paypal_pages(spark, sf_dir)
     return ingested(spark, loads.PAYPAL, pages, PAYMENT_RANGE)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
@@ -244,6 +244,33 @@ def stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_from_text(texts, schemas.STRIPE_PAGE)
 
 
+def fetched_stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of a day as one fetch gives them: each names the charge it follows."""
+    pages = stripe_pages(spark, sf_dir).where(F.size("data") > 0)
+    last = F.try_element_at("data", F.lit(-1))["id"]
+    fetch = Window.partitionBy("landed_date").orderBy(last)
+    return pages.withColumns(
+        {
+            "starting_after": F.lag(last).over(fetch),
+            "has_more": F.lead(last).over(fetch).isNotNull(),
+        }
+    )
+
+
+def fetched_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of a day as one fetch gives them: numbered, with their total."""
+    pages = paypal_pages(spark, sf_dir)
+    first = F.try_element_at("transaction_details", F.lit(1))
+    key = first["transaction_info"]["transaction_id"]
+    fetch = Window.partitionBy("landed_date")
+    return pages.withColumns(
+        {
+            "page": F.row_number().over(fetch.orderBy(key)).cast("bigint"),
+            "total_pages": F.count(F.lit(1)).over(fetch),
+        }
+    )
+
+
 def stripe_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen pages per chain; some cursors name a lost page."""
     texts = spread_base(spark, sf_dir, "order_base").selectExpr(
