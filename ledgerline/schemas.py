@@ -194,6 +194,7 @@ RAW = {
         unit_cost_usd=S,
         units_per_student=S,
         snapshot_date=S,
+        other_columns=S,
         loaded_at=TS,
         partition_date=D,
     ),
@@ -204,6 +205,7 @@ RAW = {
         duration_weeks=S,
         max_enrollment=S,
         is_active=S,
+        other_columns=S,
         loaded_at=TS,
         partition_date=D,
     ),
@@ -218,6 +220,7 @@ RAW = {
         enrolled_at=S,
         expected_grad_date=S,
         actual_grad_date=S,
+        other_columns=S,
         loaded_at=TS,
         partition_date=D,
     ),

@@ -72,8 +72,12 @@ def unpack(documents: DataFrame) -> DataFrame:
 
 
 def parse(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Text columns by header name; a repeated header's last column wins."""
-    fields = [_cell(name) for name in columns]
+    """Text columns by header name; a repeated header's last column wins.
+
+    Columns that aren't asked for are kept as one JSON object, ``other_columns``; null
+    where there are none.
+    """
+    fields = [*[_cell(name) for name in columns], Field("other_columns", _others(columns))]
     uneven = F.size("header") != F.size("row")
     parsed = parse_fields(
         rows,
@@ -90,12 +94,20 @@ def _cell(name: str) -> Field:
     return Field(name, value, from_end == 0)
 
 
-def columns_of(documents: DataFrame) -> tuple[str, ...]:
-    """Header names of one sheet, for sheets whose columns are not declared.
+def _others(columns: tuple[str, ...]) -> Column:
+    known = F.array(*[F.lit(name) for name in columns])
+    backwards = F.reverse(F.col("header"))
 
-    Reads one header; a sheet has one.
-    """
-    first = documents.select(F.try_element_at("values", F.lit(1)).alias("h")).head()
-    if first is None or first["h"] is None:
-        raise ValueError("The sheet is empty or has no header row")
-    return tuple(dict.fromkeys(first["h"]))
+    def is_other(cell: Column) -> Column:
+        from_end = F.size("header") - cell["place"]
+        last = F.array_position(backwards, cell["key"]) == from_end
+        return last & ~F.array_contains(known, cell["key"])
+
+    cells = F.transform(
+        "header",
+        lambda name, n: F.struct(
+            name.alias("key"), F.get("row", n).alias("value"), n.alias("place")
+        ),
+    )
+    kept = F.transform(F.filter(cells, is_other), lambda c: F.struct(c["key"], c["value"]))
+    return F.when(F.size(kept) > 0, F.to_json(F.map_from_entries(kept)))

@@ -395,13 +395,24 @@ SELECT 'sku_' || k AS sku_id, name AS sku_name, 'prog_' || k % 25 AS program_id,
 FROM part_base"""
 
 
-@query(SHEET_TEXTS)
-def parse_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = google_sheets.unpack(inputs.inventory_sheets(spark, sf_dir))
-    parsed = google_sheets.parse(rows, google_sheets.INVENTORY)
+def parsed_inventory(sheets: DataFrame) -> DataFrame:
+    parsed = google_sheets.parse(google_sheets.unpack(sheets), google_sheets.INVENTORY)
     return accept(parsed, "google_sheets_inventory").drop("landed_date")
 
 
+@query(f"SELECT *, '{{\"shelf\":\"at ' || snapshot_date || '\"}}' AS other_columns FROM ({SHEET_TEXTS}) AS t")
+def parse_sheet_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed sheet with a column that nobody declared."""
+    cell = "IF(n = 0, 'shelf', 'at ' || row[0])"
+    widened = F.expr(f"transform(values, (row, n) -> array_append(row, {cell}))")
+    return parsed_inventory(inputs.inventory_sheets(spark, sf_dir).withColumn("values", widened))
+
+
+@query(f"SELECT *, CAST(NULL AS VARCHAR) AS other_columns FROM ({SHEET_TEXTS}) AS t")
+def parse_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed_inventory(inputs.inventory_sheets(spark, sf_dir))
+
+
 @query(f"SELECT {FACEBOOK_COLUMNS} FROM facebook")
 def parse_facebook(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = facebook_ads.unpack(inputs.facebook_documents(spark, sf_dir))
@@ -910,7 +921,8 @@ def ingest_ga(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-SELECT *, {LOADED_AT} AS loaded_at, CAST(snapshot_date AS DATE) AS partition_date
+SELECT *, CAST(NULL AS VARCHAR) AS other_columns, {LOADED_AT} AS loaded_at,
+  CAST(snapshot_date AS DATE) AS partition_date
 FROM ({SHEET_TEXTS}) AS t"""
 )
 def ingest_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

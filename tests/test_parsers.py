@@ -381,7 +381,7 @@ def parse_values(spark, values, columns=("name", "age", "city")):
 
 def test_sheet_values(spark):
     found = accept(parse_values(spark, PEOPLE), "people").drop(LANDED_DATE)
-    assert [list(row) for row in found.collect()] == PEOPLE[1:]
+    assert [list(row) for row in found.collect()] == [[*row, None] for row in PEOPLE[1:]]
 
 
 def test_sheet_header_only_and_empty(spark):
@@ -402,9 +402,10 @@ def test_sheet_last_of_a_repeated_header_wins(spark):
     assert accepted(parse_values(spark, values, ("name",))).head().name == "last"
 
 
-def test_sheet_columns_from_header(spark):
-    sheets = documents(spark, schemas.SHEET_VALUES, {"sheet": "p", "values": PEOPLE})
-    assert google_sheets.columns_of(sheets) == ("name", "age", "city")
+def test_sheet_keeps_columns_nobody_asked_for(spark):
+    values = [["age", "name", "x", "x"], ["61", "Ines", "1", "2"]]
+    row = accepted(parse_values(spark, values, ("name",))).head()
+    assert row.name == "Ines" and json.loads(row.other_columns) == {"age": "61", "x": "2"}
 
 
 def insight(**changes):
