@@ -400,10 +400,10 @@ def parsed_inventory(sheets: DataFrame) -> DataFrame:
     return accept(parsed, "google_sheets_inventory").drop("landed_date")
 
 
-@query(f"SELECT *, '{{\"shelf\":\"at ' || snapshot_date || '\"}}' AS other_columns FROM ({SHEET_TEXTS}) AS t")
+@query(f"SELECT *, '{{\"shelf\":\"at ' || sku_id || '\"}}' AS other_columns FROM ({SHEET_TEXTS}) AS t")
 def parse_sheet_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed sheet with a column that nobody declared."""
-    cell = "IF(n = 0, 'shelf', 'at ' || row[0])"
+    cell = "IF(n = 0, 'shelf', 'at ' || array_max(filter(row, x -> x LIKE 'sku%')))"
     widened = F.expr(f"transform(values, (row, n) -> array_append(row, {cell}))")
     return parsed_inventory(inputs.inventory_sheets(spark, sf_dir).withColumn("values", widened))
 
