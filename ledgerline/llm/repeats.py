@@ -37,6 +37,7 @@ Q = 32
 MOST_KINDS = 512
 SORT_BYTES = 600_000
 READ_BYTES = 2 << 20
+MOST_ITEMS = 1_500_000  # some 64 bytes each
 STRETCHES = "doc_key long, anchor long, kind long, first int, last int, at int"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -182,6 +183,12 @@ def _plain(docs: DataFrame) -> DataFrame:
     )
 
 
+def _small_lists(frame: DataFrame, name: str) -> DataFrame:
+    """Marked for broadcast where all lists of a column have ``MOST_ITEMS`` at most."""
+    items = frame.agg(F.coalesce(F.sum(F.size(name)), F.lit(0))).head()[0]
+    return F.broadcast(frame) if items <= MOST_ITEMS else frame
+
+
 WANTED = "anchor long, doc_key long, first int, last int, at int, single boolean, data binary"
 
 
@@ -201,7 +208,7 @@ def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 columns = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return with_key(docs).join(small_side(wanted), "doc_key").select("text", "parts").mapInArrow(cut, WANTED)
+    return with_key(docs).join(_small_lists(wanted, "parts"), "doc_key").select("text", "parts").mapInArrow(cut, WANTED)
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -320,7 +327,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "repeat-kinds",
     )
     whole = every.join(shared.where("n > 1").select("anchor", "kind"), ["anchor", "kind"])
-    asked = (
+    asked = written(
         shared.where("anchor_kinds > 1")
         .groupBy("doc_key")
         .agg(
@@ -329,7 +336,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                     "anchor", "doc_key", "first", "last", "at", (F.col("n") == 1).alias("single")
                 )
             ).alias("parts")
-        )
+        ),
+        "stretches-wanted",
     )
     cuts = written(_cut_out(docs, asked), "stretch-bytes")
     hot = small_side(
@@ -353,13 +361,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Returns ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary).
     """
-    spans = written(
+    lists = (
         repeated_spans(docs)
         .groupBy("doc_key")
-        .agg(F.collect_list(F.struct("first", "last")).alias("spans")),
-        "repeat-spans",
+        .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     )
-    keyed = with_key(docs).join(small_side(spans), "doc_key", "left")
+    spans = written(lists.mapInArrow(_merged, lists.schema), "repeat-spans")
+    keyed = with_key(docs).join(_small_lists(spans, "spans"), "doc_key", "left")
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,6 +390,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return keyed.select("doc_id", "text", "spans").mapInArrow(remove, result)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans whose bytes touch, as one."""
+    for batch in batches:
+        out = []
+        for spans in batch.column(1).to_pylist():
+            merged: list[dict] = []
+            for span in sorted(spans, key=lambda s: s["first"]):
+                if merged and span["first"] <= merged[-1]["last"] + LENGTH:
+                    merged[-1]["last"] = max(merged[-1]["last"], span["last"])
+                else:
+                    merged.append(span)
+            out.append(merged)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(out, batch.schema.field(1).type)], batch.schema.names
+        )
+
+
 def _removed(text: bytes, spans: list[dict] | None) -> tuple[int, int, bytes]:
     if not spans:
         return 0, 0, text
