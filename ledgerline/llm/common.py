@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,23 @@ def ship(spark: SparkSession) -> None:
 
 _shipped: set[str] = set()
 
+T = TypeVar("T")
+
+
+_kept: dict[object, object] = {}
+
+
+def kept_in_worker(owner: object, make: Callable[[], T]) -> T:
+    """What a worker process keeps between tasks, for one owner at a time.
+
+    Workers outlive the operators of a pipeline; the next one's tables take the place
+    of the last one's.
+    """
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -119,6 +138,7 @@ __all__ = [
     "BROADCAST_ROWS",
     "components",
     "documents",
+    "kept_in_worker",
     "ship",
     "small_side",
     "whole_text",

@@ -27,7 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import cells
-from ledgerline.llm.common import components, small_side, whole_text, written
+from ledgerline.llm.common import (
+    components,
+    kept_in_worker,
+    small_side,
+    whole_text,
+    written,
+)
 
 WORDS = 5
 COORDINATES = 64
@@ -44,7 +50,7 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class _Words(dict):
-    """Hashes of words, kept per worker."""
+    """Hashes of words."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MOST_WORDS:
@@ -53,9 +59,6 @@ class _Words(dict):
         return found
 
 
-_words = _Words()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A well-mixed bijection of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * _M1
@@ -72,7 +75,8 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").split()
     if not found:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    known = kept_in_worker("word hashes", _Words)
+    hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     span = min(words, len(hashes))
     rolled = np.full(len(hashes) - span + 1, span, np.uint64)
     for n in range(span):

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 
 import numpy as np
 import regex
 
+from ledgerline.llm.common import kept_in_worker
+
 # Pieces kept per worker, about 60 MB; the table starts anew when it is full.
 MOST_PIECES = 300_000
 
@@ -113,7 +114,6 @@ class Encoder:
         return self._piece(first, "") + b"".join([pieces[p] for p in rest])
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    return Encoder(path)
+    """The encoder that this process keeps for a vocabulary."""
+    return kept_in_worker(("encoder", path), lambda: Encoder(path))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import small_side, whole_text, written
+from ledgerline.llm.common import kept_in_worker, small_side, whole_text, written
 
 ORDER = 5
 SHARED = 3
@@ -267,16 +267,9 @@ def trained(labelled: DataFrame) -> Model:
     )
 
 
-# Tables of one model and evidence of words under it, kept per worker.
-_known: dict[str, tuple[Tables, dict[str, float]]] = {}
-
-
 def _scored(name: str, model: Model, texts: list[str]) -> list[float]:
     """Evidence of each text, by tables kept in the worker under ``name``."""
-    if name not in _known:
-        _known.clear()
-        _known[name] = model.laid_out(), {}
-    tables, known = _known[name]
+    tables, known = kept_in_worker(name, lambda: (model.laid_out(), {}))
     out: list[float] = []
     for at in range(0, len(texts), 128):
         split = [text.lower().split() for text in texts[at : at + 128]]
