@@ -15,8 +15,10 @@ repeat is sorted.
    cover modulo 3 (``suffix_array``), and strings that equal a neighbour's repeat.
    Groups are dealt over tasks and sorted some hundred thousand bytes at a time.
 4. A run shared by more than ``MOST_KINDS`` kinds, such as a very common line, would not
-   fit one task: there every string is grouped by a 128-bit digest of its own, in
-   parallel over all tasks, with the same result.
+   fit one task.  Its stretches are cut into bands of ``BAND`` strings, and the bytes that
+   all strings of a band share become the band's anchor: groups fall apart wherever texts
+   differ there.  Should a band's bytes still be shared by that many, every string of it
+   is grouped by a 128-bit digest of its own.  The result is the same each way.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from ledgerline.llm.suffix_array import repeated_places, suffix_array
 LENGTH = 400
 Q = 32
 MOST_KINDS = 512
+BAND = 46
 SORT_BYTES = 600_000
 READ_BYTES = 2 << 20
 MOST_ITEMS = 1_500_000  # some 64 bytes each
@@ -279,6 +282,45 @@ def _runs(hits: np.ndarray, row: dict, keys: list, firsts: list, lasts: list) ->
         lasts.append(row["first"] + hi - 1)
 
 
+def _banded(cuts: DataFrame) -> DataFrame:
+    """Stretches cut into bands, each under the bytes that all its strings share."""
+    names = [x.split()[0] for x in WANTED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                rows = []
+                for r in batch.slice(lo, 512).to_pylist():
+                    # Bands are laid from the anchor, so equal strings share theirs.
+                    first, last, at, data = r["first"], r["last"], r["at"], r["data"]
+                    low = (first - at) // BAND
+                    for band in range(low, (last - at) // BAND + 1):
+                        start = at + band * BAND
+                        a, b = max(first, start), min(last, start + BAND - 1)
+                        shared = data[start + BAND - 1 - first : start + LENGTH - first]
+                        key = xxhash.xxh3_64_intdigest(shared, band & 0xFFFF)
+                        rows.append((_signed(key), r["doc_key"], a, b, at, r["single"], data[a - first : b - first + LENGTH]))
+                columns = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return cuts.mapInArrow(cut, WANTED)
+
+
+def _banded_repeats(cuts: DataFrame) -> DataFrame:
+    """Repeated strings of stretches whose anchor too many share."""
+    bands = written(_banded(cuts), "repeat-bands")
+    sizes = written(
+        bands.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "repeat-band-sizes",
+    )
+    few = small_side(sizes.where(F.col("n") <= MOST_KINDS).select("anchor"))
+    many = small_side(sizes.where(F.col("n") > MOST_KINDS).select("anchor"))
+    return _sorted_repeats(bands.join(few, "anchor", "left_semi")).unionByName(
+        _digested_repeats(bands.join(many, "anchor", "left_semi"))
+    )
+
+
 def _digested_repeats(cuts: DataFrame) -> DataFrame:
     """Repeated strings of stretches, each string by a digest of its own."""
     kind = "high long, low long, doc_key long, place int, single boolean"
@@ -346,7 +388,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return (
         whole.select("doc_key", "first", "last")
         .unionByName(_sorted_repeats(cuts.join(hot, "anchor", "left_anti")))
-        .unionByName(_digested_repeats(cuts.join(hot, "anchor", "left_semi")))
+        .unionByName(_banded_repeats(cuts.join(hot, "anchor", "left_semi")))
     )
 
 
