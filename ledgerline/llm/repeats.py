@@ -38,8 +38,8 @@ LENGTH = 400
 Q = 32
 MOST_KINDS = 512
 BAND = 46
-SORT_BYTES = 600_000
-READ_BYTES = 2 << 20
+SORT_BYTES = 250_000
+READ_BYTES = 1 << 19
 MOST_ITEMS = 1_500_000  # some 64 bytes each
 STRETCHES = "doc_key long, anchor long, kind long, first int, last int, at int"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
