@@ -10,9 +10,10 @@ A text's evidence is the difference of its two log-likelihoods divided by its nu
 words.  A logistic curve fitted on labelled rows that the counts haven't seen turns the
 evidence into a score.
 
-Counts grow with the corpus and stay distributed.  For scoring, every order is laid into
-a table of ``SLOTS`` places by a hash of the characters (of two that meet, the more
-frequent one stays), so what is broadcast is bounded by ``ORDER * SLOTS``.
+Counts grow with the corpus and stay distributed.  Every run and context keeps its own
+values, looked up by its exact characters: in every worker while they are at most
+``MODEL_ROWS`` in all, beyond that by joins that score each distinct word of the corpus
+once.
 """
 
 from __future__ import annotations
@@ -20,24 +21,24 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import kept_in_worker, small_side, whole_text, written
+from ledgerline.llm.common import BROADCAST_ROWS, kept_in_worker, small_side, whole_text, written
 
 ORDER = 5
 SHARED = 3
-SLOTS = 1 << 20
+MODEL_ROWS = BROADCAST_ROWS  # under 2**22, see Lookup
+FREQUENT = 2000
 THRESHOLD = 0.3
 ALPHABET = 1 << 16  # the uniform distribution below the lowest order
 MOST_WORDS = 300_000
 OPEN, CLOSE = "\x02", "\x03"
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "…«»“”„‘’¿¡–—"
-_MULTIPLIER, _FINAL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 BUCKETS_PER_UNIT, WIDEST = 500, 4.0
 
 
@@ -118,7 +119,7 @@ def _smoothed(grams: DataFrame, order: int) -> DataFrame:
     context = F.substring("gram", 1, order - 1) if order > 1 else F.lit("")
     frame = grams.withColumn("context", context)
     by = Window.partitionBy("context")
-    columns = [F.lit(order).alias("order"), "gram", "context", (F.col("toxic") + F.col("ordinary")).alias("n")]
+    columns = [F.lit(order).alias("order"), "gram", "context"]
     for name, once, twice, share, left in (
         ("toxic", t1, t2, "t", "lt"),
         ("ordinary", o1, o2, "o", "lo"),
@@ -134,108 +135,122 @@ def _smoothed(grams: DataFrame, order: int) -> DataFrame:
     return frame.select(*columns)
 
 
-def _slots(codes: np.ndarray) -> np.ndarray:
-    """Place of each row of character codes; the last column is the newest character."""
-    rolled = np.zeros(len(codes), np.uint64)
-    for column in range(codes.shape[1]):
-        rolled = rolled * _MULTIPLIER + codes[:, column] + np.uint64(1)
-    return _place(rolled)
-
-
-def _place(rolled: np.ndarray) -> np.ndarray:
-    return (((rolled ^ (rolled >> np.uint64(29))) * _FINAL) >> np.uint64(40)).astype(
-        np.int64
-    ) & (SLOTS - 1)
-
-
 def _codes(texts: list[str], width: int) -> np.ndarray:
     joined = "".join(texts).encode("utf-32-le", "surrogatepass")
     return np.frombuffer(joined, "<u4").astype(np.uint64).reshape(-1, width)
 
 
-def _placed(entries: DataFrame) -> DataFrame:
-    """One row per order and used slot: shares of the runs, weights of the contexts."""
+def _packed(codes: np.ndarray) -> np.ndarray:
+    """Up to three characters in one number; each has 21 bits."""
+    out = np.zeros(len(codes), np.uint64)
+    for column in range(codes.shape[1]):
+        out = (out << np.uint64(21)) | codes[:, column]
+    return out
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("run").to_pylist()
-            slots = np.zeros(len(texts), np.int64)
-            lengths = np.array([len(t) for t in texts])
-            for width in np.unique(lengths):
-                rows = np.flatnonzero(lengths == width)
-                if width:
-                    slots[rows] = _slots(_codes([texts[r] for r in rows], int(width)))
-                else:
-                    slots[rows] = _place(np.zeros(len(rows), np.uint64))
-            names = ["table", "run", "n", "a", "b"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + [pa.array(slots)], [*names, "slot"]
-            )
 
-    placed = entries.mapInArrow(
-        place, "table int, run string, n long, a double, b double, slot long"
-    )
-    first = F.min_by(F.struct("a", "b"), F.struct(-F.col("n"), F.col("run")))
-    return placed.groupBy("table", "slot").agg(first.alias("x")).select("table", "slot", "x.a", "x.b")
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted number in the sorted keys, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
+    return place, keys[place] == wanted
 
 
-@dataclass
-class Model:
-    """Used slots of every table with their values in either class.
+class Lookup:
+    """Values of strings of one width, by their exact characters.
 
-    Tables 0 to ``ORDER - 1`` hold shares of runs, those after weights of contexts.
+    Strings of four and five characters are told apart by the number of their first
+    three and by the others, 22 + 42 bits.
     """
 
-    slots: list[np.ndarray]
-    values: list[np.ndarray]
-    slope: float = 0.0
-    offset: float = 0.0
+    def __init__(self, strings: list[str], width: int, values: np.ndarray):
+        codes = _codes(strings, width) if width else np.zeros((len(strings), 0), np.uint64)
+        self.heads = np.unique(_packed(codes[:, :3]))
+        keys, _ = self._keys(codes)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
 
-    def laid_out(self) -> Tables:
-        full = np.zeros((2 * ORDER, 2, SLOTS), np.float32)
-        full[ORDER:] = 1
-        for table, slots, values in zip(full, self.slots, self.values):
-            table[:, slots] = values
-        return Tables(full[:ORDER], full[ORDER:])
+    def _keys(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        head, known = _found(self.heads, _packed(codes[:, :3]))
+        return (head.astype(np.uint64) << np.uint64(42)) | _packed(codes[:, 3:]), known
+
+    def of(self, codes: np.ndarray, absent: float) -> np.ndarray:
+        keys, known = self._keys(codes)
+        place, there = _found(self.keys, keys)
+        out = np.full((len(codes), 2), absent)
+        there &= known
+        out[there] = self.values[place[there]]
+        return out
 
 
 @dataclass
 class Tables:
-    """The model ready for look-ups, by order, class and slot."""
+    """All shares and weights by order, where they are few enough for every worker."""
+
+    shares: list[Lookup]
+    lefts: list[Lookup]
 
-    shares: np.ndarray
-    lefts: np.ndarray
+    def differences(self, grams: np.ndarray) -> np.ndarray:
+        """Log-likelihood difference of the last character of each row of codes."""
+        both = np.full((len(grams), 2), 1.0 / ALPHABET)
+        for k in range(1, ORDER + 1):
+            share = self.shares[k - 1].of(grams[:, ORDER - k :], 0.0)
+            both = share + self.lefts[k - 1].of(grams[:, ORDER - k : -1], 1.0) * both
+        return np.log(both[:, 0]) - np.log(both[:, 1])
 
     def evidence(self, words: list[str]) -> np.ndarray:
         """Sum of log-likelihood differences over the characters of each word."""
-        padded = [OPEN * (ORDER - 1) + normal(w) + CLOSE for w in words]
+        padded = [_padded(w) for w in words]
         lengths = np.array([len(p) for p in padded])
-        codes = _codes(padded, 1)[:, 0] + np.uint64(1)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        # rolled[k]: hash of the k characters that end at each place.
-        rolled = [np.zeros(len(codes), np.uint64)]
-        power = 1
-        for k in range(1, ORDER + 1):
-            back = np.zeros(len(codes), np.uint64)
-            back[k - 1 :] = codes[: len(codes) - k + 1]
-            rolled.append(rolled[-1] + back * np.uint64(power))
-            power = power * int(_MULTIPLIER) % (1 << 64)
-        toxic = np.full(len(codes), 1.0 / ALPHABET)
-        ordinary = toxic.copy()
-        for k in range(1, ORDER + 1):
-            run = _place(rolled[k])
-            context = np.zeros(len(codes), np.int64)
-            context[1:] = _place(rolled[k - 1][:-1])
-            toxic = self.shares[k - 1, 0][run] + self.lefts[k - 1, 0][context] * toxic
-            ordinary = self.shares[k - 1, 1][run] + self.lefts[k - 1, 1][context] * ordinary
-        difference = np.log(toxic) - np.log(ordinary)
-        keep = np.ones(len(codes), bool)
+        codes = _codes(padded, 1)[:, 0]
+        owner = np.repeat(np.arange(len(words)), lengths)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         # Words are judged given their first character, whose frequencies tell more of
         # the mix of languages in a class than of what it says.
-        for n in range(ORDER):
-            keep[starts + n] = False
-        return np.add.reduceat(np.where(keep, difference, 0.0), starts)
+        ends = np.flatnonzero(place >= ORDER)
+        grams = codes[ends[:, None] + np.arange(1 - ORDER, 1)[None, :]]
+        first, last = _packed(grams[:, :3]), _packed(grams[:, 3:])
+        order = np.lexsort((last, first))
+        first, last = first[order], last[order]
+        new = np.r_[True, (first[1:] != first[:-1]) | (last[1:] != last[:-1])][: len(order)]
+        kinds = self.differences(grams[order[new]])
+        difference = np.empty(len(order))
+        difference[order] = kinds[np.cumsum(new) - 1]
+        return np.bincount(owner[ends], difference, len(words))
+
+
+@dataclass
+class Model:
+    """Shares of all runs and weights of all contexts, as written rows.
+
+    ``table`` is the order of a run, and 100 more for the context of that order; ``a``
+    and ``b`` are the values in the toxic and the ordinary model.
+    """
+
+    rows: DataFrame
+    tables: Tables | None
+    slope: float = 0.0
+    offset: float = 0.0
+
+
+def _padded(word: str) -> str:
+    return OPEN * (ORDER - 1) + normal(word) + CLOSE
+
+
+def _tables(rows: DataFrame) -> Tables | None:
+    """The rows for every worker, or none if they are more than ``MODEL_ROWS``."""
+    if rows.count() > MODEL_ROWS:
+        return None
+    found = rows.toArrow()
+    table, strings = found.column("table").to_numpy(), found.column("run").to_pylist()
+    values = np.stack([found.column("a").to_numpy(), found.column("b").to_numpy()], axis=1)
+
+    def of(number: int, width: int) -> Lookup:
+        own = np.flatnonzero(table == number)
+        return Lookup([strings[n] for n in own], width, values[own])
+
+    orders = range(1, ORDER + 1)
+    return Tables([of(k, k) for k in orders], [of(k + 100, k - 1) for k in orders])
 
 
 def trained(labelled: DataFrame) -> Model:
@@ -249,27 +264,21 @@ def trained(labelled: DataFrame) -> Model:
     entries = None
     for frame in orders:
         runs = frame.select(
-            F.col("order").alias("table"), F.col("gram").alias("run"), "n",
+            F.col("order").alias("table"), F.col("gram").alias("run"),
             F.col("t").alias("a"), F.col("o").alias("b"),
         )
         contexts = frame.groupBy("order", "context").agg(
-            F.sum("n").alias("n"), F.first("lt").alias("a"), F.first("lo").alias("b")
-        ).select((F.col("order") + 100).alias("table"), F.col("context").alias("run"), "n", "a", "b")
+            F.first("lt").alias("a"), F.first("lo").alias("b")
+        ).select((F.col("order") + 100).alias("table"), F.col("context").alias("run"), "a", "b")
         both = runs.unionByName(contexts)
         entries = both if entries is None else entries.unionByName(both)
-    # At most 2 * ORDER * SLOTS rows, whatever the corpus.
-    table = _placed(entries).toPandas()
-    numbers = [*range(1, ORDER + 1), *range(101, ORDER + 101)]
-    rows = [table[table["table"] == number] for number in numbers]
-    return Model(
-        [r["slot"].to_numpy(np.int32) for r in rows],
-        [r[["a", "b"]].to_numpy(np.float32).T.copy() for r in rows],
-    )
+    rows = written(entries, "toxicity-tables")
+    return Model(rows, _tables(rows))
 
 
-def _scored(name: str, model: Model, texts: list[str]) -> list[float]:
-    """Evidence of each text, by tables kept in the worker under ``name``."""
-    tables, known = kept_in_worker(name, lambda: (model.laid_out(), {}))
+def _scored(name: str, tables: Tables, texts: list[str]) -> list[float]:
+    """Evidence of each text; that of words is kept in the worker under ``name``."""
+    known = kept_in_worker(name, dict)
     out: list[float] = []
     for at in range(0, len(texts), 128):
         split = [text.lower().split() for text in texts[at : at + 128]]
@@ -287,7 +296,9 @@ def _scored(name: str, model: Model, texts: list[str]) -> list[float]:
 
 def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
     """``docs`` (its last column is the text) with the evidence in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.tables is None:
+        return _evidence_by_join(docs, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.tables)
     name = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +313,103 @@ def _evidence(docs: DataFrame, model: Model, columns: str) -> DataFrame:
     return docs.mapInArrow(score, f"{columns}, evidence double")
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` left joined with ``table``, which has each ``key`` once.
+
+    Keys of more than a ``FREQUENT``-th of the rows, so fewer than that many, are
+    joined by broadcast; what is shuffled has no key of a larger share.
+    """
+    if table.count() <= MODEL_ROWS:
+        return rows.join(F.broadcast(table), key, "left")
+    often = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    often = written(often.where(F.col("n") * FREQUENT > rows.count()).select(key), "toxicity-often")
+    hot = written(table.join(F.broadcast(often), key), "toxicity-often")
+    common = rows.join(F.broadcast(often), key).join(F.broadcast(hot), key, "left")
+    seldom = rows.join(F.broadcast(often), key, "left_anti").join(table, key, "left")
+    return common.unionByName(seldom)
+
+
+def _gram_differences(grams: DataFrame, model: Model) -> DataFrame:
+    """``gram`` and its ``difference`` by joins with the rows of the model.
+
+    Grams differ, so few of them share a key that is too long for a broadcast table.
+    """
+    both = [F.lit(1.0 / ALPHABET)] * 2
+    for k in range(1, ORDER + 1):
+        terms = []
+        for number, width, absent in ((k, k, 0.0), (k + 100, k - 1, 1.0)):
+            key, names = f"key{number}", [f"a{number}", f"b{number}"]
+            table = model.rows.where(F.col("table") == number).select(
+                F.col("run").alias(key), F.col("a").alias(names[0]), F.col("b").alias(names[1])
+            )
+            at = F.substring("gram", ORDER - k + 1, width)
+            grams = grams.withColumn(key, at).join(small_side(table), key, "left")
+            terms.append([F.coalesce(F.col(n), F.lit(absent)) for n in names])
+        both = [share + left * lower for share, left, lower in zip(*terms, both)]
+    return written(
+        grams.select("gram", (F.log(both[0]) - F.log(both[1])).alias("difference")),
+        "toxicity-grams",
+    )
+
+
+def _evidence_by_join(docs: DataFrame, model: Model) -> DataFrame:
+    """The same where the model is too large for a worker.
+
+    Every word of the corpus is scored once, from its distinct runs of characters; its
+    evidence is joined back to the texts by the word.
+    """
+    carried, text = docs.columns[:-1], docs.columns[-1]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                rows, words, counts = [], [], []
+                for n, value in enumerate(part.column(1).to_pylist()):
+                    # A text without words has one row.
+                    for word, count in (Counter(value.lower().split()) or {None: 0}).items():
+                        rows.append(n)
+                        words.append(word)
+                        counts.append(count)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(words, pa.string()), pa.array(counts, pa.int64())],
+                    ["row", "word", "n_word"],
+                )
+
+    def padded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0)
+            out = [_padded(w) for w in words.to_pylist()]
+            yield pa.RecordBatch.from_arrays([words, pa.array(out, pa.string())], ["word", "padded"])
+
+    named = written(docs.withColumn("row", F.monotonically_increasing_id()), "toxicity-texts")
+    pairs = written(
+        named.select("row", text).mapInArrow(split, "row long, word string, n_word long"),
+        "toxicity-words",
+    )
+    # Starts of runs that end behind a word's first character.
+    starts = F.sequence(F.lit(2), F.length("padded") - ORDER + 1)
+    spots = written(
+        pairs.where("word is not null").select("word").distinct()
+        .mapInArrow(padded, "word string, padded string")
+        .withColumn("at", F.explode(starts))
+        .select("word", F.substring("padded", F.col("at"), F.lit(ORDER)).alias("gram")),
+        "toxicity-spots",
+    )
+    kinds = _gram_differences(spots.select("gram").distinct(), model)
+    words = written(
+        _looked_up(spots, kinds, "gram").groupBy("word").agg(F.sum("difference").alias("e")),
+        "toxicity-evidence",
+    )
+    sums = _looked_up(pairs, words, "word").groupBy("row").agg(
+        F.sum(F.col("n_word") * F.coalesce("e", F.lit(0.0))).alias("e"), F.sum("n_word").alias("n")
+    )
+    mean = F.when(F.col("n") > 0, F.col("e") / F.col("n")).otherwise(0.0)
+    return named.drop(text).join(sums.select("row", mean.alias("evidence")), "row").select(
+        *carried, "evidence"
+    )
+
+
 def _calibrated(model: Model, scored: DataFrame) -> Model:
     """The logistic curve through labelled evidence, from its histogram."""
     bucket = F.round(
@@ -324,7 +432,7 @@ def _calibrated(model: Model, scored: DataFrame) -> Model:
         weights -= step * min(1.0, 5 / max(size, 1e-12))
         if size < 1e-9:
             break
-    return Model(model.slots, model.values, float(weights[0]), float(weights[1]))
+    return replace(model, slope=float(weights[0]), offset=float(weights[1]))
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
@@ -374,14 +482,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose texts score below the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    model = fitted(docs, labels)
+    slope, offset = model.slope, model.offset
+    if model.tables is None:
+        named = written(docs.withColumn("__row", F.monotonically_increasing_id()), "toxicity-rows")
+        scored = _evidence(named.select("__row", whole_text().alias("text")), model, "__row long")
+        logit = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.lit(slope) * F.col("evidence") + F.lit(offset)))
+        high = scored.where(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)) >= threshold).select("__row")
+        high = written(high, "toxicity-rejected")
+        return named.join(small_side(high), "__row", "left_anti").select(
+            *[F.col(f"`{c}`") for c in docs.columns]
+        )
+    shared = docs.sparkSession.sparkContext.broadcast(model.tables)
     name = uuid.uuid4().hex
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             evidence = np.array(_scored(name, shared.value, texts))
-            logit = shared.value.slope * evidence + shared.value.offset
+            logit = slope * evidence + offset
             low = 1 / (1 + np.exp(-logit.clip(-700, 700))) < threshold
             yield batch.filter(pa.array(low, pa.bool_()))
 

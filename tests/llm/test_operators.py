@@ -272,6 +272,52 @@ def test_toxicity_is_learned_from_texts(spark):
     assert {r["doc_id"] for r in kept if r["doc_id"]} == {r["doc_id"] for r in got if r["doc_id"] and not r["predicted"]}
 
 
+def test_toxicity_keeps_every_run_of_characters(spark):
+    """More runs than any table of fixed size had places for: each has its own values."""
+    ship(spark)
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyzäöüßéèàçñåøæ")
+    rows = [(n, " ".join("".join(w) for w in rng.choice(letters, (40, 9))), n % 2) for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.trained(docs)
+    exact = defaultdict(dict)
+    for r in model.rows.collect():
+        exact[r["table"]][r["run"]] = (r["a"], r["b"])
+    assert len(exact[5]) > 80_000
+
+    def plain(word: str) -> float:
+        padded, total = "\x02" * 4 + word + "\x03", 0.0
+        for end in range(6, len(padded) + 1):
+            both = [1 / toxicity.ALPHABET] * 2
+            for k in range(1, 6):
+                run = padded[end - k : end]
+                share, left = exact[k].get(run, (0, 0)), exact[100 + k].get(run[:-1], (1, 1))
+                both = [s + w * x for s, w, x in zip(share, left, both)]
+            total += math.log(both[0] / both[1])
+        return total
+
+    words = [w for _, text, _ in rows[:40] for w in text.split()]
+    words += ["".join(w) for w in rng.choice(letters, (2000, 9))] + ["", "a", "𝄞𝄞𝄞𝄞𝄞"]
+    assert np.allclose(model.tables.evidence(words), [plain(w) for w in words], atol=1e-9)
+
+
+def test_toxicity_by_join_is_the_same(spark, odd, monkeypatch):
+    ship(spark)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(odd.select("doc_id", "text"))
+    model = toxicity.fitted(docs, labels)
+    monkeypatch.setattr(toxicity, "fitted", lambda *_: model)
+    near, near_kept = toxicity.toxicity(docs, labels).collect(), toxicity.without_toxic(docs, labels).collect()
+    model = toxicity.Model(model.rows, None, model.slope, model.offset)
+    monkeypatch.setattr(toxicity, "MODEL_ROWS", 0)
+    far, far_kept = toxicity.toxicity(docs, labels).collect(), toxicity.without_toxic(docs, labels).collect()
+    order = lambda rows: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in rows)
+    assert [x[:2] for x in order(near)] == [x[:2] for x in order(far)]
+    assert np.allclose([x[2] for x in order(near)], [x[2] for x in order(far)], atol=1e-9)
+    assert len(near_kept) < len(near) and Counter(map(tuple, near_kept)) == Counter(map(tuple, far_kept))
+
+
 def test_toxicity_of_odd_rows(odd, empty):
     labels = odd.selectExpr("doc_id", "CAST(n_chars % 2 AS INT) AS toxic", "text").unionAll(odd.selectExpr("doc_id", "NULL", "text"))
     assert len(toxicity.toxicity(odd, labels).collect()) == len(ROWS)
