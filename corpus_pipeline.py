@@ -31,7 +31,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents in the order of the mix, file after file."""
+    """The same documents in the order of the mix, partition after partition."""
     placed = mixing.mixed(docs)
     return (
         placed.repartitionByRange("mix_slot")
@@ -41,9 +41,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 1024 tokens with little padding."""
+    """Sequences of 1024 tokens with little padding, numbered in the order of the mix.
+
+    Files are not read in the order in which they were written, so the order is made
+    anew from the documents: a place in the mix depends on nothing else.
+    """
     ship(spark)
-    return packing.sequences(packing.pack(docs, default_vocabulary()))
+    ordered = mix_sources(spark, docs, sf_dir)
+    return packing.sequences(packing.pack(ordered, default_vocabulary()))
 
 
 STAGES = [

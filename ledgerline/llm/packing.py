@@ -11,6 +11,9 @@ Every worker fills the sequences of each class by itself.  Its unfinished ones,
 same way; then under ``k`` pieces a class are left in all.  Those, a number fixed by
 the capacity alone, are laid end to end and cut at the capacity: one sequence at most
 needs padding there.
+
+Sequences are numbered in the order in which the documents complete them, partition
+after partition; only the last few, of a number fixed by the capacity, come at the end.
 """
 
 from __future__ import annotations
@@ -30,9 +33,10 @@ from ledgerline.llm.tokens import encoder
 CAPACITY = 1024
 CUTS = 2
 DOCS_AT_ONCE = 256
-# Sequence ids: workers count from worker * 2**32; joined sequences lie above these.
+# Sequence ids: workers count from worker * 2**32; a joined sequence lies above those of
+# the worker that has its last piece, which completes one sequence of a class at most.
 WORKER_BITS = 32
-JOINED = 1 << 61
+JOINED = 1 << 31
 LAST = 1 << 62
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, class int, "
@@ -151,12 +155,13 @@ def _joined(left: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
         .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    last = F.max("worker").over(Window.partitionBy("class", "bin"))
     full = ranked.where("full").select(
         "doc_id",
         "start",
         "length",
         "doc_tokens",
-        (F.lit(JOINED) + F.col("class") * F.lit(1 << 40) + F.col("bin")).alias(
+        (last * F.lit(1 << WORKER_BITS) + F.lit(JOINED) + F.col("class")).alias(
             "sequence_id"
         ),
         F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"),

@@ -561,6 +561,39 @@ def test_pipeline_of_odd_rows(spark, odd, empty):
         docs.collect()
 
 
+def test_packing_follows_the_mix_over_unequal_files(spark):
+    """Any prefix of sequences has the sources near the shares of the mix."""
+    ship(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = {"a": 3000, "b": 1200, "c": 300}
+        rows = [(n, " ".join(f"{name}{n} word" for _ in range(40)), name) for n, name in enumerate(x for x, k in sizes.items() for _ in range(k))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        mixed = mixing.mixed(docs).orderBy("mix_slot", "mix_place").collect()
+        path, at = scratch_path(spark, "test-unequal"), 0
+        for n in (200, 1300, 100, 1700, 500, 700):
+            part = [(r["doc_id"], r["text"], r["source"]) for r in mixed[at : at + n]]
+            spark.createDataFrame(part, docs.schema).coalesce(1).write.mode("append").parquet(path)
+            at += n
+        assert at == len(mixed)
+        packed = corpus_pipeline.pack(spark, spark.read.parquet(path), SF_DIR).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    place = {r["doc_id"]: n for n, r in enumerate(mixed)}
+    source = {r["doc_id"]: r["source"] for r in mixed}
+    packed.sort(key=lambda r: r["sequence_id"])
+    assert len({r["sequence_id"] for r in packed}) == len(packed)
+    seen, worst = set(), 0
+    for r in packed:
+        seen.update(r["doc_ids"])
+        wanted = Counter(x["source"] for x in mixed[: len(seen)])
+        got = Counter(source[d] for d in seen)
+        worst = max(worst, max(abs(got[x] - wanted[x]) for x in sizes))
+    assert len(seen) == len(mixed) and worst <= 0.03 * len(mixed)
+    half = sorted(place[d] for r in packed[: len(packed) // 2] for d in r["doc_ids"])
+    assert half[int(0.95 * len(half))] < 0.6 * len(mixed)
+
+
 def test_cells_of_one_group_see_every_pair(spark):
     ship(spark)
     rows = spark.range(50).selectExpr("id", "7L AS k")
