@@ -10,8 +10,9 @@ then is compared by brute force in bounded cells.  Runs are repeated until a pai
 the threshold is met with probability ``recall``.
 
 Pairs met are screened on their minhash values, far below the threshold, and only
-join sets into clusters.  All pairs of a cluster are then judged on their whole shingle
-sets, each pair in one cell, so links and their counts are exact.
+join sets into clusters; what the screen may lose counts against ``recall``.  All pairs
+of a cluster whose sizes allow a link are then judged on their whole shingle sets, each
+pair in one cell, so links within clusters and their counts are exact.
 """
 
 from __future__ import annotations
@@ -136,7 +137,21 @@ def run_success(similarity: float, depth: int) -> float:
     return met
 
 
+def screen_loss(similarity: float) -> float:
+    """Chance that the screen loses a pair at the threshold."""
+    most = math.ceil(_screen(similarity) * COORDINATES) - 1
+    return sum(
+        math.comb(COORDINATES, n) * similarity**n * (1 - similarity) ** (COORDINATES - n)
+        for n in range(most + 1)
+    )
+
+
 def runs_needed(similarity: float, recall: float) -> int:
+    """Runs after which paths and screen together meet a pair with ``recall``."""
+    # The screen sees the same coordinates as the paths, so the two losses add up.
+    recall += screen_loss(similarity)
+    if recall >= 1:
+        raise ValueError("the screen alone loses more than the recall allows")
     return math.ceil(math.log(1 - recall) / math.log(1 - run_success(similarity, DEPTH)))
 
 
@@ -231,11 +246,16 @@ def _short(column) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(-1, COORDINATES)
 
 
-def _alike(short: np.ndarray, counts: np.ndarray, a, b, similarity: float):
-    """Pairs that sizes and minhash values leave open."""
+def _of_like_size(counts: np.ndarray, a, b, similarity: float):
+    """Pairs whose sizes allow the similarity: a bound that loses none."""
     low = np.minimum(counts[a], counts[b])
     fits = low >= similarity * np.maximum(counts[a], counts[b])
-    a, b = a[fits], b[fits]
+    return a[fits], b[fits]
+
+
+def _alike(short: np.ndarray, counts: np.ndarray, a, b, similarity: float):
+    """Pairs that sizes and minhash values leave open."""
+    a, b = _of_like_size(counts, a, b, similarity)
     equal = (short[a] == short[b]).mean(axis=1)
     open_ = equal >= _screen(similarity)
     return a[open_], b[open_]
@@ -253,14 +273,13 @@ def _judge_met(similarity: float):
 
 def _judge_exact(similarity: float):
     def judge(table: pa.Table, links: cells.Links) -> None:
-        short = _short(table.column("short"))
         counts = table.column("n_shingles").to_numpy()
         weights = table.column("n_docs").to_numpy().astype(np.float64)
         items = table.column("items").to_pylist()
         first = cells.first_rows(table, "set_id")
         for a, b in cells.pairs(table):
             a, b = a[first[a] & first[b]], b[first[a] & first[b]]
-            a, b = _alike(short, counts, a, b, similarity)
+            a, b = _of_like_size(counts, a, b, similarity)
             if not len(a):
                 continue
             order = np.argsort(a, kind="stable")
@@ -327,7 +346,7 @@ def near_documents(
 
     wanted = written(
         clusters.join(sets, F.col("node") == F.col("set_id")).select(
-            "root", "set_id", "first_id", "n_docs", "n_shingles", short.alias("short")
+            "root", "set_id", "first_id", "n_docs", "n_shingles"
         ),
         "near-wanted",
     )
@@ -341,7 +360,7 @@ def near_documents(
     ).join(small_side(wanted), "first_id")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["root", "set_id", "n_docs", "n_shingles", "short"]
+        names = ["root", "set_id", "n_docs", "n_shingles"]
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -357,10 +376,10 @@ def near_documents(
                 yield out.filter(right)
 
     whole = texts.select(
-        "text", "root", "set_id", "n_docs", "n_shingles", "short"
+        "text", "root", "set_id", "n_docs", "n_shingles"
     ).mapInArrow(
         listed,
-        "root long, set_id long, n_docs long, n_shingles long, short binary, items binary",
+        "root long, set_id long, n_docs long, n_shingles long, items binary",
     )
     exact = written(
         cells.compared(

@@ -375,6 +375,30 @@ def test_one_group_of_near_copies(spark, monkeypatch):
     assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == sorted(plain_classes(rows))
 
 
+def test_links_that_minhash_values_hide(spark):
+    """Pairs at the threshold whose minhash values hardly agree, in clusters of others."""
+    ship(spark)
+    rows = []
+    for n in range(40_000):
+        words = [f"w{n}x{k}" for k in range(124)]
+        texts = [" ".join(words[:112]), " ".join(words), " ".join(words[12:])]
+        low = [near_text.minhash(near_text.shingles(t)) & 255 for t in (texts[0], texts[2])]
+        if (low[0] == low[1]).mean() < near_text._screen(0.8):
+            rows += [(len(rows) + k, t) for k, t in enumerate(texts)]
+        if len(rows) == 9:
+            break
+    assert len(rows) == 9
+    got = near_text.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == sorted(plain_classes(rows))
+    assert {r["n_links"] for r in got} == {2}
+
+
+def test_runs_make_up_for_the_screen():
+    runs, loss = near_text.runs_needed(0.8, 0.999), near_text.screen_loss(0.8)
+    assert 1e-4 < loss < 1.5e-4
+    assert (1 - near_text.run_success(0.8, near_text.DEPTH)) ** runs + loss <= 0.001
+
+
 def test_runs_reach_the_recall():
     runs = near_text.runs_needed(0.8, 0.999)
     assert 1 - (1 - near_text.run_success(0.8, near_text.DEPTH)) ** runs >= 0.999
