@@ -63,17 +63,35 @@ SURNAME_END = {
 
 _PART = r"[^\W\d_][^\W\d_'’]*(?:-[^\W\d_]+)*"
 _NAME = rf"\b(?P<title>{'|'.join(TITLES)})(?P<dot>\.?[  ])(?P<name>{_PART}(?:[  ]{_PART}){{0,2}})"
+# Telephone numbers without a plus or parentheses: three, three and four digits; those
+# with a leading 0; and after a word for telephone any in two to five groups.  Groups are
+# parted alike.  Dates (two, two and four digits) and parts of longer numbers are not.
+_NATIONAL = (
+    r"(?<![\w/+.-])(?<!\d[:, ])(?:"
+    r"(?:1[ .-])?[2-9]\d\d(?:-\d{3}-|\.\d{3}\.)\d{4}(?!\w|[.,:/-]\d)"
+    r"|(?:1 )?[2-9]\d\d \d{3} \d{4}(?!\w|[.,:/ -]\d)"
+    r"|(?!\d\d(?P<d1>[ ./-])\d\d(?P=d1)\d{4}(?!\d))(?=0(?:[ ./-]?\d){6,11}(?!\d))0[1-9]\d{0,4}"
+    r"(?:[ ./-]\d{4,9}|(?P<d2>[ .-])\d{2,4}(?:(?P=d2)\d{2,4}){1,3}|/\d{2,4}(?:[ -]\d{2,4}){1,2})(?!\w|[.,:/-]\d))"
+)
+_CUE = r"(?<!\w)(?i:tel|telephone|phone|fax|mobile|cell|call|telefon|teléfono|tél|тел|τηλ)[.:]{0,2} ?"
+_CALLED = r"(?!\d\d(?P<d3>[ ./-])\d\d(?P=d3)\d{4}(?!\d))(?=\d(?:[ ./-]?\d){6,11}(?!\d))(?:\d{7,12}|\d{1,5}(?P<d4>[ ./-])\d{2,8}(?:(?P=d4)\d{2,6}){0,3})(?!\w|[.,:/-]\d)"
+_PLUS = r"(?<![\w+])\+\d{1,3}[ .-]?\(0\)(?:[ ./-]?\d){6,12}(?!\d)"
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
     r"|(?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:password|passwd|secret|token|api_key) ?[=:] ?[A-Za-z0-9_-]{8,})"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
-    r"|(?P<card>(?<![\d-])(?:\d{4}[ -]?){3}\d{1,7}(?![\d-]*\d))"
+    r"|(?P<card>(?<![\d-])(?:(?:\d{4}[ -]?){3}\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\d-]*\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d))"
+    rf"|(?P<plus>{_PLUS})"
+    rf"|(?P<national>{_NATIONAL})"
+    rf"|{_CUE}(?P<called>{_CALLED})"
     rf"|{_NAME}"
 )
-KINDS = frozenset(["email", "secret", "ip", "card", "phone"])
+NATIONAL = re.compile(_NATIONAL)
+KINDS = frozenset(["email", "secret", "ip", "card", "phone", "plus", "national", "called"])
+TRUNK = "(0)"  # written after a country code, not dialled with it
 # What every entity holds a part of; it keeps most texts off the pattern.
-_DIGITS = re.compile(r"[0-9][0-9. -]{5}")
+_DIGITS = re.compile(r"[0-9][0-9. /()-]{5}")
 _MARKS = ("@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", *TITLES)
 
 
@@ -118,14 +136,18 @@ def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
         at = match.end()
         kind = match.lastgroup if match.lastgroup in KINDS else "name"
         value, lo, hi = match[kind], *match.span(kind)
+        if kind == "card" and not _is_card(value) and (other := NATIONAL.match(line, lo)):
+            kind, value, at, hi = "phone", other[0], other.end(), other.end()
+        if kind in ("plus", "national", "called"):
+            kind = "phone"
         if kind == "email":
             normal = value.lower()
         elif kind == "card":
             normal = re.sub(r"\D", "", value)
-            if not 13 <= len(normal) <= 19 or luhn(normal[:-1]) != int(normal[-1]):
+            if not _is_card(value):
                 continue
         elif kind == "phone":
-            normal = re.sub(r"[^\d+]", "", value)
+            normal = re.sub(r"[^\d+]", "", value.replace(TRUNK, ""))
         elif kind == "secret":
             sign = re.search("[=:] ?", value)
             lo += sign.end() if sign else 0
@@ -143,6 +165,11 @@ def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
         yield kind, normal, lo, hi
 
 
+def _is_card(value: str) -> bool:
+    digits = re.sub(r"\D", "", value)
+    return 13 <= len(digits) <= 19 and luhn(digits[:-1]) == int(digits[-1])
+
+
 def _name_parts(value: str) -> int:
     """Length of the leading parts that are written like a name."""
     length = 0
@@ -227,8 +254,10 @@ def surrogate(cipher: Cipher, kind: str, normal: str, attempt: int) -> str:
     if kind == "phone":
         # The country code stays: up to three digits that leave at least seven.
         code = normal[: max(1, min(4, len(normal) - 10))] if normal[0] == "+" else ""
-        # So does the first digit of the area, which may not be any.
-        code = normal[: len(code) + 1]
+        # So does the first digit of the area, which may not be any; a leading 0 or 1
+        # is not part of it.
+        led = not code and (normal[0] == "0" or len(normal) == 11 and normal[0] == "1")
+        code = normal[: len(code) + 1 + led]
         return code + cipher.shaped(normal[len(code) :], *mark, code)
     if kind == "secret":
         lead = normal[:4] if re.fullmatch(r"(?:AKIA|ASIA)[A-Z0-9]{16}", normal) else ""
@@ -273,7 +302,10 @@ def written_like(kind: str, normal: str, was: str) -> str:
         return "".join(old)
     if kind in ("card", "phone"):
         digits = iter(normal.replace("+", ""))
-        return "".join(next(digits) if c.isdigit() else c for c in was)
+        # A trunk digit in parentheses is no part of the normal form.
+        return TRUNK.join(
+            "".join(next(digits) if c.isdigit() else c for c in part) for part in was.split(TRUNK)
+        )
     if kind == "email" and was != was.lower():
         return "".join(n.upper() if w.isupper() else n for n, w in zip(normal, was))
     return normal

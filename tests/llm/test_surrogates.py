@@ -55,6 +55,44 @@ def test_surrogates_keep_type_shape_gender_and_script():
     assert rewritten("nothing 2.0 here") == "nothing 2.0 here"
 
 
+NATIONAL = [
+    "212-555-0100", "212.555.0100", "212 555 0100", "1-212-555-0100", "030 12345678",
+    "030/12345678", "0171-1234567", "01 23 45 67 89", "020 7946 0958", "0171 2345 6789",
+    "+49 (0)30 123456", "+44 (0)20 7946 0958", "Tel. 555-0100", "phone: 912 345 678",
+    "Call 91 234 56 78",
+]
+NO_PHONES = (
+    "01.02.2023 2024-01-15 05/06/2024 03-04-1999 01 02 2023 15.01.2024 12:30 1990-1995 version 1.2.3.4.5 10.15.7 "
+    "id-212-555-0100 0212-555-0100-7 978-3-16-148410-0 1,212,555 1.234.567 3.14159265 12345-6789 "
+    "7212-555-01001 000 111 222 2019 2020 2021 https://x.org/212-555-0100 tel 01.02.2023 0.123456789"
+)
+
+
+def test_national_numbers_are_found():
+    for number in NATIONAL:
+        for text in (number, f"({number})", f"At {number}, or {number}.", f"{number} 24 hours"):
+            if text.endswith("hours") and " " in number:
+                continue
+            found = list(s.found_in(text))
+            assert [x[0] for x in found] == ["phone"] * text.count(number), text
+            new = rewritten(text)
+            assert new != text and [x[0] for x in s.found_in(new)] == [x[0] for x in found], (text, new)
+    digits = {normal for _, normal, _, _ in s.found_in("212-555-0100 or 212.555.0100 or (212) 555-0100")}
+    assert digits == {"2125550100"}
+    assert "(0)" in rewritten("+49 (0)30 123456")
+
+
+def test_cards_in_groups_of_four_six_and_five():
+    for text in ("3782 822463 10005", "3782-822463-10005", "3056 930902 5904"):
+        assert [x[0] for x in s.found_in(text)] == ["card"]
+        assert [x[0] for x in s.found_in(rewritten(text))] == ["card"] and rewritten(text) != text
+    assert not list(s.found_in("3782 822463 10006"))
+
+
+def test_dates_versions_and_ids_are_no_telephone_numbers():
+    assert list(s.found_in(NO_PHONES)) == []
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 5))
 def test_permutations_are_bijections(size, salt):
