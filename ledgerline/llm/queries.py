@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    centroids,
     mixing,
     near_text,
     near_vectors,
     packing,
+    periodic_runs,
     quality,
     repeats,
     revisits,
@@ -271,3 +273,101 @@ WITH RECURSIVE counted AS (
 SELECT doc_id, source, n // 8 AS mix_block, slot AS mix_slot, CAST(n % 8 AS INTEGER) AS mix_place
 FROM numbered JOIN slots ON slots.s = numbered.s AND slots.block = n // 8
 """
+
+
+def echoed(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth repeats a stretch of its words up to the end.
+
+    With ``h = crc32(doc_id)`` and ``g = h // 10``: where ``h % 10`` is 0, words from
+    ``a = g % n`` on repeat the ``p = 1 + (n - a) // (3 + g % 8)`` words at ``a``.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    g, n = F.floor(h / 10), F.size("words")
+    parts = docs.select("doc_id", "text", F.when(chosen, words).alias("words"), g.alias("g"))
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    block = F.slice("words", a + 1, p)
+    again = F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))
+    whole = F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), n - a))
+    changed = F.when(F.col("words").isNotNull(), F.array_join(whole, " "))
+    return parts.select("doc_id", F.coalesce(changed, "text").alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, a tenth of them with an echo."""
+    found = periodic_runs.runs(echoed(documents(spark, sf_dir)))
+    line = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", periodic_runs.longest())
+    length, period = -F.col("best.shorter"), F.col("best.period")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 8 clusters after 10 rounds."""
+    return centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _centroid_check(rounds: int = 10) -> str:
+    """Plain Lloyd rounds in SQL: every distance of every vector to every centroid."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+d{n} AS MATERIALIZED (
+    SELECT v.r, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d
+    FROM v JOIN c{n} c USING (i) GROUP BY ALL
+), a{n} AS MATERIALIZED (
+    SELECT r, CAST(min(k) AS INTEGER) AS k, CAST(min(d) AS BIGINT) AS d
+    FROM (SELECT r, k, d, min(d) OVER (PARTITION BY r) AS least FROM d{n}) WHERE d = least
+    GROUP BY r
+)""")
+        if n < rounds:
+            steps.append(f"""
+s{n} AS (
+    SELECT a.k, v.i, sum(v.x) AS s, count(*) AS n FROM v JOIN a{n} a USING (r) GROUP BY ALL
+), c{n + 1} AS MATERIALIZED (
+    SELECT c.k, c.i, CASE WHEN s.n IS NULL THEN c.x
+        ELSE CAST((s.s - (s.s % s.n + s.n) % s.n) // s.n AS BIGINT) END AS x
+    FROM c{n} c LEFT JOIN s{n} s ON s.k = c.k AND s.i = c.i
+)""")
+    return f"""
+WITH good AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding,
+          lambda x: x IS NOT NULL AND isfinite(x)))
+), v AS MATERIALIZED (
+    SELECT r, unnest(range(64)) AS i,
+           unnest(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS x
+    FROM good
+), c0 AS MATERIALIZED (
+    SELECT f.k, v.i, v.x
+    FROM (SELECT r, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS k
+          FROM good) f JOIN v USING (r)
+    WHERE f.k < 8
+),{",".join(steps)}, names AS (
+    SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS name FROM c{rounds} GROUP BY k
+), sums AS (
+    SELECT k, CAST(sum(d) AS BIGINT) AS s FROM a{rounds} GROUP BY k
+)
+SELECT vec_id, a.k AS cluster, a.d AS distance, sums.s AS cluster_inertia,
+       (SELECT CAST(sum(d) AS BIGINT) FROM a{rounds}) AS inertia, name AS centroid_sha256
+FROM a{rounds} a JOIN good USING (r) JOIN names USING (k) JOIN sums USING (k)
+"""
+
+
+CHECKS["op12_centroids"] = _centroid_check()
