@@ -18,6 +18,7 @@ from ledgerline.llm import (
     quality,
     repeats,
     revisits,
+    seed_extend,
     surrogates,
     token_files,
     toxicity,
@@ -371,3 +372,38 @@ FROM a{rounds} a JOIN good USING (r) JOIN names USING (k) JOIN sums USING (k)
 
 
 CHECKS["op12_centroids"] = _centroid_check()
+
+
+@query
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 35 words that occur more than once."""
+    return seed_extend.without_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+CHECKS["op13_passages"] = r"""
+WITH rows_ AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), words_ AS MATERIALIZED (
+    SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n FROM rows_
+), windows AS MATERIALIZED (
+    SELECT r, i, word, n, CASE WHEN i + 35 <= n THEN md5(string_agg(word, ' ') OVER (
+        PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS w
+    FROM words_
+), again AS MATERIALIZED (
+    SELECT w FROM windows WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1
+), judged AS (
+    SELECT r, i, word, max(CASE WHEN again.w IS NULL THEN 0 ELSE 1 END) OVER (
+        PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM windows LEFT JOIN again USING (w)
+), kept AS (
+    SELECT r, sum(gone) AS removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS text
+    FROM judged GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM rows_ LEFT JOIN kept USING (r)
+"""
