@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerline.operators import files
+
 
 @dataclass(frozen=True)
 class Written:
@@ -107,62 +109,11 @@ def list_days(spark: SparkSession, path: str, column: str) -> list[date]:
     prefix = f"{column}="
     return sorted(
         date.fromisoformat(name[len(prefix) :])
-        for name in _names(spark, path)
+        for name in files.names(spark, path)
         if name.startswith(prefix) and name[len(prefix) :][:1].isdigit()
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _filesystem(spark, path)
-    return files.exists(folder)
-
-
-def _filesystem(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    folder, files = _filesystem(spark, path)
-    if not files.exists(folder):
-        return []
-    return [status.getPath().getName() for status in files.listStatus(folder)]
-
-
 def _day_folder(path: str, column: str, day: date) -> str:
     return f"{path}/{column}={day.isoformat()}"
 
-
-def delete(spark: SparkSession, path: str) -> None:
-    folder, files = _filesystem(spark, path)
-    files.delete(folder, True)
-
-
-def put_in_place(spark: SparkSession, made: str, path: str) -> None:
-    """Rename the folder ``made`` to ``path``, whose old content goes."""
-    source, files = _filesystem(spark, made)
-    target, _ = _filesystem(spark, path)
-    if files.exists(target):
-        files.delete(target, True)
-    files.mkdirs(target.getParent())
-    if not files.rename(source, target):
-        raise OSError(f"{made} could not be renamed to {path}")
-
-
-def swap_range(
-    spark: SparkSession, made: str, path: str, time_column: str, start: date, end: date
-) -> None:
-    """Days ``start`` to ``end`` of the table at ``path`` become those of ``made``."""
-    new = set(list_days(spark, made, time_column))
-    for day in list_days(spark, path, time_column):
-        if start <= day <= end and day not in new:
-            delete(spark, _day_folder(path, time_column, day))
-    for day in sorted(new):
-        put_in_place(
-            spark, _day_folder(made, time_column, day), _day_folder(path, time_column, day)
-        )
-
-
-def ensure_folder(spark: SparkSession, path: str) -> None:
-    folder, files = _filesystem(spark, path)
-    files.mkdirs(folder)

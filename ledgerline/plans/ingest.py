@@ -1,23 +1,26 @@
 """Ingest: landed documents to the lake, then to day partitions of a raw table.
 
-One job loads any number of days: documents are read in parallel, parsed by
-column expressions, written once to the lake under (day, run), and from there
-the table's days are replaced.  Nothing passes through the driver but row
-counts per day.
+One job loads any number of days.  Documents are read once, in parallel, and parsed by
+column expressions; records, refused records and what pages say of their place among the
+others are written to the lake as one attempt of the run.  Whether pages are whole, which
+days have refused records and how many rows a day has is asked of those files, and only
+then the attempt is committed and its days replace those of the table.  Nothing passes
+through the driver but counts per day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.operators.partitions import delete, exists, range_folders, write_days
+from ledgerline.operators import attempts, files
+from ledgerline.operators.partitions import list_days, write_days
 from ledgerline.operators.run_days import calendar_days
 from ledgerline.plans.warehouse import SNAPSHOT_DATE, Warehouse
 from ledgerline.schemas import RAW, RUN_LOG, StringType
@@ -29,8 +32,8 @@ from ledgerline.sources import (
     paypal,
     stripe,
 )
-from ledgerline.sources.landed import LANDED_DATE, landed_between
-from ledgerline.sources.records import PARSE_ERROR, accept, rejects
+from ledgerline.sources.landed import IS_RECORD, LANDED_DATE, PAGE, landed_between, within
+from ledgerline.sources.records import PARSE_ERROR, RECORD
 
 FAIL_RUN, FAIL_DAY = "fail run", "fail day"
 
@@ -48,28 +51,39 @@ class Source:
     # Takes documents and the first and last day asked for, as columns.
     parse: Callable[[DataFrame, Column, Column], DataFrame]
     partition_column: str
+    # What a page says of its place, and the report made of it.
+    page_link: Callable[[], Column] | None = None
     page_report: Callable[[DataFrame], DataFrame] | None = None
     sheet_name: str | None = None
     cluster_columns: tuple[str, ...] = ()
+    # Column and value that tell apart what is loaded on its own within a day.
+    scope: tuple[str, str] | None = None
+
+    @property
+    def kept_by(self) -> list[str]:
+        """Columns whose values are replaced together."""
+        return [self.partition_column, *([self.scope[0]] if self.scope else [])]
 
 
 STRIPE = Source(
     "stripe_charges",
     schemas.STRIPE_PAGE,
     lambda docs, start, end: stripe.parse(
-        stripe.unpack(docs).where(stripe.in_window(start, end))
+        within(stripe.unpack(docs), stripe.in_window(start, end))
     ),
     "charge_date",
-    stripe.page_report,
+    stripe.page_link,
+    stripe.link_report,
 )
 PAYPAL = Source(
     "paypal_transactions",
     schemas.PAYPAL_PAGE,
     lambda docs, start, end: paypal.parse(
-        paypal.unpack(docs).where(paypal.in_window(start, end))
+        within(paypal.unpack(docs), paypal.in_window(start, end))
     ),
     "transaction_date",
-    paypal.page_report,
+    paypal.page_link,
+    paypal.link_report,
 )
 FACEBOOK_ADS = Source(
     "facebook_ads",
@@ -90,7 +104,10 @@ GOOGLE_ANALYTICS = Source(
 
 
 def google_ads_account(customer_id: str) -> Source:
-    """The ads report of one account; its id is not in the rows."""
+    """The ads report of one account; its id is not in the rows.
+
+    Accounts are loaded one by one: each replaces its own rows of a day only.
+    """
     return Source(
         "google_ads",
         schemas.GOOGLE_ADS_ROW,
@@ -100,6 +117,7 @@ def google_ads_account(customer_id: str) -> Source:
             )
         ),
         "date",
+        scope=("customer_id", customer_id),
     )
 
 
@@ -127,18 +145,36 @@ def add_loaded_at(frame: DataFrame, run_time: datetime) -> DataFrame:
 def append_to_lake(
     records: DataFrame, warehouse: Warehouse, source: str, run_id: str
 ) -> int:
-    """Keep this run's records; other runs of the same days stay.
+    """Keep this run's records; other runs and attempts of the same days stay.
 
-    ``records`` has a ``partition_date``.  Repeating a run id replaces only what
-    that run wrote, so a retried job does not double its rows.
+    ``records`` has a ``partition_date``.  A run id that is used again makes a further
+    attempt, which readers take for the days it has, so a retried job does not double
+    its rows.
     """
+    lake, spark, name = warehouse.lake_path(source), warehouse.spark, attempts.new_name()
+    kinded = records.withColumn("kind", F.lit(attempts.RECORD))
+    rows = _write_attempt(kinded, lake, run_id, name)
+    days = list_days(spark, lake, "partition_date")
+    found = attempts.folders(spark, lake, run_id, name, days)
+    attempts.commit(spark, lake, run_id, name, "", found, found)
+    return rows
+
+
+def _write_attempt(rows: DataFrame, lake: str, run_id: str, name: str) -> int:
     return write_days(
-        records.withColumn("run_id", F.lit(run_id)),
-        warehouse.lake_path(source),
-        ["partition_date", "run_id"],
+        rows.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(name)}),
+        lake,
+        ["partition_date", "run_id", "attempt", "kind"],
     ).rows
 
 
+def _lake_schema(source: str) -> StructType:
+    schema = StructType([f for f in RAW[source].fields if f.name != SNAPSHOT_DATE])
+    return schema.add("partition_date", RUN_LOG["partition_date"].dataType).add(
+        "run_id", StringType()
+    )
+
+
 def read_lake_run(
     warehouse: Warehouse,
     source: str,
@@ -148,45 +184,58 @@ def read_lake_run(
 ) -> DataFrame:
     """One run's records, of the days ``start`` to ``end`` where they are given.
 
-    The lake holds every run, so a run must be named.  With days only their folders
-    are listed.
+    The lake holds every run, so a run must be named; of its attempts the last finished
+    one of each day counts.  Only the folders of those are listed.
     """
-    columns = [f for f in RAW[source].fields if f.name != SNAPSHOT_DATE]
-    schema = (
-        StructType(columns)
-        .add("partition_date", RUN_LOG["partition_date"].dataType)
-        .add("run_id", StringType())
+    folders = attempts.standing(
+        warehouse.spark, warehouse.lake_path(source), run_id, start, end
     )
-    lake = warehouse.lake_path(source)
-    reader = warehouse.spark.read.schema(schema).option("basePath", lake)
-    if start is None or end is None:
-        return reader.parquet(f"{lake}/partition_date=*/run_id={run_id}")
-    return reader.parquet(*run_folders(warehouse, source, run_id, start, end))
+    return _read_folders(warehouse, source, [f"{f}/kind={attempts.RECORD}" for f in folders])
 
 
-def run_folders(
-    warehouse: Warehouse, source: str, run_id: str, start: date, end: date
-) -> list[str]:
-    """The folders that a run has for the days ``start`` to ``end``."""
-    spark, lake = warehouse.spark, warehouse.lake_path(source)
-    days = range_folders(spark, lake, "partition_date", start, end)
-    folders = [f"{day}/run_id={run_id}" for day in days]
-    return [folder for folder in folders if exists(spark, folder)]
+def _read_folders(
+    warehouse: Warehouse, source: str, folders: list[str], *more: str
+) -> DataFrame:
+    """Records, or other rows with the columns ``more``, of some folders of the lake."""
+    schema = _lake_schema(source)
+    for column in more:
+        schema = schema.add(column, StringType())
+    spark = warehouse.spark
+    folders = [folder for folder in folders if files.exists(spark, folder)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", warehouse.lake_path(source))
+    return reader.parquet(*folders).select(*schema.fieldNames())
+
+
+def read_rejects(warehouse: Warehouse, source: str, run_id: str, attempt: str) -> DataFrame:
+    """Refused records of an attempt, finished or not: the day, why, and the record."""
+    lake = warehouse.lake_path(source)
+    days = list_days(warehouse.spark, lake, "partition_date")
+    found = attempts.folders(warehouse.spark, lake, run_id, attempt, days)
+    folders = [f"{folder}/kind={attempts.REJECT}" for folder in found.values()]
+    rows = _read_folders(warehouse, source, folders, PARSE_ERROR, RECORD)
+    return rows.select("partition_date", PARSE_ERROR, RECORD)
 
 
 def load_partitions(
     records: DataFrame,
     warehouse: Warehouse,
     table: str,
-    partition_column: str = "date",
+    partition_column: str | list[str] = "date",
     cluster_columns: tuple[str, ...] = (),
     rebalance: bool = True,
 ) -> int:
-    """Replace the days of ``raw.<table>`` that ``records`` has; rows loaded."""
+    """Replace the days of ``raw.<table>`` that ``records`` has; rows loaded.
+
+    With several partition columns, such as day and account, each pair of values that
+    ``records`` has is replaced, and other accounts of the day stay.
+    """
+    by = [partition_column] if isinstance(partition_column, str) else partition_column
     return write_days(
         records,
         warehouse.path(f"raw.{table}"),
-        [partition_column],
+        by,
         cluster_columns,
         rebalance,
     ).rows
@@ -212,59 +261,142 @@ def ingest(
     another day than it was landed for: replacing that day by a part of its rows would
     lose the others.
 
-    A run id that is used again replaces its earlier files of the days asked for.
+    A run id that is used again makes a further attempt in the lake.  The earlier one
+    counts until this one is committed: after all rows are written and judged, before the
+    table's days are replaced.
     """
-    landed = landed_between(documents, start, end)
-    if source.page_report is not None:
-        _require_whole(source.page_report(landed), source.table)
+    spark, lake = warehouse.spark, warehouse.lake_path(source.table)
+    name, seen = attempts.new_name(), DaysSeen(start, end)
+    landed = seen.watch(landed_between(documents, start, end))
+    _write_attempt(add_loaded_at(_judged(source, landed), run_time), lake, run_id, name)
+    there = seen.days()
+    folders = attempts.folders(spark, lake, run_id, name, there)
+    if source.page_link is not None:
+        links = _links(source, warehouse, list(folders.values()))
+        _require_whole(source.page_report(links), source.table)
+    failed = [
+        day for day, folder in folders.items()
+        if files.exists(spark, f"{folder}/kind={attempts.REJECT}")
+    ]
+    if failed and on_bad_record != FAIL_DAY:
+        refused = read_rejects(warehouse, source.table, run_id, name)
+        worst = refused.orderBy("partition_date", PARSE_ERROR, RECORD).head()
+        raise BadRecord(
+            f"Failed to parse {source.table}: {worst[PARSE_ERROR]} in {worst[RECORD]}"
+        )
+    good = [f"{f}/kind={attempts.RECORD}" for day, f in folders.items() if day not in failed]
+    run = _read_folders(warehouse, source.table, good)
     # At most one row per day of the range.
-    there = {row[0] for row in landed.select(LANDED_DATE).distinct().collect()}
-    failed = []
-    if on_bad_record == FAIL_DAY:
-        failed = _days_with_rejects(_parsed(source, landed))
-        landed = landed.where(~F.col(LANDED_DATE).isin(failed)) if failed else landed
-
-    records = accept(_parsed(source, landed), source.table)
-    day = _day_column(source)
-    for folder in run_folders(warehouse, source.table, run_id, start, end):
-        delete(warehouse.spark, folder)
-    dated = records.withColumn("partition_date", F.col(day)).drop(LANDED_DATE)
-    stamped = add_loaded_at(dated, run_time)
-    kept = append_to_lake(stamped, warehouse, source.table, run_id)
-    if kept:
-        run = read_lake_run(warehouse, source.table, run_id, start, end)
-        columns = RAW[source.table].fieldNames()
+    per_day = run.groupBy("partition_date").agg(F.count(F.lit(1)).alias("rows"))
+    rows = {r["partition_date"]: r["rows"] for r in per_day.collect()}
+    asked = (start + timedelta(n) for n in range((end - start).days + 1))
+    attempts.commit(
+        spark, lake, run_id, name,
+        "=".join(source.scope or ()),
+        [day for day in asked if day not in failed],
+        rows,
+    )
+    if rows:
+        records = run.withColumn(source.partition_column, F.col("partition_date"))
         loaded = load_partitions(
-            run.select(*columns),
+            records.select(*RAW[source.table].fieldNames()),
             warehouse,
             source.table,
-            source.partition_column,
+            source.kept_by,
             source.cluster_columns,
             rebalance=False,
         )
-        if loaded != kept:
-            raise ValueError(f"{source.table}: {kept} rows kept, {loaded} loaded")
-        per_day = run.groupBy("partition_date").agg(F.count(F.lit(1)).alias("rows"))
-    else:
-        per_day = None
-    return log_run(
-        source, warehouse, start, end, run_id, run_time, per_day, failed, sorted(there)
-    )
+        if loaded != sum(rows.values()):
+            raise ValueError(
+                f"{source.table}: {sum(rows.values())} rows kept, {loaded} loaded"
+            )
+    return log_run(source, warehouse, start, end, run_id, name, run_time, rows, failed, there)
 
 
-def _day_column(source: Source) -> str:
-    by_landing = source.partition_column == SNAPSHOT_DATE
-    return LANDED_DATE if by_landing else source.partition_column
+class BadRecord(ValueError):
+    """A landed record has been refused."""
 
 
-def _parsed(source: Source, landed: DataFrame) -> DataFrame:
-    """Records in the windows of their own landed days; those of another are refused."""
+class DaysSeen:
+    """Which days of a range have documents, told by the job that reads them.
+
+    Days are bits of one number for each ``WIDTH`` of them, combined by ``or``, so a task
+    that runs twice changes nothing.
+    """
+
+    WIDTH = 60
+
+    def __init__(self, start: date, end: date):
+        self.start, self.count = start, (end - start).days + 1
+        self.seen = Observation()
+
+    def watch(self, documents: DataFrame) -> DataFrame:
+        place = F.datediff(F.col(LANDED_DATE), F.lit(self.start))
+        bits = [
+            F.bit_or(
+                F.when(
+                    place.between(low, low + self.WIDTH - 1),
+                    F.call_function("shiftleft", F.lit(1).cast("bigint"), place - low),
+                )
+            ).alias(f"days_{low}")
+            for low in range(0, max(self.count, 1), self.WIDTH)
+        ]
+        return documents.observe(self.seen, *bits)
+
+    def days(self) -> list[date]:
+        told = self.seen.get
+        return [
+            self.start + timedelta(n)
+            for n in range(self.count)
+            if (told.get(f"days_{n - n % self.WIDTH}") or 0) >> n % self.WIDTH & 1
+        ]
+
+
+def _judged(source: Source, landed: DataFrame) -> DataFrame:
+    """Every row of an attempt: records and refused ones in the windows of their own landed
+    days, and what pages say of their place.
+
+    A record of another day than it was landed for is refused.
+    """
+    if source.page_link is not None:
+        landed = landed.withColumn(PAGE, source.page_link())
     parsed = source.parse(landed, F.col(LANDED_DATE), F.col(LANDED_DATE))
     day = _day_column(source)
-    if day == LANDED_DATE:
-        return parsed
-    strays = F.when(F.col(day) != F.col(LANDED_DATE), F.lit(f"{day} of another run day"))
-    return parsed.withColumn(PARSE_ERROR, F.coalesce(PARSE_ERROR, strays))
+    error = F.col(PARSE_ERROR)
+    if day != LANDED_DATE:
+        strays = F.when(F.col(day) != F.col(LANDED_DATE), F.lit(f"{day} of another run day"))
+        error = F.coalesce(PARSE_ERROR, strays)
+    kind = F.when(error.isNull(), attempts.RECORD).otherwise(attempts.REJECT)
+    if source.page_link is not None:
+        kind = F.when(F.col(IS_RECORD), kind).otherwise(attempts.PAGE_ONLY)
+    refused = kind == attempts.REJECT
+    return parsed.withColumns(
+        {
+            "kind": kind,
+            PARSE_ERROR: F.when(refused, error),
+            RECORD: F.when(refused, F.col(RECORD)),
+            "partition_date": F.col(LANDED_DATE),
+        }
+    ).drop(LANDED_DATE, IS_RECORD)
+
+
+def _links(source: Source, warehouse: Warehouse, folders: list[str]) -> DataFrame:
+    """What the pages of an attempt say, one row per page; no other column is read."""
+    spark = warehouse.spark
+    empty = spark.createDataFrame([], source.landed_schema)
+    link = empty.select(source.page_link().alias(PAGE)).schema[PAGE]
+    schema = StructType([link, RUN_LOG["partition_date"]])
+    if not folders:
+        rows = spark.createDataFrame([], schema)
+    else:
+        reader = spark.read.schema(schema).option("basePath", warehouse.lake_path(source.table))
+        rows = reader.parquet(*folders).where(F.col(PAGE).isNotNull())
+    return rows.select(PAGE, F.col("partition_date").alias(LANDED_DATE))
+
+
+def _day_column(source: Source) -> str:
+    by_landing = source.partition_column == SNAPSHOT_DATE
+    return LANDED_DATE if by_landing else source.partition_column
 
 
 def log_run(
@@ -273,35 +405,36 @@ def log_run(
     start: date,
     end: date,
     run_id: str,
+    attempt: str,
     run_time: datetime,
-    per_day: DataFrame | None,
+    rows: dict[date, int],
     failed: list[date],
     landed: list[date],
 ) -> DataFrame:
     """Append one row per day of the run, and return them."""
-    days = calendar_days(warehouse.spark, start, end)
-    if per_day is None:
-        per_day = days.where(F.lit(False)).withColumn("rows", F.lit(0).cast("bigint"))
-    rows = F.coalesce("rows", F.lit(0).cast("bigint"))
+    spark, lake = warehouse.spark, warehouse.lake_path(source.table)
+    counts = spark.createDataFrame(list(rows.items()), "partition_date date, rows bigint")
+    days = calendar_days(spark, start, end).join(F.broadcast(counts), "partition_date", "left")
+    rows_loaded = F.coalesce("rows", F.lit(0).cast("bigint"))
     is_failed = F.col("partition_date").isin(failed) if failed else F.lit(False)
     is_landed = F.col("partition_date").isin(landed) if landed else F.lit(False)
     log = add_loaded_at(
-        days.join(per_day, "partition_date", "left").select(
+        days.select(
             F.lit(source.table).alias("source"),
             "partition_date",
             F.lit(run_id).alias("run_id"),
             F.when(is_failed, "failed")
-            .when(rows > 0, "loaded")
+            .when(rows_loaded > 0, "loaded")
             .when(is_landed, "skipped")
             .otherwise("missing")
             .alias("status"),
-            rows.alias("rows_loaded"),
+            rows_loaded.alias("rows_loaded"),
             F.when(
-                rows > 0,
+                rows_loaded > 0,
                 F.concat(
-                    F.lit(f"{warehouse.lake_path(source.table)}/partition_date="),
+                    F.lit(f"{lake}/partition_date="),
                     F.col("partition_date").cast("string"),
-                    F.lit(f"/run_id={run_id}"),
+                    F.lit(f"/run_id={run_id}/attempt={attempt}"),
                 ),
             ).alias("uri"),
             F.lit(source.sheet_name).cast("string").alias("sheet_name"),
@@ -322,12 +455,6 @@ def _require_whole(report: DataFrame, table: str) -> None:
         raise IncompletePages(f"{table}: pages are missing for {days}")
 
 
-def _days_with_rejects(parsed: DataFrame) -> list[date]:
-    """At most one row per day of the run."""
-    found = rejects(parsed).select(LANDED_DATE).distinct().collect()
-    return sorted(row[LANDED_DATE] for row in found)
-
-
 __all__ = [
     "FACEBOOK_ADS",
     "FAIL_DAY",
@@ -335,6 +462,7 @@ __all__ = [
     "GOOGLE_ANALYTICS",
     "PAYPAL",
     "STRIPE",
+    "BadRecord",
     "IncompletePages",
     "Source",
     "add_loaded_at",
@@ -344,6 +472,6 @@ __all__ = [
     "load_partitions",
     "log_run",
     "read_lake_run",
-    "run_folders",
+    "read_rejects",
     "sheet",
 ]

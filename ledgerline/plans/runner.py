@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
 from ledgerline.functions.calc import whole_months
+from ledgerline.operators import files, snapshots
 from ledgerline.operators.partitions import (
     count_on_write,
-    delete,
-    ensure_folder,
-    put_in_place,
-    swap_range,
+    list_days,
     write_days,
     written,
 )
@@ -41,8 +38,8 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
 
     A by-month model is widened to whole months, since its days only make sense
     together.  Days of the range that have no rows any more are removed.  Rows are
-    written beside the table, counted by the null-key audit on the way, and take the
-    table's place only if they pass it.
+    written as a build beside those of the table, counted by the null-key audit on the
+    way, and become the table's in one step, only if they pass it.
     """
     if model.kind == BY_MONTH:
         start, end = whole_months(start, end)
@@ -54,7 +51,8 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
     }
     frame = model.build(inputs, start, end)
     path, spark = warehouse.path(model.name), warehouse.spark
-    made = f"{warehouse.root}/building/{model.name}-{uuid.uuid4().hex}"
+    before = snapshots.current(spark, path)
+    build, made = snapshots.new_build(path)
     if model.kind == FULL:
         counted, observation = count_on_write(frame, model.audit_column)
         counted.write.parquet(made)
@@ -68,17 +66,17 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
             key_column=model.audit_column,
         )
     if counts.null_keys:
-        delete(spark, made)
+        files.delete(spark, made)
         raise AuditError(
             f"{model.name}: {counts.null_keys} rows with null {model.audit_column}"
         )
     if model.kind == FULL:
-        put_in_place(spark, made, path)
+        builds = {snapshots.WHOLE: build}
     else:
-        swap_range(spark, made, path, model.time_column, start, end)
-        delete(spark, made)
-        # A table without any rows yet is a folder all the same.
-        ensure_folder(spark, path)
+        days = list_days(spark, made, model.time_column)
+        builds = snapshots.with_range(before, build, days, start, end)
+    snapshots.publish(spark, path, before, builds, frame.schema, model.time_column)
+    snapshots.sweep(spark, path)
     return counts.rows
 
 

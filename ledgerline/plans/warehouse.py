@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import in_range
+from ledgerline.operators import snapshots
+from ledgerline.operators.files import exists
 from ledgerline.operators.partitions import (
-    exists,
     list_days,
     read_days,
     read_range,
@@ -40,16 +41,15 @@ class Warehouse:
         layer, table = name.split(".")
         if layer == "raw":
             return self._read_raw(table)
-        if layer == "staging":
-            schema = STAGING[table]
-            frame = read_days(self.spark, self.path(name), schema)
-            return frame.select(*schema.fieldNames())
-        return self.spark.read.parquet(self.path(name))
+        # Staging tables have declared columns, marts those they were published with.
+        return snapshots.read(self.spark, self.path(name), STAGING.get(table))
 
     def read_range(self, name: str, column: str, start: date, end: date) -> DataFrame:
         """Day folders ``start`` to ``end`` of a table kept by ``column``."""
         layer, table = name.split(".")
-        schema = {"raw": RAW, "staging": STAGING}[layer][table]
+        if layer != "raw":
+            return snapshots.read(self.spark, self.path(name), STAGING.get(table), start, end)
+        schema = RAW[table]
         return read_range(
             self.spark, self.path(name), schema, column, start, end
         ).select(*schema.fieldNames())

@@ -18,6 +18,9 @@ from ledgerline.functions.calc import in_range
 from ledgerline.operators.partitions import range_folders
 
 LANDED_DATE = "landed_date"
+# Where pages are loaded in one pass: what a page says of its place among the others, on
+# its first row only, and whether a row is a record at all (an empty page has none).
+PAGE, IS_RECORD = "page_link", "is_record"
 STRICT = {"mode": "FAILFAST"}
 
 
@@ -60,8 +63,31 @@ def landed_between(documents: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def kept_columns(documents: DataFrame) -> list[str]:
-    """``landed_date`` where there is one, to carry along while unpacking."""
-    return [LANDED_DATE] if LANDED_DATE in documents.columns else []
+    """What is carried along while unpacking and parsing, where it is there."""
+    return [name for name in (LANDED_DATE, PAGE, IS_RECORD) if name in documents.columns]
+
+
+def unpacked(pages: DataFrame, items: Column) -> DataFrame:
+    """One row per item of a page; with a page link, one at least."""
+    if PAGE not in pages.columns:
+        return pages.select(*kept_columns(pages), F.inline(items))
+    others = [name for name in kept_columns(pages) if name != PAGE]
+    placed = pages.select(*others, PAGE, F.posexplode_outer(items).alias("place", "item"))
+    return placed.select(
+        *others,
+        F.when(F.coalesce("place", F.lit(0)) == 0, F.col(PAGE)).alias(PAGE),
+        F.col("item").isNotNull().alias(IS_RECORD),
+        "item.*",
+    )
+
+
+def within(rows: DataFrame, in_window: Column) -> DataFrame:
+    """Rows of a window; others stay as no records where they carry a page link."""
+    if PAGE not in rows.columns:
+        return rows.where(in_window)
+    return rows.withColumn(IS_RECORD, F.col(IS_RECORD) & in_window).where(
+        F.col(IS_RECORD) | F.col(PAGE).isNotNull()
+    )
 
 
 def empty_if_null(items: Column) -> Column:

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import epoch_bounds
 from ledgerline.functions.casts import first_filled, iso_date, money, refused
-from ledgerline.sources.landed import LANDED_DATE, empty_if_null, kept_columns
+from ledgerline.sources.landed import (
+    LANDED_DATE,
+    PAGE,
+    empty_if_null,
+    kept_columns,
+    unpacked,
+)
 from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ssZ"
@@ -18,7 +24,7 @@ INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ssZ"
 def unpack(pages: DataFrame) -> DataFrame:
     """One row per transaction; a page without a list is an empty page."""
     details = empty_if_null(F.col("transaction_details"))
-    return pages.select(*kept_columns(pages), F.inline(details))
+    return unpacked(pages, details)
 
 
 def in_window(start: date | Column, end: date | Column) -> Column:
@@ -79,8 +85,22 @@ def full_name(name: Column) -> Column:
     )
 
 
+def page_link() -> Column:
+    """What a page says of its place: its number and how many there are."""
+    return F.struct(
+        F.coalesce("page", F.lit(1)).alias("page"),
+        F.coalesce("total_pages", F.lit(1)).alias("total"),
+    )
+
+
 def page_report(
     pages: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
+) -> DataFrame:
+    return link_report(pages.select(*run_columns, page_link().alias(PAGE)), run_columns)
+
+
+def link_report(
+    links: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
 ) -> DataFrame:
     """Per fetch (a run day, unless told otherwise): are its pages whole?
 
@@ -88,11 +108,7 @@ def page_report(
     twice would double its transactions.  A page without a total is the only
     one.
     """
-    numbered = pages.select(
-        *run_columns,
-        F.coalesce("page", F.lit(1)).alias("page"),
-        F.coalesce("total_pages", F.lit(1)).alias("total"),
-    )
+    numbered = links.select(*run_columns, f"{PAGE}.*")
     by_number = numbered.groupBy(*run_columns, "page").agg(
         F.count(F.lit(1)).alias("landed"), F.max("total").alias("total")
     )

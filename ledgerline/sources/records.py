@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.sources.landed import IS_RECORD, PAGE
+
 PARSE_ERROR = "parse_error"
 RECORD = "record"
 
@@ -34,9 +36,15 @@ def parse_fields(rows: DataFrame, fields: list[Field], keep: list[str]) -> DataF
         *[field.value.alias(field.name) for field in fields],
         *[column for column in keep if column not in {f.name for f in fields}],
         F.nullif(F.concat_ws(", ", *complaints), F.lit("")).alias(PARSE_ERROR),
-        F.to_json(F.struct(*[F.col(f"`{name}`") for name in rows.columns])).alias(
-            RECORD
-        ),
+        F.to_json(
+            F.struct(
+                *[
+                    F.col(f"`{name}`")
+                    for name in rows.columns
+                    if name not in (PAGE, IS_RECORD)
+                ]
+            )
+        ).alias(RECORD),
     )
 
 

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import cents_to_dollars, epoch_bounds, epoch_to_date
 from ledgerline.functions.casts import first_filled, refused, whole_number
-from ledgerline.sources.landed import LANDED_DATE, kept_columns
+from ledgerline.operators.chains import unreached
+from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.landed import LANDED_DATE, PAGE, kept_columns, unpacked
 from ledgerline.sources.records import Field, parse_fields, unreadable_or
 
 
 def unpack(pages: DataFrame) -> DataFrame:
     """One row per charge; an empty page gives none."""
-    return pages.select(*kept_columns(pages), F.inline("data"))
+    return unpacked(pages, F.col("data"))
 
 
 def in_window(start: date | Column, end: date | Column) -> Column:
@@ -64,59 +66,95 @@ def parse(charges: DataFrame) -> DataFrame:
     return parse_fields(staged, fields, kept_columns(charges))
 
 
+def page_link() -> Column:
+    """What a page says of its place: its own last charge, the charge it continues from,
+    and whether it is the last one."""
+    return F.struct(
+        F.try_element_at("data", F.lit(-1))["id"].alias("end"),
+        F.nullif("starting_after", F.lit("")).alias("cursor"),
+        F.coalesce(~F.col("has_more"), F.lit(True)).alias("is_last"),
+    )
+
+
 def page_report(
     pages: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
+) -> DataFrame:
+    return link_report(pages.select(*run_columns, page_link().alias(PAGE)), run_columns)
+
+
+def link_report(
+    pages: DataFrame, run_columns: tuple[str, ...] = (LANDED_DATE,)
 ) -> DataFrame:
     """Per fetch (a run day, unless told otherwise): is its page chain whole?
 
     Pages form a chain: each one but the first names the last charge of the
     page before, and only the last has ``has_more = false``.  The set is whole
-    when there is one first page, one last page, no cursor whose page was lost
-    and no page landed twice.
+    when there is one first page, one last page, no cursor whose page was lost,
+    no page landed twice, no page continued twice, none with more to come that is not
+    continued, and none that the first page does not lead to.
 
     Every page gives two rows, one under its own last charge and one under the
-    charge it continues from, so that one pass over the documents and one
-    aggregate by charge pair them up.  Charge ids spread evenly.
+    charge it continues from, so that one pass over the pages and one
+    aggregate by charge pair them up.  Charge ids spread evenly.  What is left then is
+    one chain, or one and loops beside it: a loop is what pointer doubling never
+    brings back to a first page.
     """
-    cursor = F.nullif("starting_after", F.lit(""))
-    own_end = F.try_element_at("data", F.lit(-1))["id"]
-    is_last = F.coalesce(~F.col("has_more"), F.lit(True))
-    links = pages.select(
+    run_columns = list(run_columns)
+    links = pages.where(F.col(PAGE).isNotNull()).select(*run_columns, f"{PAGE}.*")
+    ends = links.select(
         *run_columns,
         F.inline(
             F.array(
-                _link(own_end, page=1, first=cursor.isNull(), last=is_last, end=1),
-                _link(cursor, cursor=cursor.isNotNull()),
+                _count(F.col("end"), page=1, first=F.col("cursor").isNull(), last=F.col("is_last"), end=1, more=~F.col("is_last")),
+                _count(F.col("cursor"), cursor=F.col("cursor").isNotNull()),
             )
         ),
-    )
-    by_charge = links.groupBy(*run_columns, "charge").agg(
+    )
+    by_charge = ends.groupBy(*run_columns, "charge").agg(
         *[F.sum(name).alias(name) for name in LINK_COUNTS]
     )
+    named = F.col("charge").isNotNull()
     lost = F.when(F.col("end") == 0, F.col("cursor")).otherwise(0)
-    repeated = F.when(
-        F.col("charge").isNotNull() & (F.col("end") > 1), F.col("end") - 1
-    ).otherwise(0)
+    repeated = F.when(named & (F.col("end") > 1), F.col("end") - 1).otherwise(0)
+    forked = F.when(F.col("cursor") > 1, F.col("cursor") - 1).otherwise(0)
+    # A page without charges has no end that another could continue from.
+    is_open = F.when(~named | (F.col("cursor") == 0), F.col("more")).otherwise(0)
     report = by_charge.groupBy(*run_columns).agg(
         F.sum("page").alias("pages"),
         F.sum("first").alias("first_pages"),
         F.sum("last").alias("last_pages"),
         F.sum(lost).alias("broken_links"),
         F.sum(repeated).alias("repeated_pages"),
+        F.sum(forked).alias("forked_links"),
+        F.sum(is_open).alias("open_ends"),
     )
-    whole = (
+    ensure_checkpoint_dir(pages.sparkSession)
+    report = report.checkpoint()
+    straight = (
         (F.col("first_pages") == 1)
         & (F.col("last_pages") == 1)
-        & (F.col("broken_links") == 0)
-        & (F.col("repeated_pages") == 0)
+        & (F.col("broken_links") + F.col("repeated_pages") == 0)
+        & (F.col("forked_links") + F.col("open_ends") == 0)
+    )
+    looped = unreached(
+        links.where(F.col("end").isNotNull())
+        .join(report.where(straight & (F.col("pages") > 1)), run_columns, "left_semi")
+        .select(*run_columns, F.col("end").alias("node"), F.col("cursor").alias("before")),
+        run_columns,
+    )
+    loops = F.coalesce("unreached", F.lit(0).cast("bigint"))
+    return (
+        report.join(looped, run_columns, "left")
+        .withColumn("looped_pages", loops)
+        .withColumn("is_complete", straight & (loops == 0))
+        .drop("unreached")
     )
-    return report.withColumn("is_complete", whole)
 
 
-LINK_COUNTS = ("page", "first", "last", "end", "cursor")
+LINK_COUNTS = ("page", "first", "last", "end", "more", "cursor")
 
 
-def _link(charge: Column, **counts: Column | int) -> Column:
+def _count(charge: Column, **counts: Column | int) -> Column:
     given = {name: counts.get(name, 0) for name in LINK_COUNTS}
     return F.struct(
         charge.alias("charge"),

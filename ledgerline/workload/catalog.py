@@ -284,26 +284,51 @@ def chk_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHAINS = """
   (SELECT DATE '2024-01-01' + CAST(k // 16 % 182 AS INT) AS landed_date,
-     k // 16 AS chain, 'ch_' || k AS id, k % 16 = 15 AS is_last,
+     k // 16 AS chain, 'ch_' || k AS id,
+     CASE k // 16 % 7 WHEN 1 THEN k % 16 = 11 WHEN 3 THEN false ELSE k % 16 = 15 END
+       AS is_last,
      CASE WHEN flag = 'P' AND priority = '5-LOW' THEN 'ch_lost_' || k
+       WHEN k // 16 % 7 = 1 AND k % 16 = 12 THEN 'ch_' || (k + 3)
+       WHEN k // 16 % 7 = 2 AND k % 16 = 9 THEN 'ch_' || (k - 2)
        WHEN k % 16 > 0 THEN 'ch_' || (k - 1) END AS cursor_id
    FROM order_base)"""
 
 
 @query(
     f"""
-SELECT p.landed_date, p.chain, COUNT(*) AS pages,
-  COUNT(*) FILTER (WHERE p.cursor_id IS NULL) AS first_pages,
-  COUNT(*) FILTER (WHERE p.is_last) AS last_pages,
-  COUNT(*) FILTER (WHERE p.cursor_id IS NOT NULL AND e.id IS NULL) AS broken_links,
-  COUNT(*) - COUNT(DISTINCT p.id) AS repeated_pages,
-  COUNT(*) FILTER (WHERE p.cursor_id IS NULL) = 1
-    AND COUNT(*) FILTER (WHERE p.is_last) = 1
-    AND COUNT(*) FILTER (WHERE p.cursor_id IS NOT NULL AND e.id IS NULL) = 0
-    AS is_complete
-FROM {CHAINS} AS p
-LEFT JOIN {CHAINS} AS e ON p.cursor_id = e.id AND p.chain = e.chain
-GROUP BY p.landed_date, p.chain"""
+SELECT landed_date, chain, pages, first_pages, last_pages, broken_links, repeated_pages,
+  forked_links, open_ends,
+  CASE WHEN straight THEN pages - walked ELSE 0 END AS looped_pages,
+  straight AND pages = walked AS is_complete
+FROM (
+  SELECT *, first_pages = 1 AND last_pages = 1 AND broken_links = 0 AND forked_links = 0
+    AND open_ends = 0 AND repeated_pages = 0 AS straight
+  FROM (
+    SELECT p.landed_date, p.chain, COUNT(*) AS pages,
+      COUNT(*) FILTER (WHERE p.cursor_id IS NULL) AS first_pages,
+      COUNT(*) FILTER (WHERE p.is_last) AS last_pages,
+      COUNT(*) FILTER (WHERE p.cursor_id IS NOT NULL AND e.id IS NULL) AS broken_links,
+      COUNT(*) - COUNT(DISTINCT p.id) AS repeated_pages,
+      COUNT(p.cursor_id) - COUNT(DISTINCT p.cursor_id) AS forked_links,
+      COUNT(*) FILTER (WHERE NOT p.is_last AND f.cursor_id IS NULL) AS open_ends
+    FROM {CHAINS} AS p
+    LEFT JOIN {CHAINS} AS e ON p.cursor_id = e.id AND p.chain = e.chain
+    LEFT JOIN (SELECT DISTINCT chain, cursor_id FROM {CHAINS} AS g) AS f
+      ON f.cursor_id = p.id AND f.chain = p.chain
+    GROUP BY p.landed_date, p.chain) AS counted
+) AS judged
+JOIN (
+  -- Walk from every first page to whatever continues from where the walk stands.
+  SELECT chain, COUNT(DISTINCT id) AS walked
+  FROM (WITH RECURSIVE walk AS (
+          SELECT chain, id FROM {CHAINS} AS s WHERE cursor_id IS NULL
+          UNION
+          SELECT n.chain, n.id FROM walk JOIN {CHAINS} AS n
+            ON n.chain = walk.chain AND n.cursor_id = walk.id)
+        SELECT * FROM walk
+        UNION ALL SELECT DISTINCT chain, NULL FROM {CHAINS} AS every_chain) AS steps
+  GROUP BY chain
+) AS walks USING (chain)"""
 )
 def chk_stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     chains = inputs.stripe_chains(spark, sf_dir)
@@ -907,6 +932,53 @@ def ingest_google_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingested(spark, account, documents, EVENT_RANGE)
 
 
+@query(
+    """
+SELECT date, CASE WHEN account = '20' AND date >= DATE '2024-01-16' THEN clicks + 1000
+    ELSE clicks END AS clicks,
+  impressions, cost_micros, conversions, account AS customer_id, loaded_at
+FROM ads, (VALUES ('0010'), ('20')) AS accounts(account)"""
+)
+def ingest_two_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two accounts of the same days, under one run; then half the days of one again."""
+    warehouse = new_warehouse(spark, "accounts")
+    documents = inputs.google_ads_documents(spark, sf_dir)
+    for customer_id in ("0010", "20"):
+        account = loads.google_ads_account(customer_id)
+        loads.ingest(account, documents, warehouse, *EVENT_RANGE, RUN_ID, RUN_TIME)
+    again = inputs.google_ads_documents(spark, sf_dir, more_clicks=1000)
+    days = date(2024, 1, 16), EVENT_RANGE[1]
+    loads.ingest(account, again, warehouse, *days, "run-0002", RUN_TIME)
+    return warehouse.read("raw.google_ads")
+
+
+@query(
+    """
+SELECT date, clicks, impressions, cost_micros, conversions, '1234567890' AS customer_id,
+  loaded_at, place
+FROM ads, (VALUES ('lake'), ('raw')) AS places(place)"""
+)
+def ingest_failed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A retry under the same run id meets bad records: lake and table stay as they were."""
+    warehouse = new_warehouse(spark, "retry")
+    account = loads.google_ads_account("1234567890")
+    good = inputs.google_ads_documents(spark, sf_dir)
+    loads.ingest(account, good, warehouse, *EVENT_RANGE, RUN_ID, RUN_TIME)
+    bad = inputs.faulty_google_ads_documents(spark, sf_dir)
+    try:
+        loads.ingest(account, bad, warehouse, *EVENT_RANGE, RUN_ID, RUN_TIME)
+    except loads.BadRecord:
+        pass
+    lake = loads.read_lake_run(warehouse, "google_ads", RUN_ID)
+    raw = warehouse.read("raw.google_ads")
+    return stacked(
+        [
+            frame.select(*raw.columns, F.lit(place).alias("place"))
+            for frame, place in ((lake, "lake"), (raw, "raw"))
+        ]
+    )
+
+
 @query(f"SELECT {FACEBOOK_COLUMNS}, loaded_at FROM facebook")
 def ingest_facebook(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = inputs.facebook_documents(spark, sf_dir)

@@ -232,10 +232,13 @@ SPARSE_CHARGE = """to_json(named_struct(
   'receipt_email', 'r' || cust || '@example.com'))"""
 
 
-def stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stripe_pages(
+    spark: SparkSession, sf_dir: str, *more: str
+) -> DataFrame:
     """A page per order: none, one or two charges."""
     texts = spread_base(spark, sf_dir, "order_base").selectExpr(
         "paid_on AS landed_date",
+        *more,
         f"""'{{"data":[' || concat_ws(',',
               if(priority = '1-URGENT' AND flag = 'O', NULL, {CHARGE}),
               if(flag = 'F', {SPARSE_CHARGE}, NULL))
@@ -244,44 +247,97 @@ def stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_from_text(texts, schemas.STRIPE_PAGE)
 
 
+# Pages of a day that are put in order together; days themselves may be of any size.
+PAGES_IN_ORDER = 1000
+
+
 def fetched_stripe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages of a day as one fetch gives them: each names the charge it follows."""
-    pages = stripe_pages(spark, sf_dir).where(F.size("data") > 0)
-    last = F.try_element_at("data", F.lit(-1))["id"]
-    fetch = Window.partitionBy("landed_date").orderBy(last)
-    return pages.withColumns(
+    """The pages of a day as one fetch gives them: each names the charge it follows.
+
+    On even days a last page without charges says that there are no more.  Pages are put
+    in order within ranges of their keys; the ends of the ranges are linked after that.
+    """
+    bucket = f"k div {PAGES_IN_ORDER} AS page_range"
+    pages = stripe_pages(spark, sf_dir, "k AS page_key", bucket).where(F.size("data") > 0)
+    pages = pages.withColumn("own_end", F.try_element_at("data", F.lit(-1))["id"])
+    near = Window.partitionBy("landed_date", "page_range").orderBy("page_key")
+    by_range = Window.partitionBy("landed_date").orderBy("page_range")
+    edges = pages.groupBy("landed_date", "page_range").agg(
+        F.max_by("own_end", "page_key").alias("range_end")
+    )
+    edges = edges.select(
+        "landed_date",
+        "page_range",
+        F.lag("range_end").over(by_range).alias("range_before"),
+        F.lead("range_end").over(by_range).isNotNull().alias("more_ranges"),
+    )
+    goes_on = F.dayofmonth("landed_date") % 2 == 0
+    more_near = F.lead("own_end").over(near).isNotNull()
+    linked = pages.withColumns(
+        {"near_before": F.lag("own_end").over(near), "more_near": more_near}
+    ).join(edges, ["landed_date", "page_range"])
+    columns = ["landed_date", "data", "starting_after", "has_more"]
+    whole = linked.withColumns(
         {
-            "starting_after": F.lag(last).over(fetch),
-            "has_more": F.lead(last).over(fetch).isNotNull(),
+            "starting_after": F.coalesce("near_before", "range_before"),
+            "has_more": F.col("more_near") | F.col("more_ranges") | goes_on,
         }
+    ).select(*columns)
+    ends = pages.where(goes_on).groupBy("landed_date").agg(
+        F.max_by("own_end", "page_key").alias("starting_after")
     )
+    data = F.array().cast(pages.schema["data"].dataType).alias("data")
+    last = ends.select("landed_date", data, "starting_after", F.lit(False).alias("has_more"))
+    return whole.unionByName(last)
 
 
 def fetched_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages of a day as one fetch gives them: numbered, with their total."""
-    pages = paypal_pages(spark, sf_dir)
-    first = F.try_element_at("transaction_details", F.lit(1))
-    key = first["transaction_info"]["transaction_id"]
-    fetch = Window.partitionBy("landed_date")
-    return pages.withColumns(
-        {
-            "page": F.row_number().over(fetch.orderBy(key)).cast("bigint"),
-            "total_pages": F.count(F.lit(1)).over(fetch),
-        }
+    """The pages of a day as one fetch gives them: numbered, with their total.
+
+    Numbers count within ranges of keys, from the number of pages in the ranges before.
+    """
+    bucket = f"order_key div {PAGES_IN_ORDER} AS page_range"
+    pages = paypal_pages(spark, sf_dir, "k AS page_key", bucket)
+    near = Window.partitionBy("landed_date", "page_range").orderBy("page_key")
+    day = Window.partitionBy("landed_date")
+    sizes = pages.groupBy("landed_date", "page_range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select(
+        "landed_date",
+        "page_range",
+        (F.sum("n").over(day.orderBy("page_range")) - F.col("n")).alias("pages_before"),
+        F.sum("n").over(day).alias("pages_in_all"),
+    )
+    return (
+        pages.withColumn("near_number", F.row_number().over(near))
+        .join(offsets, ["landed_date", "page_range"])
+        .withColumns(
+            {
+                "page": F.col("pages_before") + F.col("near_number"),
+                "total_pages": F.col("pages_in_all"),
+            }
+        )
+        .drop("page_key", "page_range", "near_number", "pages_before", "pages_in_all")
     )
 
 
 def stripe_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen pages per chain; some cursors name a lost page."""
+    """Sixteen pages per chain; some cursors name a lost page.
+
+    Of every seven chains one is cut in two with a loop in its rest, one has a page that
+    two others continue, and one ends in a page with more to come.
+    """
     texts = spread_base(spark, sf_dir, "order_base").selectExpr(
         "DATE '2024-01-01' + CAST(k div 16 % 182 AS INT) AS landed_date",
         "k div 16 AS chain",
         """to_json(named_struct(
              'starting_after', CASE WHEN flag = 'P' AND priority = '5-LOW'
                  THEN 'ch_lost_' || k
+               WHEN k div 16 % 7 = 1 AND k % 16 = 12 THEN 'ch_' || (k + 3)
+               WHEN k div 16 % 7 = 2 AND k % 16 = 9 THEN 'ch_' || (k - 2)
                WHEN k % 16 > 0 THEN 'ch_' || (k - 1) END,
              'data', array(named_struct('id', 'ch_' || k)),
-             'has_more', k % 16 < 15)) AS document""",
+             'has_more', k % 16 < 15 AND NOT (k div 16 % 7 = 1 AND k % 16 = 11)
+               OR k div 16 % 7 = 3 OR (k div 16 % 7 = 1 AND k % 16 = 15))) AS document""",
     )
     return documents_from_text(texts, schemas.STRIPE_PAGE_LINKS)
 
@@ -309,11 +365,14 @@ INITIATED = """CAST(paid_on AS STRING) || 'T'
   || lpad(CAST(quantity % 24 AS STRING), 2, '0') || ':30:00+0000'"""
 
 
-def paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paypal_pages(
+    spark: SparkSession, sf_dir: str, *more: str
+) -> DataFrame:
     """A page per line: one transaction, or no list at all."""
     transaction = TRANSACTION.format(initiated=INITIATED)
     texts = spread_base(spark, sf_dir, "line_base").selectExpr(
         "paid_on AS landed_date",
+        *more,
         f"""to_json(named_struct(
               'page', 1,
               'total_pages', 1,
@@ -335,8 +394,11 @@ def paypal_page_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_from_text(texts, schemas.PAYPAL_PAGE_NUMBERS)
 
 
-def google_ads_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ads_documents(spark, sf_dir, "CAST(1 + user_id % 7 AS STRING)", "false")
+def google_ads_documents(
+    spark: SparkSession, sf_dir: str, more_clicks: int = 0
+) -> DataFrame:
+    clicks = f"CAST({1 + more_clicks} + user_id % 7 AS STRING)"
+    return _ads_documents(spark, sf_dir, clicks, "false")
 
 
 def faulty_google_ads_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -277,7 +277,7 @@ def test_ads_staging_rounds_cost_and_guards_division(spark):
 
 def test_program_staging_reads_flags_strictly(spark):
     def staged(flag):
-        row = ("p", "n", "c", "4", "9", flag, None, JAN)
+        row = ("p", "n", "c", "4", "9", flag, None, None, JAN)
         frame = spark.createDataFrame([row], RAW["google_sheets_programs"])
         return staging.sheet_programs(frame)
 

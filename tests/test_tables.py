@@ -11,15 +11,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import new_york_day, whole_months
+from ledgerline.operators import attempts, files, snapshots
 from ledgerline.operators.partitions import (
     Written,
     list_days,
-    swap_range,
     write_days,
 )
 from ledgerline.operators.quality import AuditError, assert_no_nulls, repeated_keys
 from ledgerline.operators.run_days import calendar_days, missing_days
 from ledgerline.plans import ingest as loads
+from ledgerline.plans import runner
 from ledgerline.plans.models import MODELS, model
 from ledgerline.plans.runner import run_all_models, run_model
 from ledgerline.plans.warehouse import latest_per_snapshot
@@ -250,6 +251,98 @@ def test_bad_record_can_fail_its_day_only(warehouse, tmp_path):
     assert sorted(r[0] for r in gaps.collect()) == [D16, D17]
 
 
+def ads_row(day, clicks):
+    metrics = {"clicks": clicks, "impressions": "100", "costMicros": "6500000", "conversions": "2.0"}
+    return {"segments": {"date": day.isoformat()}, "metrics": metrics}
+
+
+def test_accounts_of_a_day_stand_side_by_side(warehouse, tmp_path):
+    for name, clicks in (("a", "1"), ("b", "2"), ("c", "9")):
+        land(tmp_path / name, D15, ads_row(D15, clicks))
+        land(tmp_path / name, D16, ads_row(D16, clicks))
+    one, other = loads.google_ads_account("0012"), loads.google_ads_account("34")
+    run(one, tmp_path / "a", warehouse, D15, D16)
+    run(other, tmp_path / "b", warehouse, D15, D16)  # under the same run id
+    run(one, tmp_path / "c", warehouse, D16, D16, "r2")
+    rows = warehouse.read("raw.google_ads").collect()
+    assert {(r.date, r.customer_id, r.clicks) for r in rows} == {
+        (D15, "0012", 1), (D15, "34", 2), (D16, "0012", 9), (D16, "34", 2),
+    }
+    lake = loads.read_lake_run(warehouse, "google_ads", "r1").collect()
+    assert {(r.date, r.customer_id) for r in lake} == {(d, c) for d in (D15, D16) for c in ("0012", "34")}
+    run_model(warehouse, model("staging.google_ads_performance"), D15, D16)
+    assert warehouse.read("staging.google_ads_performance").count() == 4
+
+
+def test_a_failed_retry_leaves_what_the_run_had_kept(warehouse, tmp_path):
+    land(tmp_path / "a", D15, insight(D15), insight(D15, "6"))
+    land(tmp_path / "a", D16, insight(D16))
+    run(loads.FACEBOOK_ADS, tmp_path / "a", warehouse, D15, D16)
+    land(tmp_path / "b", D15, insight(D15, "7"))
+    land(tmp_path / "b", D16, insight(D16, "8"), insight(D16, "many"))
+    with pytest.raises(loads.BadRecord, match="clicks in .*many"):
+        run(loads.FACEBOOK_ADS, tmp_path / "b", warehouse, D15, D16)
+
+    def kept():
+        lake = loads.read_lake_run(warehouse, "facebook_ads", "r1")
+        raw = warehouse.read("raw.facebook_ads")
+        return [sorted((r.date, r.clicks) for r in frame.collect()) for frame in (lake, raw)]
+
+    before = [(D15, 5), (D15, 6), (D16, 5)]
+    assert kept() == [before, before]
+    # The day without bad records goes on; the other one keeps its earlier rows.
+    run(loads.FACEBOOK_ADS, tmp_path / "b", warehouse, D15, D16, on_bad_record=loads.FAIL_DAY)
+    after = [(D15, 7), (D16, 5)]
+    assert kept() == [after, after]
+    days = loads.read_lake_run(warehouse, "facebook_ads", "r1", D16, D16)
+    assert [(r.date, r.clicks) for r in days.collect()] == [(D16, 5)]
+
+
+def test_a_run_that_dies_before_its_commit_changes_nothing(warehouse, tmp_path, monkeypatch):
+    land(tmp_path / "a", D15, insight(D15))
+    run(loads.FACEBOOK_ADS, tmp_path / "a", warehouse, D15, D15)
+    land(tmp_path / "b", D15, insight(D15, "7"))
+    with monkeypatch.context() as patch:
+        patch.setattr(attempts, "commit", lambda *args: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            run(loads.FACEBOOK_ADS, tmp_path / "b", warehouse, D15, D15)
+    for frame in (loads.read_lake_run(warehouse, "facebook_ads", "r1"), warehouse.read("raw.facebook_ads")):
+        assert [r.clicks for r in frame.collect()] == [5]
+    assert warehouse.run_log().count() == 1
+
+
+def json_scans(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    found = store.executionsList()
+    return sum("Scan json" in found.apply(n).physicalPlanDescription() for n in range(found.size()))
+
+
+@pytest.mark.parametrize("policy", [loads.FAIL_RUN, loads.FAIL_DAY])
+def test_documents_are_read_once(warehouse, tmp_path, policy):
+    land(tmp_path, D15, page(charge("ch_1", D15), charge("ch_2", D15), more=True))
+    land(tmp_path, D15, page(after="ch_2"))
+    land(tmp_path, D16, page(charge("ch_3", D16), *([charge(None, D16)] if policy == loads.FAIL_DAY else [])))
+    before = json_scans(warehouse.spark)
+    log = run(loads.STRIPE, tmp_path, warehouse, D15, D17, on_bad_record=policy)
+    assert json_scans(warehouse.spark) == before + 1
+    assert [log[d].rows_loaded for d in (D15, D16, D17)] == [2, policy == loads.FAIL_RUN, 0]
+    if policy == loads.FAIL_DAY:
+        assert log[D16].status == "failed"
+        (attempt,) = attempts.committed(warehouse.spark, warehouse.lake_path("stripe_charges"), "r1")
+        refused = loads.read_rejects(warehouse, "stripe_charges", "r1", attempt.name).collect()
+        assert [(r.partition_date, r.parse_error) for r in refused] == [(D16, "charge_id")]
+        assert '"amount":"1000"' in refused[0].record and "page_link" not in refused[0].record
+
+
+def test_days_seen_over_more_days_than_bits(spark):
+    start, end = date(2024, 1, 1), date(2024, 12, 31)
+    days = [date(2024, 1, 1), date(2024, 2, 29), date(2024, 3, 1), date(2024, 12, 31)]
+    seen = loads.DaysSeen(start, end)
+    frame = spark.createDataFrame([(d,) for d in days * 3], "landed_date date")
+    seen.watch(frame).write.format("noop").mode("overwrite").save()
+    assert seen.days() == days
+
+
 def test_sheet_snapshots(warehouse, tmp_path):
     def sheet(*rows):
         header = ["program_id", "program_name", "program_code", "duration_weeks"]
@@ -296,13 +389,97 @@ def test_rebuild_clears_days_that_became_empty(warehouse):
         fb_raw(spark, (D15, "a", 1), (D16, "b", 2), (D17, "c", 3)), warehouse, "facebook_ads"
     )
     assert run_model(warehouse, performance, D15, D17) == 3
+    files.delete(spark, f"{warehouse.path('raw.facebook_ads')}/date={D16}")
+    assert run_model(warehouse, performance, D15, D16) == 1
+    path = warehouse.path(performance.name)
+    assert snapshots.current(spark, path).days() == [D15, D17]
+    assert {r.campaign_id for r in warehouse.read(performance.name).collect()} == {"a", "c"}
+    found = warehouse.read_range(performance.name, "date", D17, D17)
+    assert [r.campaign_id for r in found.collect()] == ["c"]
+    assert all("date=2024-01-15" not in name for name in found.inputFiles())
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["staging.facebook_ads_performance", "staging.sheet_programs"])
+@pytest.mark.parametrize("step", ["rows", "count", "draft", "rename", "sweep"])
+def test_a_killed_rebuild_leaves_the_old_or_the_new_table(warehouse, monkeypatch, name, step):
+    spark, built = warehouse.spark, model(name)
+    table, day = ("facebook_ads", "date") if "facebook" in name else ("google_sheets_programs", "partition_date")
+    row = one_raw_row(spark, table)
+    if table == "facebook_ads":
+        # The rebuild empties one day and fills another.
+        old = row.unionByName(row.withColumn("date", F.lit(D16)))
+        new = row.withColumn("campaign_id", F.lit("new"))
+    else:
+        old, new = row, row.withColumn("program_name", F.lit("new"))
+    loads.load_partitions(old, warehouse, table, day)
+    run_model(warehouse, built, D15, D17)
+    before = sorted(map(str, warehouse.read(name).collect()))
+    files.delete(spark, warehouse.path(f"raw.{table}"))
+    loads.load_partitions(new, warehouse, table, day)
+
+    def die(*args, **kwargs):
+        raise Killed
+
+    def die_after_the_draft(spark, path, text):
+        files.ensure_folder(spark, path.rsplit("/", 1)[0])
+        files.create_text(spark, f"{path}.x.draft", text)
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        if step == "rows":
+            patch.setattr(runner, "write_days" if table == "facebook_ads" else "written", die)
+        elif step == "count":
+            patch.setattr(snapshots, "with_range", die)
+            patch.setattr(snapshots, "publish", die)
+        elif step == "draft":
+            patch.setattr(snapshots, "publish", lambda spark, path, *rest: die_after_the_draft(spark, f"{path}/_manifest/00000002.json", "{"))
+        elif step == "rename":
+            patch.setattr(snapshots.files, "create_text", lambda *args: die())
+        else:
+            patch.setattr(snapshots, "sweep", die)
+        with pytest.raises(Killed):
+            run_model(warehouse, built, D15, D17)
+    after = sorted(map(str, warehouse.read(name).collect()))
+    if step == "sweep":
+        assert len(after) == 1 and "new" in after[0]
+    else:
+        assert after == before
+    # The next run goes on from there, and what was left behind goes.
+    assert run_model(warehouse, built, D15, D17) == 1
+    (final,) = map(str, warehouse.read(name).collect())
+    assert "new" in final
+    left = [n for n in files.names(spark, warehouse.path(name)) if n.startswith("build=")]
+    assert len(left) <= 2
+
+
+def test_a_reader_of_the_table_before_still_finds_its_files(warehouse):
+    performance = model("staging.facebook_ads_performance")
+    for n in range(4):
+        loads.load_partitions(fb_raw(warehouse.spark, (D15, f"c{n}", n)), warehouse, "facebook_ads")
+        if n:
+            reading = warehouse.read(performance.name)
+        run_model(warehouse, performance, D15, D15)
+        if n:
+            assert [r.campaign_id for r in reading.collect()] == [f"c{n - 1}"]
     path = warehouse.path(performance.name)
-    kept = warehouse.read(performance.name).where(F.col("date") != F.lit(D16))
-    frame = spark.createDataFrame(kept.collect(), kept.schema)
-    made = f"{warehouse.root}/made"
-    write_days(frame.where(F.col("date") < F.lit(D17)), made, ["date"])
-    swap_range(spark, made, path, "date", D15, D16)
-    assert list_days(spark, path, "date") == [D15, D17]
+    builds = [name for name in files.names(warehouse.spark, path) if name.startswith("build=")]
+    assert len(builds) == 2
+
+
+def test_a_table_published_by_another_job_meanwhile(warehouse):
+    spark, path = warehouse.spark, f"{warehouse.root}/t"
+    schema = RAW["facebook_ads"]
+    before = snapshots.current(spark, path)
+    snapshots.publish(spark, path, before, {}, schema, "date")
+    with pytest.raises(snapshots.Overtaken):
+        snapshots.publish(spark, path, before, {}, schema, "date")
+    assert snapshots.read(spark, path).count() == 0
+    with pytest.raises(FileNotFoundError):
+        snapshots.read(spark, f"{path}/never")
 
 
 def test_range_read_lists_only_its_days(warehouse):
