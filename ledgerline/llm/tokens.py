@@ -17,7 +17,7 @@ import regex
 
 from ledgerline.llm.common import kept_in_worker
 
-# Pieces kept per worker, about 60 MB; the table starts anew when it is full.
+# Pieces kept per worker in each of two tables, some 60 MB each.
 MOST_PIECES = 300_000
 
 # The published split of byte-level vocabularies.
@@ -41,6 +41,30 @@ def _byte_letters() -> list[str]:
     return [letters[byte] for byte in range(256)]
 
 
+class _Odd(Exception):
+    """A piece that is not parted from its neighbours by single spaces."""
+
+
+class _Kept(dict):
+    """What ``make`` gives for each key: the last ``MOST_PIECES`` keys that were new, and
+    those before them that have been asked for since."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.before.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(self) >= MOST_PIECES:
+            self.before = dict(self)
+            self.clear()
+        self[key] = made
+        return made
+
+
 class Encoder:
     """Ids of texts as packed little-endian unsigned integers of ``width`` bytes."""
 
@@ -50,7 +74,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = 1 + max(self.tokenizer.get_vocab().values(), default=-1)
+        self.width = 2 if size <= 1 << 16 else 4
         shape = json.loads(self.tokenizer.to_str())
         before = shape["pre_tokenizer"] or {}
         self.plain = (
@@ -63,29 +88,30 @@ class Encoder:
         self.added = [token["content"] for token in shape["added_tokens"]]
         self.split = regex.compile(SPLIT)
         self.letters = {n: letter for n, letter in enumerate(_byte_letters())}
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _packed(self, ids) -> bytes:
-        return b"".join(i.to_bytes(self.width, "little") for i in ids)
+        self.model = self.tokenizer.model
+        self.packed = [n.to_bytes(self.width, "little") for n in range(size)]
+        self.ends = {end: self._word(end) for end in PLAIN_ENDS} if self.plain else {}
+        self.pieces = _Kept(self._piece)
 
     def _word(self, word: str) -> bytes:
         """Ids of what the split leaves whole."""
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= MOST_PIECES:
-                self.words.clear()
-            spelled = word.encode().decode("latin-1").translate(self.letters)
-            found = self._packed(t.id for t in self.tokenizer.model.tokenize(spelled))
-            self.words[word] = found
-        return found
-
-    def _piece(self, piece: str, lead: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        packed = self.packed
+        return b"".join([packed[token.id] for token in self.model.tokenize(spelled)])
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece and the space before it."""
         if piece.isalpha():
-            return self._word(lead + piece)
-        if piece[:-1].isalpha() and piece[-1] in PLAIN_ENDS:
-            return self._word(lead + piece[:-1]) + self._word(piece[-1])
-        return b"".join(map(self._word, self.split.findall(lead + piece)))
+            return self._word(" " + piece)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Odd
+        end = self.ends.get(piece[-1])
+        if end is not None and piece[:-1].isalpha():
+            return self.pieces[piece[:-1]] + end
+        return self._split(" " + piece)
+
+    def _split(self, text: str) -> bytes:
+        return b"".join([self._word(word) for word in self.split.findall(text)])
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -99,19 +125,10 @@ class Encoder:
         first, *rest = text.split(" ")
         if not first or first[-1].isspace():
             return self._whole(text)
-        pieces = self.pieces
         try:
-            return self._piece(first, "") + b"".join([pieces[p] for p in rest])
-        except KeyError:
-            pass
-        if len(pieces) >= MOST_PIECES:
-            pieces.clear()
-        for piece in rest:
-            if piece not in pieces:
-                if not piece or piece[0].isspace() or piece[-1].isspace():
-                    return self._whole(text)
-                pieces[piece] = self._piece(piece, " ")
-        return self._piece(first, "") + b"".join([pieces[p] for p in rest])
+            return self._split(first) + b"".join(map(self.pieces.__getitem__, rest))
+        except _Odd:
+            return self._whole(text)
 
 
 def encoder(path: str) -> Encoder:
