@@ -93,11 +93,12 @@ def sweep(spark: SparkSession, path: str) -> list[str]:
     for number in numbers[:-KEPT]:
         files.delete(spark, _file(path, number))
     gone = []
-    for name in files.names(spark, path):
-        if name.startswith("build=") and name[6:] not in named:
-            files.delete(spark, f"{path}/{name}")
-            gone.append(name[6:])
-    return gone
+    for home in (path, f"{path}/_states", f"{path}/_keys"):
+        for name in files.names(spark, home):
+            if name.startswith("build=") and name[6:] not in named:
+                files.delete(spark, f"{home}/{name}")
+                gone.append(name[6:])
+    return sorted(set(gone))
 
 
 def read(

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline.functions.calc import whole_months
-from ledgerline.operators import files, snapshots
+from ledgerline.operators import files, snapshots, states
 from ledgerline.operators.partitions import (
     count_on_write,
     list_days,
@@ -33,13 +37,16 @@ def kept_by(name: str) -> str:
     return RAW_DAYS.get(name) or model_named(name).time_column
 
 
-def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int:
+def run_model(
+    warehouse: Warehouse, model: Model, start: date, end: date, sweep: bool = True
+) -> int:
     """Build one model for a day range; rows written.
 
     A by-month model is widened to whole months, since its days only make sense
     together.  Days of the range that have no rows any more are removed.  Rows are
     written as a build beside those of the table, counted by the null-key audit on the
-    way, and become the table's in one step, only if they pass it.
+    way, and become the table's in one step, only if they pass it.  Counts of its days
+    are kept with the build, for the grain report and for telling which days changed.
     """
     if model.kind == BY_MONTH:
         start, end = whole_months(start, end)
@@ -75,11 +82,25 @@ def run_model(warehouse: Warehouse, model: Model, start: date, end: date) -> int
     else:
         days = list_days(spark, made, model.time_column)
         builds = snapshots.with_range(before, build, days, start, end)
+    rows = spark.read.schema(frame.schema).parquet(made)
+    states.keep(rows, path, build, model.time_column, model.grain)
     snapshots.publish(spark, path, before, builds, frame.schema, model.time_column)
-    snapshots.sweep(spark, path)
+    if sweep:
+        snapshots.sweep(spark, path)
     return counts.rows
 
 
+def grain_report(warehouse: Warehouse) -> DataFrame:
+    """One row per model of how its grain keys repeat, from the counts kept with its builds."""
+    spark, found = warehouse.spark, []
+    for m in MODELS:
+        path = warehouse.path(m.name)
+        counts = states.grain_of(spark, path, snapshots.current(spark, path))
+        named = F.lit(m.name).alias("model"), F.lit(", ".join(m.grain)).alias("grain")
+        found.append(counts.select(*named, "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def run_all_models(warehouse: Warehouse, start: date, end: date) -> dict[str, int]:
     """Every model in registry order, which puts staging before marts."""
     return {m.name: run_model(warehouse, m, start, end) for m in MODELS}

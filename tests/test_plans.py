@@ -24,7 +24,9 @@ WRITERS = {
     "load_clustered",
     "incr_rebuild",
     "run_all_models",
-} | {name for name in QUERIES if name.startswith("ingest_")}
+    "incr_changed_days",
+    "grain_from_states",
+} | {name for name in QUERIES if name.startswith(("ingest_", "built_"))}
 
 
 def plan(frame) -> str:
