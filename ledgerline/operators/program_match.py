@@ -9,12 +9,15 @@ Every name is filed under one short piece of its literal text.  A subject that c
 a name contains that name's piece, so only programs filed under a piece of the subject
 are compared with it.  Up to a measured number of programs the filing is a constant of
 the plan and subjects are matched within their own rows; beyond it the pieces are an
-equi join.  Both ways give the same rows.
+equi join, of only those pieces of a subject that a bitmap of the filed ones has.  Names
+without any literal text, which every long enough subject matches, are joined by length.
+All ways give the same rows.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +27,8 @@ from ledgerline.session import ensure_checkpoint_dir
 
 UNKNOWN = "unknown"
 PIECE_LENGTH = 3
+# Bits of the map of filed pieces, 128 KB: some 50,000 three-letter pieces fill a twentieth.
+MAP_BITS = 1 << 20
 # A piece that many subjects share is spread over this many join keys.
 SALTS = 16
 WILDCARDS = r"[%_\\]"
@@ -87,7 +92,8 @@ def _match_in_row(payments: DataFrame, programs: DataFrame) -> DataFrame:
     )
     by_piece = F.from_json(F.lit(json.dumps(filed)), kind)
     pieces = F.from_json(F.lit(json.dumps(sorted(filed))), "array<string>")
-    hits = F.array_intersect(_subject_pieces(F.col("subject_text")), pieces)
+    lengths = sorted({len(piece) for piece in filed})
+    hits = F.array_intersect(_subject_pieces(F.col("subject_text"), lengths), pieces)
     near = F.flatten(F.transform(hits, lambda piece: F.element_at(by_piece, piece)))
     found = F.filter(near, lambda p: _contains(p["needle"], p["has_wildcard"]))
     hit = F.col("hit")
@@ -113,23 +119,67 @@ def _match_by_piece(payments: DataFrame, programs: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("subject_text", F.lower("transaction_subject"))
     )
-    filed = _file_by_piece(_patterns(programs))
+    # One row per distinct name and program; read for the map, the lengths and the join.
+    filed = _file_by_piece(_patterns(programs)).checkpoint()
+    literal, bare = filed.where("piece <> ''"), filed.where("piece = ''")
+    filed_pieces = _map_of_pieces(literal)
+    near = F.filter(
+        _subject_pieces(F.col("subject_text"), range(1, PIECE_LENGTH + 1)),
+        lambda piece: _in_map(piece, filed_pieces),
+    )
     looked_up = subjects.select(
         "*",
         F.pmod(F.xxhash64("subject_text"), F.lit(SALTS)).alias("salt"),
-        F.explode(_subject_pieces(F.col("subject_text"))).alias("piece"),
+        F.explode(near).alias("piece"),
     )
-    spread = filed.withColumn(
+    spread = literal.withColumn(
         "salt", F.explode(F.array([F.lit(n).cast("bigint") for n in range(SALTS)]))
     )
-    pairs = (
-        looked_up.join(spread, ["piece", "salt"])
-        .where(_contains(F.col("needle"), F.col("has_wildcard")))
-        .select("transaction_subject", "program_id", "program_name")
+    pairs = looked_up.join(spread, ["piece", "salt"])
+    # As many rows as the longest name has letters.
+    least = F.char_length(F.replace("needle", F.lit("%")))
+    sizes = sorted(r[0] for r in bare.select(least).distinct().collect())
+    if sizes:
+        fitting = F.filter(
+            F.from_json(F.lit(json.dumps(sizes)), "array<int>"),
+            lambda size: size <= F.char_length("subject_text"),
+        )
+        by_size = subjects.select("*", F.explode(fitting).alias("size")).join(
+            bare.withColumn("size", least), "size"
+        )
+        columns = ["transaction_subject", "subject_text", *filed.columns]
+        pairs = pairs.select(*columns).unionByName(by_size.select(*columns))
+    pairs = pairs.where(_contains(F.col("needle"), F.col("has_wildcard"))).select(
+        "transaction_subject", "program_id", "program_name"
     )
     return payments.join(pairs, "transaction_subject", "left")
 
 
+def _bit(piece: Column) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(MAP_BITS))
+
+
+def _map_of_pieces(filed: DataFrame) -> Column:
+    """Bits of the filed pieces, as an array of whole numbers that is part of the plan.
+
+    Built where the pieces are; ``MAP_BITS / 64`` numbers come to the driver.
+    """
+    bit = filed.select(_bit(F.col("piece")).alias("bit")).distinct()
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bit") % 64).cast("int"))
+    numbers = bit.groupBy(F.floor(F.col("bit") / 64).alias("at")).agg(F.bit_or(one).alias("n"))
+    found = [0] * (MAP_BITS // 64)
+    for row in numbers.collect():
+        found[row["at"]] = row["n"]
+    return F.from_json(F.lit(json.dumps(found)), "array<bigint>")
+
+
+def _in_map(piece: Column, filed_pieces: Column) -> Column:
+    """Whether a piece's bit is set: always for a filed one, seldom for another."""
+    bit = _bit(piece)
+    number = F.get(filed_pieces, F.floor(bit / 64).cast("int"))
+    return F.getbit(number, (bit % 64).cast("int")) == 1
+
+
 def _pieces(text: Column, length: int) -> Column:
     """All substrings of one length; none where the text is shorter."""
     starts = F.sequence(F.lit(1), F.char_length(text) - (length - 1))
@@ -139,10 +189,10 @@ def _pieces(text: Column, length: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _subject_pieces(text: Column) -> Column:
-    """Pieces of every length from 0 to ``PIECE_LENGTH``."""
-    by_length = [_pieces(text, n) for n in range(1, PIECE_LENGTH + 1)]
-    return F.array_distinct(F.concat(F.array(F.lit("")), *by_length))
+def _subject_pieces(text: Column, lengths: Iterable[int]) -> Column:
+    """Pieces of the given lengths."""
+    by_length = [_pieces(text, n) if n else F.array(F.lit("")) for n in lengths]
+    return F.array_distinct(F.concat(*by_length)) if by_length else F.array().cast("array<string>")
 
 
 def _file_by_piece(programs: DataFrame) -> DataFrame:

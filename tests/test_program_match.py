@@ -7,8 +7,16 @@ import re
 from collections import Counter
 
 import pytest
-
-from ledgerline.operators.program_match import match_programs
+from pyspark.sql import functions as F
+
+from ledgerline.operators.program_match import (
+    _file_by_piece,
+    _in_map,
+    _map_of_pieces,
+    _patterns,
+    _subject_pieces,
+    match_programs,
+)
 from ledgerline.operators.sizing import SizeLimit, fits
 
 PAYMENTS = "month int, transaction_subject string"
@@ -108,3 +116,35 @@ def test_size_limit_counts_rows_and_text(spark):
     assert not fits(frame, names, SizeLimit(1, 4))
     assert not fits(frame, names, SizeLimit(2, 3))
     assert fits(frame.where("false"), names, SizeLimit(0, 0))
+
+
+def test_the_map_holds_filed_pieces_and_few_others(spark):
+    names = [(f"p{n}", f"name {n:04d} {chr(97 + n % 26)}") for n in range(2000)]
+    filed = _file_by_piece(_patterns(spark.createDataFrame(names, PROGRAMS)))
+    bits = _map_of_pieces(filed)
+    assert filed.where(~_in_map(F.col("piece"), bits)).count() == 0
+    others = spark.range(20_000).select(F.hex(F.xxhash64("id")).substr(1, 3).alias("piece"))
+    known = filed.select("piece").distinct()
+    met = others.join(known, "piece", "left_anti").where(_in_map(F.col("piece"), bits))
+    assert met.count() < 200
+
+
+def test_only_filed_lengths_are_cut_from_subjects(spark):
+    text = spark.createDataFrame([("abcab",)], "t string")
+    cut = lambda lengths: text.select(_subject_pieces(F.col("t"), lengths)).head()[0]
+    assert cut([3]) == ["abc", "bca", "cab"]
+    assert cut([0, 2]) == ["", "ab", "bc", "ca"] and cut([]) == []
+
+
+def test_bare_names_beside_others(spark):
+    payments = [(n, "é" * n) for n in range(6)] + [(9, "\\ab")]
+    names = ["%", "__", "_%_", "\\", "\\_", "_____", "éé", "%é%", None, "______"]
+    programs = [(f"p{n}", name) for n, name in enumerate(names)]
+    expected = Counter(brute_force(payments, programs))
+    for limit in (SizeLimit(10_000, 1 << 20), SizeLimit(0, 0)):
+        found = match_programs(
+            spark.createDataFrame(payments, PAYMENTS),
+            spark.createDataFrame(programs, PROGRAMS),
+            limit,
+        )
+        assert Counter(map(tuple, found.collect())) == expected
