@@ -15,9 +15,10 @@ def unreached(links: DataFrame, keys: list[str]) -> DataFrame:
     ``before``, the node it follows (null for the first).  Nodes of a list differ and each
     is followed once at most, so a list is a chain and, perhaps, loops.
 
-    Pointer doubling: a step lets every node point to what its pointer points to, and
-    drops nodes that have come to the start, so after ``k`` steps only nodes ``2 ** k`` places
-    or more behind it are left, and those on loops for ever.  Lists without nodes left are
+    Pointer doubling, twice a step: every node comes to point to what its pointer's
+    pointer's pointer points to, and nodes that have come to the start are dropped, so after
+    ``k`` steps only nodes ``4 ** k`` places or more behind it are left, and those on loops
+    for ever.  Lists without nodes left are
     not returned.
     """
     ensure_checkpoint_dir(links.sparkSession)
@@ -30,12 +31,12 @@ def unreached(links: DataFrame, keys: list[str]) -> DataFrame:
         step = left.select(
             *keys, F.col("node").alias("before"), F.col("before").alias("further")
         )
-        left = (
-            left.join(step, [*keys, "before"])
-            .select(*keys, "node", F.col("further").alias("before"))
-            .checkpoint()
-        )
-        reach *= 2
+        for _ in range(3):
+            left = left.join(step, [*keys, "before"]).select(
+                *keys, "node", F.col("further").alias("before")
+            )
+        left = left.checkpoint()
+        reach *= 4
         there = not left.isEmpty()
     return left.groupBy(*keys).agg(F.count(F.lit(1)).alias("unreached"))
 

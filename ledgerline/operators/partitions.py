@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.operators import files
+from ledgerline.operators.curve import clustered_by
 
 
 @dataclass(frozen=True)
@@ -39,13 +40,15 @@ def write_days(
     full files; a partition that is too big for one task is split by AQE.  Leave
     it off where the input is already laid out by the same days.
     ``cluster_columns`` sort rows within files, so that Parquet statistics can
-    skip row groups.
+    skip row groups: one column by its values, several along a curve that keeps rows
+    close in all of them.
     """
     laid_out = frame
     if rebalance:
         laid_out = laid_out.hint("rebalance", *map(F.col, partition_columns))
     if cluster_columns:
-        laid_out = laid_out.sortWithinPartitions(*partition_columns, *cluster_columns)
+        order = clustered_by(frame, cluster_columns)
+        laid_out = laid_out.sortWithinPartitions(*partition_columns, *order)
     counted, observation = count_on_write(laid_out, key_column)
     (
         counted.write.mode("overwrite")

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.operators import attempts, files
+from ledgerline.functions.calc import month_start, whole_months
+from ledgerline.operators import attempts, files, snapshots
 from ledgerline.operators.partitions import list_days, write_days
 from ledgerline.operators.run_days import calendar_days
 from ledgerline.plans.warehouse import SNAPSHOT_DATE, Warehouse
@@ -232,13 +233,29 @@ def load_partitions(
     ``records`` has is replaced, and other accounts of the day stay.
     """
     by = [partition_column] if isinstance(partition_column, str) else partition_column
-    return write_days(
+    rows = write_days(
         records,
         warehouse.path(f"raw.{table}"),
         by,
         cluster_columns,
         rebalance,
     ).rows
+    if table == "google_sheets_inventory" and rows:
+        _keep_landings(records, warehouse, table)
+    return rows
+
+
+def _keep_landings(records: DataFrame, warehouse: Warehouse, table: str) -> None:
+    """Keep which snapshot dates the loaded landings hold, in place of what they held."""
+    spark, path = warehouse.spark, warehouse.landings_path(table)
+    before = snapshots.current(spark, path)
+    build, made = snapshots.new_build(path)
+    held = records.select("snapshot_date", F.col(SNAPSHOT_DATE).cast("date")).distinct()
+    write_days(held, made, [SNAPSHOT_DATE])
+    days = list_days(spark, made, SNAPSHOT_DATE)
+    builds = before.builds | {str(day): build for day in days}
+    snapshots.publish(spark, path, before, builds, held.schema, SNAPSHOT_DATE)
+    snapshots.sweep(spark, path)
 
 
 def ingest(
@@ -441,10 +458,38 @@ def log_run(
         ),
         run_time,
     ).withColumnRenamed("loaded_at", "logged_at")
-    log.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/run_log")
-    return warehouse.run_log().where(
-        (F.col("run_id") == run_id) & (F.col("source") == source.table)
-    )
+    _replace_log_rows(warehouse, source.table, log, start, end)
+    return warehouse.run_log(source.table).where(F.col("run_id") == run_id)
+
+
+def _replace_log_rows(
+    warehouse: Warehouse, table: str, log: DataFrame, start: date, end: date
+) -> None:
+    """Put a run's rows into the log in place of any it has for the same days.
+
+    The log of a source is kept by month, each in one file; the months of the run are
+    written anew and published in one step, so rows are neither lost nor doubled, and the
+    log has as many files as months.
+    """
+    spark, path = warehouse.spark, warehouse.log_path(table)
+    first, last = whole_months(start, end)
+    while True:
+        before = snapshots.current(spark, path)
+        old = snapshots.read(spark, path, RUN_LOG, first, last)
+        kept = old.join(F.broadcast(log), ["run_id", "partition_date"], "left_anti")
+        rows = kept.unionByName(log).withColumn("month", month_start(F.col("partition_date")))
+        build, made = snapshots.new_build(path)
+        rows.repartition("month").write.partitionBy("month").parquet(made)
+        months = list_days(spark, made, "month")
+        builds = snapshots.with_range(before, build, months, first, last)
+        try:
+            snapshots.publish(spark, path, before, builds, rows.schema, "month")
+        except snapshots.Overtaken:
+            # Another run of this source has been logged meanwhile: begin from there.
+            files.delete(spark, made)
+            continue
+        snapshots.sweep(spark, path)
+        return
 
 
 def _require_whole(report: DataFrame, table: str) -> None:

@@ -237,6 +237,9 @@ RUN_LOG = struct(
     logged_at=TS,
 )
 
+# Which snapshot dates each landing of the inventory sheet holds.
+LANDINGS = struct(snapshot_date=S, partition_date=D)
+
 # -- staging tables ----------------------------------------------------------
 
 STAGING = {

@@ -57,7 +57,9 @@ def test_loads_since_a_moment(warehouse):
         for s, d, r, x, t in rows
     ]
     frame = spark.createDataFrame(values, RUN_LOG)
-    frame.write.parquet(f"{warehouse.root}/run_log")
+    for source in ("stripe_charges", "google_ads"):
+        rows = frame.where(F.col("source") == source)
+        loads._replace_log_rows(warehouse, source, rows, D1, D3)
     found = changes.loaded_since(warehouse, noon)
     assert found == {"raw.stripe_charges": {D2}, "raw.google_ads": {D3}}
 

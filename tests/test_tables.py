@@ -23,7 +23,6 @@ from ledgerline.plans import ingest as loads
 from ledgerline.plans import runner
 from ledgerline.plans.models import MODELS, model
 from ledgerline.plans.runner import run_all_models, run_model
-from ledgerline.plans.warehouse import latest_per_snapshot
 from ledgerline.schemas import RAW
 from ledgerline.session import sized_for
 from ledgerline.sources.landed import read_documents
@@ -366,12 +365,103 @@ def test_sheet_snapshots(warehouse, tmp_path):
     }
 
 
-def test_inventory_takes_the_last_landing_of_each_snapshot(spark):
+def inventory_rows(spark, *rows):
+    names = RAW["google_sheets_inventory"].fieldNames()
+    values = [
+        tuple({"sku_id": sku, "snapshot_date": day, "partition_date": landed}.get(n) for n in names)
+        for sku, day, landed in rows
+    ]
+    return spark.createDataFrame(values, RAW["google_sheets_inventory"])
+
+
+def test_inventory_takes_the_last_landing_of_each_snapshot(warehouse):
     rows = [("a", "2024-01-15", D15), ("b", "2024-01-15", D16), ("c", "2024-01-16", D16)]
-    frame = spark.createDataFrame(
-        rows, "sku_id string, snapshot_date string, partition_date date"
+    # A plan for the 20th that was landed before that day, and a text that is no date.
+    rows += [("d", "2024-01-20", D15), ("e", "soon", D15), ("f", None, D15)]
+    frame = inventory_rows(warehouse.spark, *rows)
+    loads.load_partitions(frame, warehouse, "google_sheets_inventory", "partition_date")
+
+    def found(*days):
+        read = warehouse.read_whole("raw.google_sheets_inventory", *days)
+        return {r.sku_id for r in read.collect()}, read.inputFiles()
+
+    assert {r.sku_id for r in warehouse.read("raw.google_sheets_inventory").collect()} == {*"bcdef"}
+    late = date(2024, 1, 20)
+    skus, read = found(late, late)
+    # What can't be read as a date is for the model to refuse.
+    assert skus == {*"def"} and all("partition_date=2024-01-15" in name for name in read)
+    assert found(D16, D16)[0] == {*"cef"}
+    # The landing of the 16th comes again without the 15th, which is back to the one before.
+    again = inventory_rows(warehouse.spark, ("g", "2024-01-16", D16))
+    loads.load_partitions(again, warehouse, "google_sheets_inventory", "partition_date")
+    assert {r.sku_id for r in warehouse.read("raw.google_sheets_inventory").collect()} == {*"adefg"}
+    assert found(date(2025, 1, 1), date(2025, 1, 1))[0] == {*"ef"}
+
+
+def test_the_log_has_one_row_per_run_and_day_and_one_file_per_month(warehouse, tmp_path):
+    spark, end = warehouse.spark, date(2024, 2, 2)
+    land(tmp_path, D15, insight(D15))
+    for n in range(3):
+        run(loads.FACEBOOK_ADS, tmp_path, warehouse, D15, end, "r1")
+        run(loads.FACEBOOK_ADS, tmp_path, warehouse, D15, D16, f"n{n}")
+    log = warehouse.run_log()
+    assert log.count() == log.select("run_id", "partition_date").distinct().count() == 19 + 6
+    assert {(r.partition_date, r.status) for r in log.where("run_id = 'n2'").collect()} == {(D15, "loaded"), (D16, "missing")}
+    assert len(log.inputFiles()) == 2
+    assert warehouse.run_log("stripe_charges").count() == 0
+
+
+def test_a_log_published_by_another_run_meanwhile(warehouse, tmp_path, monkeypatch):
+    land(tmp_path, D15, insight(D15))
+    publish, raced = snapshots.publish, []
+
+    def race(spark, path, *rest):
+        if "run_log" in path and not raced:
+            raced.append(path)
+            run(loads.FACEBOOK_ADS, tmp_path, warehouse, D16, D16, "other")
+        return publish(spark, path, *rest)
+
+    monkeypatch.setattr(snapshots, "publish", race)
+    run(loads.FACEBOOK_ADS, tmp_path, warehouse, D15, D15, "r1")
+    assert {(r.run_id, r.partition_date) for r in warehouse.run_log().collect()} == {("r1", D15), ("other", D16)}
+
+
+@pytest.mark.parametrize("columns", [("a", "b"), ("b", "a"), ("name", "b")])
+def test_row_groups_are_skipped_on_every_cluster_column(warehouse, columns):
+    spark, path = warehouse.spark, f"{warehouse.root}/curve"
+    rows = spark.range(40_000, numPartitions=1).select(
+        F.lit(D15).alias("date"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int").alias("a"),
+        F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1000)).alias("b"),
+        F.concat(F.lit("n"), F.lpad(F.pmod(F.xxhash64("id"), F.lit(1000)).cast("string"), 3, "0")).alias("name"),
+        "id",
     )
-    assert {r.sku_id for r in latest_per_snapshot(frame).collect()} == {"b", "c"}
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "625")
+    try:
+        write_days(rows, path, ["date"], cluster_columns=columns)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    read = spark.read.parquet(path)
+    assert read.count() == 40_000
+    spans = read.groupBy(F.input_file_name()).agg(
+        *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
+    ).collect()
+    assert len(spans) == 64
+    for column in columns:
+        value = "n500" if column == "name" else 500
+        open_ = [s for s in spans if s[column].lo <= value <= s[column].hi]
+        assert len(open_) <= 16, column
+
+
+def test_rows_to_cluster_may_be_null_or_none(warehouse):
+    spark = warehouse.spark
+    frame = spark.createDataFrame([(D15, None, 1), (D15, "x", None), (D15, None, None)], "date date, a string, b int")
+    for n, rows in enumerate((frame, frame.where("false"))):
+        path = f"{warehouse.root}/t{n}"
+        write_days(rows, path, ["date"], cluster_columns=("a", "b"))
+    assert spark.read.parquet(f"{warehouse.root}/t0").count() == 3
+    with pytest.raises(TypeError, match="clustered"):
+        write_days(frame.withColumn("c", F.array("b")), path, ["date"], cluster_columns=("a", "c"))
 
 
 def fb_raw(spark, *rows):
