@@ -28,7 +28,7 @@ from ledgerline.llm.tokens import encoder
 
 BLOCK_TOKENS = 1 << 16
 ROWS_OUT = 512
-IDS_SCHEMA = "doc_id long, ids binary"
+IDS_SCHEMA = "doc_id long, ids binary, counts binary"
 BLOCK_SCHEMA = "shard long, block long, n_tokens long, data binary"
 READ_SCHEMA = "shard long, start_in_shard long, doc_id long, n_tokens long, ids binary"
 
@@ -38,46 +38,55 @@ def _as_ids(packed: bytes, width: int) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """``doc_id`` and its packed ids with the end id; a null text has only that."""
+    """``doc_id`` and its packed ids with the end id; a null text has only that.
+
+    Each task adds one row without ids: how often it has met each id, counted on the way.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(vocabulary)
         end = end_id.to_bytes(tool.width, "little")
+        total = np.zeros(0, np.int64)
+
+        def told(doc_ids: pa.Array, ids: list, counts: list) -> pa.RecordBatch:
+            columns = [doc_ids, pa.array(ids, pa.binary()), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "counts"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
                 ids = [tool.encode(text) + end for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-                )
+                seen = np.bincount(np.frombuffer(b"".join(ids), f"<u{tool.width}"))
+                if len(seen) < len(total):
+                    seen, total = total, seen
+                seen[: len(total)] += total
+                total = seen
+                yield told(part.column(0), ids, [None] * len(ids))
+        if total.any():
+            used = np.flatnonzero(total)
+            counts = np.column_stack([used, total[used]]).astype("<i8").tobytes()
+            yield told(pa.array([None], pa.int64()), [None], [counts])
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     ).mapInArrow(encode, IDS_SCHEMA)
 
 
-def id_counts(tokens: DataFrame, width: int) -> DataFrame:
-    """How often each id occurs; every task sends one row per id at most."""
+def id_counts(tokens: DataFrame) -> DataFrame:
+    """How often each id occurs, from what the encoding tasks have counted."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                seen = np.bincount(np.frombuffer(packed, f"<u{width}"))
-                if len(seen) > len(total):
-                    seen[: len(total)] += total
-                    total = seen
-                else:
-                    total[: len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), pa.array(total[used], pa.int64())],
-            ["id", "n"],
-        )
+                pairs = np.frombuffer(packed, "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["id", "n"]
+                )
 
     return (
-        tokens.select("ids")
-        .mapInArrow(count, "id long, n long")
+        tokens.where(F.col("counts").isNotNull())
+        .select("counts")
+        .mapInArrow(unpack, "id long, n long")
         .groupBy("id")
         .agg(F.sum("n").alias("n"))
     )
@@ -93,7 +102,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -> None:
     width = encoder(vocabulary).width
     tokens = written(tokenized(docs, vocabulary, end_id), "token-ids")
     # One row per id of the vocabulary at most: a bound known before the run.
-    counts = id_counts(tokens, width).toPandas()
+    counts = id_counts(tokens).toPandas()
+    tokens = tokens.where(F.col("ids").isNotNull()).select("doc_id", "ids")
     table = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 0, np.int64)
     table[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = huffman.code_lengths(table)
