@@ -9,12 +9,17 @@ spacing) gets the same surrogate everywhere under one key, so references to it s
   the strings of that shape.  It is a bijection, so distinct entities of a shape stay
   distinct.  Card numbers keep a valid check digit, addresses stay addresses, country
   codes, the first part of a domain and its ending stay as they are.
-* A name gets a name of the gender of its form of address and of its own script, with as
-  many parts, and keeps the writing (capitals or not) of each part.
+* A name is replaced part by part: given names and the family name each have a surrogate
+  of their own in their own script, so a full name, the family name alone and the same
+  person under another form of address stay one person.  Gender only picks the ending; a
+  form of address that tells none takes the gender that the corpus tells of the first part
+  it tells one of (all its other mentions with that part agree), else a keyed one.  Each
+  part keeps its writing (capitals or not).
 
 A pass over the distinct entities of all documents checks that no two surrogates are the
 same and that none is an entity of the corpus; whatever fails is enciphered again under
-a further round until nothing does.  Only those exceptions need a table.
+a further round until nothing does.  Only those exceptions, and the genders that
+genderless forms of address need, want a table.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ from ledgerline.llm.common import BROADCAST_ROWS, whole_text, written
 ROUNDS = 8
 LIMIT_ROUNDS = 50
 FOUND = "kind string, entity string"
+# An entity with more mentions than this is spread over several keys of a join.
+HOT_MENTIONS = 100_000
 
 # Forms of address, with the gender they tell (f, m or none).
 TITLES = {
@@ -42,24 +49,31 @@ TITLES = {
     "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f",
     "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
 }
-# Given names by script and gender, and syllables of family names.
-GIVEN = {
-    ("latin", "f"): "Alma Berta Clara Dora Edith Flora Greta Hilda Irma Jana Klara Lena Mona Nora Olga Petra Rita Sara Tina Vera".split(),
-    ("latin", "m"): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jakob Karl Leon Martin Nils Oskar Paul Rolf Simon Tomas Viktor".split(),
-    ("cyrillic", "f"): "Алла Вера Галина Дарья Елена Зоя Инна Лидия Мария Нина Ольга Раиса".split(),
-    ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел".split(),
-    ("greek", "f"): "Άννα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Σοφία".split(),
-    ("greek", "m"): "Αλέξης Γιάννης Δημήτρης Κώστας Λεωνίδας Μάριος Νίκος Πέτρος".split(),
-}
+# Syllables and endings that names are made of; all syllables are of two letters and the
+# endings of a script and part of a name differ in no way that two stems could make good.
 SYLLABLES = {
     "latin": "ba be bo da de do fa ga ka ke ko la le lo ma me mo na ne no pa ra re ro sa se so ta te to va vo".split(),
     "cyrillic": "ба бе бо ва ве во да де до за ка ко ла ле ло ма ме мо на не но па ра ре ро са се со та то".split(),
     "greek": "βα γα δα δο κα κο λα λε λο μα με μο να νε νο πα πο ρα ρε ρο σα σε σο τα τε το".split(),
 }
-SURNAME_END = {
-    ("latin", "f"): "n", ("latin", "m"): "n", ("cyrillic", "f"): "ва",
-    ("cyrillic", "m"): "в", ("greek", "f"): "ου", ("greek", "m"): "ς",
-}
+ENDINGS = {
+    ("family", "latin"): {"f": "n", "m": "n"},
+    ("family", "cyrillic"): {"f": "ва", "m": "в"},
+    ("family", "greek"): {"f": "ου", "m": "ς"},
+    ("given", "latin"): {"f": "lia", "m": "rik"},
+    ("given", "cyrillic"): {"f": "лия", "m": "рик"},
+    ("given", "greek"): {"f": "λια", "m": "ρος"},
+}
+# Syllables of a stem; every further attempt has one more, so there are always enough.
+STEM = {"given": 3, "family": 4}
+# Published prefixes of access tokens.
+TOKEN_PREFIXES = (
+    "AIza", "github_pat_", "gho_", "ghp_", "ghr_", "ghs_", "ghu_", "glpat-", "hf_", "npm_",
+    "pk_live_", "pk_test_", "pypi-", "rk_live_", "sk-", "sk_live_", "sk_test_",
+    "xoxa-", "xoxb-", "xoxp-", "xoxs-",
+)
+# Words before a credential, in any case.
+SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey", "access_key", "access-key")
 
 _PART = r"[^\W\d_][^\W\d_'’]*(?:-[^\W\d_]+)*"
 _NAME = rf"\b(?P<title>{'|'.join(TITLES)})(?P<dot>\.?[  ])(?P<name>{_PART}(?:[  ]{_PART}){{0,2}})"
@@ -76,9 +90,15 @@ _NATIONAL = (
 _CUE = r"(?<!\w)(?i:tel|telephone|phone|fax|mobile|cell|call|telefon|teléfono|tél|тел|τηλ)[.:]{0,2} ?"
 _CALLED = r"(?!\d\d(?P<d3>[ ./-])\d\d(?P=d3)\d{4}(?!\d))(?=\d(?:[ ./-]?\d){6,11}(?!\d))(?:\d{7,12}|\d{1,5}(?P<d4>[ ./-])\d{2,8}(?:(?P=d4)\d{2,6}){0,3})(?!\w|[.,:/-]\d)"
 _PLUS = r"(?<![\w+])\+\d{1,3}[ .-]?\(0\)(?:[ ./-]?\d){6,12}(?!\d)"
+_IS = r"[\"']? ?= ?[\"']?"
+_SIGN = re.compile(r"[\"']? ?[=:] ?[\"']?")
+_LEAD = re.compile(f"(?:{'|'.join(('AKIA', 'ASIA', *TOKEN_PREFIXES))})(?=.{{8}})")
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:password|passwd|secret|token|api_key) ?[=:] ?[A-Za-z0-9_-]{8,})"
+    r"|(?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:password|passwd|secret|token|api_key) ?[=:] ?[A-Za-z0-9_-]{8,}"
+    # Of a word and a colon in prose, only a value with a digit is a credential.
+    rf"|(?<![A-Za-z0-9])(?i:{'|'.join(SECRET_WORDS)})(?:{_IS}|[\"']? ?: ?[\"']?(?=[A-Za-z_-]*\d))[A-Za-z0-9_-]{{8,}}"
+    rf"|(?<![A-Za-z0-9_-])(?:{'|'.join(TOKEN_PREFIXES)})(?=[A-Za-z_-]*\d)[A-Za-z0-9_-]{{20,}})"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
     r"|(?P<card>(?<![\d-])(?:(?:\d{4}[ -]?){3}\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\d-]*\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d))"
@@ -92,12 +112,15 @@ KINDS = frozenset(["email", "secret", "ip", "card", "phone", "plus", "national",
 TRUNK = "(0)"  # written after a country code, not dialled with it
 # What every entity holds a part of; it keeps most texts off the pattern.
 _DIGITS = re.compile(r"[0-9][0-9. /()-]{5}")
-_MARKS = ("@", "AKIA", "ASIA", "password", "passwd", "secret", "token", "api_key", *TITLES)
+_MARKS = ("@", "AKIA", "ASIA", *TOKEN_PREFIXES, *TITLES)
 
 
 def may_hold(text: str) -> bool:
     """False only where ``text`` has no entity."""
-    return any(mark in text for mark in _MARKS) or bool(_DIGITS.search(text))
+    if any(mark in text for mark in _MARKS) or _DIGITS.search(text):
+        return True
+    lower = text.lower()
+    return any(word in lower for word in SECRET_WORDS)
 
 
 def luhn(digits: str) -> int:
@@ -149,11 +172,11 @@ def _found_in_line(line: str) -> Iterator[tuple[str, str, int, int]]:
         elif kind == "phone":
             normal = re.sub(r"[^\d+]", "", value.replace(TRUNK, ""))
         elif kind == "secret":
-            sign = re.search("[=:] ?", value)
+            sign = None if _LEAD.match(value) else _SIGN.search(value)
             lo += sign.end() if sign else 0
             normal = line[lo:hi]
         elif kind == "name":
-            length = _name_parts(value)
+            length = _name_length(value)
             # What follows a name, or isn't one, may begin the next.
             at = hi = lo + length
             if not length:
@@ -170,7 +193,7 @@ def _is_card(value: str) -> bool:
     return 13 <= len(digits) <= 19 and luhn(digits[:-1]) == int(digits[-1])
 
 
-def _name_parts(value: str) -> int:
+def _name_length(value: str) -> int:
     """Length of the leading parts that are written like a name."""
     length = 0
     for part in re.finditer(r"[^  ]+", value):
@@ -260,35 +283,37 @@ def surrogate(cipher: Cipher, kind: str, normal: str, attempt: int) -> str:
         code = normal[: len(code) + 1 + led]
         return code + cipher.shaped(normal[len(code) :], *mark, code)
     if kind == "secret":
-        lead = normal[:4] if re.fullmatch(r"(?:AKIA|ASIA)[A-Z0-9]{16}", normal) else ""
+        lead = match[0] if (match := _LEAD.match(normal)) else ""
         if re.fullmatch("[0-9a-f]+", normal):
             x = cipher.permuted(int(normal, 16), 16 ** len(normal), *mark, len(normal))
             return f"{x:0{len(normal)}x}"
         return lead + cipher.shaped(normal[len(lead) :], *mark, lead)
-    gender, name = normal.split("|", 1)
-    return f"{gender}|{_person(cipher, gender, name, attempt)}"
-
-
-def _person(cipher: Cipher, gender: str, name: str, attempt: int) -> str:
-    script = script_of(name)
-    parts = name.split(" ")
-    n = cipher.number("name", attempt, gender, name)
-    sex = gender or ("f", "m")[n % 2]
-    n //= 2
-    given = GIVEN[script, sex]
-    syllables = SYLLABLES[script]
-    out = []
-    for place in range(len(parts)):
-        if place < len(parts) - 1:
-            n, pick = divmod(n, len(given))
-            out.append(given[pick].casefold())
-        else:
-            made = ""
-            for _ in range(4):
-                n, pick = divmod(n, len(syllables))
-                made += syllables[pick]
-            out.append(made + SURNAME_END[script, sex])
-    return " ".join(out)
+    if kind in STEM:
+        syllables = SYLLABLES[script_of(normal)]
+        n = cipher.number(*mark, normal)
+        made = ""
+        for _ in range(STEM[kind] + attempt):
+            n, pick = divmod(n, len(syllables))
+            made += syllables[pick]
+        return made
+    return person(cipher, normal, lambda part, word: surrogate(cipher, part, word, attempt))
+
+
+def parts_of_name(normal: str) -> list[tuple[str, str]]:
+    """The entities that a name consists of: given names, then the family name."""
+    words = normal.split("|", 1)[1].split(" ")
+    return [("given", word) for word in words[:-1]] + [("family", words[-1])]
+
+
+def person(cipher: Cipher, normal: str, stem, told=lambda part, word: None) -> str:
+    """The surrogate of a name from stems of its parts and the gender told of them."""
+    gender = normal.split("|", 1)[0]
+    parts = parts_of_name(normal)
+    sex = gender or next((sex for part in parts if (sex := told(*part))), None)
+    sex = sex or "fm"[cipher.number("gender", *parts[0]) % 2]
+    return f"{gender}|" + " ".join(
+        stem(kind, word) + ENDINGS[kind, script_of(word)][sex] for kind, word in parts
+    )
 
 
 def written_like(kind: str, normal: str, was: str) -> str:
@@ -312,22 +337,58 @@ def written_like(kind: str, normal: str, was: str) -> str:
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """Distinct kinds and normal forms over all texts; repeats go within a task first."""
+    """Distinct kinds and normal forms over all texts, names by part with the gender of
+    the form of address (empty if it tells none); repeats go within a task first."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {
-                (kind, normal)
-                for text in batch.column(0)
-                for kind, normal, _, _ in found_in(text.as_py())
-            }
-            kinds, normals = zip(*seen) if seen else ((), ())
+            seen = set()
+            for text in batch.column(0):
+                for kind, normal, _, _ in found_in(text.as_py()):
+                    if kind == "name":
+                        gender = normal.split("|", 1)[0]
+                        seen.update((*part, gender) for part in parts_of_name(normal))
+                    else:
+                        seen.add((kind, normal, ""))
+            columns = list(zip(*seen)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.string()), pa.array(normals, pa.string())],
-                ["kind", "entity"],
+                [pa.array(column, pa.string()) for column in columns], ["kind", "entity", "gender"]
             )
 
-    return docs.select(whole_text().alias("text")).mapInArrow(find, FOUND).distinct()
+    return (
+        docs.select(whole_text().alias("text")).mapInArrow(find, f"{FOUND}, gender string").distinct()
+    )
+
+
+def genders(found: DataFrame) -> DataFrame:
+    """The gender of each part of a name with a genderless form of address, where all
+    forms of address that tell one agree (``kind``, ``entity``, ``sex``)."""
+    told = F.when(F.col("gender") != "", F.col("gender"))
+    return (
+        found.where(F.col("kind").isin(*STEM))
+        .groupBy("kind", "entity")
+        .agg(F.min(told).alias("sex"), F.max(told).alias("other"), F.min("gender").alias("least"))
+        .where("least = '' and sex = other")
+        .select("kind", "entity", "sex")
+    )
+
+
+def _taken(found: DataFrame) -> DataFrame:
+    """What no surrogate may be: an entity, or a stem that an ending makes one."""
+    stems = [
+        F.when(
+            (F.col("kind") == kind) & F.col("entity").endswith(ending),
+            F.expr(f"substr(entity, 1, length(entity) - {len(ending)})"),
+        )
+        for (kind, _), endings in ENDINGS.items()
+        for ending in sorted({e.casefold() for e in endings.values()})
+    ]
+    return (
+        found.select("kind", F.explode(F.array("entity", *stems)).alias("surrogate"))
+        .where("surrogate is not null")
+        .distinct()
+        .withColumn("real", F.lit(True))
+    )
 
 
 def _enciphered(rows: DataFrame, key: str) -> DataFrame:
@@ -348,10 +409,10 @@ def _enciphered(rows: DataFrame, key: str) -> DataFrame:
 
 def checked(found: DataFrame, key: str) -> DataFrame:
     """Every entity with a surrogate that is no other's and no entity of the corpus."""
+    known = _taken(found)
     table = written(_enciphered(found.withColumn("attempt", F.lit(0)), key), "surrogates")
     for _ in range(LIMIT_ROUNDS):
         order = Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity")
-        known = found.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
         marked = (
             table.withColumn("nth", F.row_number().over(order))
             .join(known, ["kind", "surrogate"], "left")
@@ -376,18 +437,28 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     stay as they are.  Entities that overlap are taken from the left, the longest kind
     listed first.
     """
-    table = checked(entities(docs), key)
-    exceptions = table.where("attempt > 0").select("kind", "entity", "attempt")
+    found = written(entities(docs), "entities")
+    table = checked(found.select("kind", "entity").distinct(), key)
+    table = table.join(genders(found), ["kind", "entity"], "left")
+    exceptions = table.where("attempt > 0 or sex is not null")
     count = exceptions.count()
     if count > BROADCAST_ROWS:
-        return _replaced_by_join(docs, table)
-    rows = exceptions.collect()
+        return _replaced_by_join(docs, table, key)
+    rows = exceptions.select("kind", "entity", "attempt", "sex").collect()
     later = docs.sparkSession.sparkContext.broadcast(
-        {(r["kind"], r["entity"]): r["attempt"] for r in rows}
+        {(r["kind"], r["entity"]): (r["attempt"], r["sex"]) for r in rows}
     )
 
     def lookup(cipher: Cipher, kind: str, normal: str) -> str:
-        return surrogate(cipher, kind, normal, later.value.get((kind, normal), 0))
+        def known(kind: str, entity: str) -> tuple[int, str | None]:
+            return later.value.get((kind, entity), (0, None))
+
+        def stem(kind: str, word: str) -> str:
+            return surrogate(cipher, kind, word, known(kind, word)[0])
+
+        if kind == "name":
+            return person(cipher, normal, stem, lambda *part: known(*part)[1])
+        return stem(kind, normal)
 
     return _rewritten(docs, key, lookup)
 
@@ -415,64 +486,98 @@ def _rewritten(docs: DataFrame, key: str, lookup) -> DataFrame:
         return pd.DataFrame({"text": out, "n_entities": counts})
 
     columns = [name for name in docs.columns if name != "n_entities"]
-    made = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn(
-        "__new", rewrite(F.col("text"))
+    made = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), rewrite(F.col("text")).alias("new")
     )
     return made.select(
-        *[F.col("__new")["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.col("__new")["n_entities"].alias("n_entities"),
+        *[F.col("new" if c == "text" else "doc").getField(c).alias(c) for c in columns],
+        F.col("new").getField("n_entities").alias("n_entities"),
     )
 
 
-def _replaced_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
+def _replaced_by_join(docs: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """The same where the exceptions don't fit a broadcast: a join by entity.
 
-    Texts with entities are cut into pieces; only pieces that are entities are joined.
+    Only mentions are joined, names by part.  Those of an entity with very many are
+    spread over several keys; the entities with so many are few.
     """
-    named = docs.withColumn("__row", F.expr("uuid()"))
+    columns = [name for name in docs.columns if name != "n_entities"]
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+        whole_text().alias("text"),
+        F.expr("uuid()").alias("row"),
+    )
     named = written(named, "surrogate-rows")
-    texts = named.select("__row", whole_text().alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for n, (kind, normal, lo, hi) in enumerate(found_in(text)):
-                    out.append((row, n, kind, normal, lo, hi))
-            columns = list(zip(*out)) or [()] * 6
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
+                for n, (kind, normal, _, _) in enumerate(found_in(text)):
+                    parts = parts_of_name(normal) if kind == "name" else [(kind, normal)]
+                    out += [(row, n, place, *part) for place, part in enumerate(parts)]
+            columns = list(zip(*out)) or [()] * 5
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["__row", "n", "kind", "entity", "lo", "hi"],
+                ["row", "n", "place", "kind", "entity"],
             )
 
-    spots = texts.mapInArrow(
-        cut, "__row string, n int, kind string, entity string, lo int, hi int"
-    ).join(table.select("kind", "entity", "surrogate"), ["kind", "entity"])
-    packed = spots.groupBy("__row").agg(
-        F.array_sort(F.collect_list(F.struct("n", "kind", "surrogate", "lo", "hi"))).alias("__spots")
+    spots = named.select("row", "text").mapInArrow(
+        cut, f"row string, n int, place int, {FOUND}"
+    )
+    spots = written(spots, "surrogate-spots")
+    hot = (
+        spots.groupBy("kind", "entity")
+        .agg(F.floor(F.count(F.lit(1)) / HOT_MENTIONS).cast("int").alias("more"))
+        .where("more > 0")
+    )
+    hot = written(hot, "surrogate-hot")
+    if hot.count() <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    more = F.coalesce("more", F.lit(0))
+    spots = spots.join(hot, ["kind", "entity"], "left").withColumn(
+        "salt", F.expr("cast(pmod(xxhash64(row), coalesce(more, 0) + 1) as int)")
+    )
+    spread = table.join(hot, ["kind", "entity"], "left").select(
+        "kind", "entity", "surrogate", "sex", F.explode(F.sequence(F.lit(0), more)).alias("salt")
+    )
+    packed = (
+        spots.join(spread, ["kind", "entity", "salt"])
+        .groupBy("row")
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("n", "place", "kind", "entity", "surrogate", "sex"))
+            ).alias("spots")
+        )
     )
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("struct<text:string,n_entities:int>")
     def put(texts, spots):
         import pandas as pd
 
-        out = []
-        for text, found in zip(texts, spots):
-            if text is None or found is None:
-                out.append(text)
-                continue
-            parts, at = [], 0
-            for spot in found:
-                lo, hi = spot["lo"], spot["hi"]
-                parts += [text[at:lo], written_like(spot["kind"], spot["surrogate"], text[lo:hi])]
-                at = hi
+        cipher = Cipher(key.encode())
+        out, counts = [], []
+        for text, known in zip(texts, spots):
+            parts, at, n = [], 0, 0
+            if known is not None:
+                made = {(k["kind"], k["entity"]): (k["surrogate"], k["sex"]) for k in known}
+                for kind, normal, lo, hi in found_in(text):
+                    if kind == "name":
+                        new = person(
+                            cipher, normal, lambda *part: made[part][0], lambda *part: made[part][1]
+                        )
+                    else:
+                        new = made[kind, normal][0]
+                    parts += [text[at:lo], written_like(kind, new, text[lo:hi])]
+                    at, n = hi, n + 1
             out.append("".join([*parts, text[at:]]))
-        return pd.Series(out)
+            counts.append(n)
+        return pd.DataFrame({"text": out, "n_entities": counts})
 
-    columns = [name for name in docs.columns if name != "n_entities"]
-    joined = named.join(packed, "__row", "left").withColumn("__text", put("text", "__spots"))
+    joined = named.join(packed, "row", "left").select("doc", put("text", "spots").alias("new"))
+    text = F.when(F.col("doc").getField("text").isNotNull(), F.col("new").getField("text"))
     return joined.select(
-        *[F.col("__text").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.coalesce(F.size("__spots"), F.lit(0)).alias("n_entities"),
+        *[text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in columns],
+        F.col("new").getField("n_entities").alias("n_entities"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -121,3 +123,77 @@ def test_join_gives_what_the_lookup_gives(spark, monkeypatch):
     monkeypatch.setattr(s, "BROADCAST_ROWS", -1)
     assert sorted(map(tuple, s.replace(frame, "k").collect()), key=str) == plain
     assert sorted(r[2] for r in plain) == [0, 0, 1, 10, 10]
+
+
+PEOPLE = (
+    "Mr John Smith came. Mr Smith spoke; Dr John Smith and Prof. Smith left. Mr. JOHN SMITH too.\n"
+    "Frau Anna Müller, Dr Anna Müller, Frau Müller, Mr Peter Smith, Госпожа Иванова, Dr Иванова"
+)
+
+
+def names_of(spark, texts, key="k"):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in s.replace(frame, key).collect()}
+    return [[n.split("|")[1].split(" ") for _, n, _, _ in s.found_in(out[i])] for i in sorted(out)]
+
+
+def test_one_person_stays_one_under_any_form_of_address(spark):
+    (names,) = names_of(spark, [PEOPLE])
+    john, smith, doctor, prof, shout, anna, doc_anna, mueller, peter, ivanova, doc_ivanova = names
+    assert john == doctor == shout and smith == prof == john[1:] == peter[1:]
+    assert anna == doc_anna and mueller == anna[1:]
+    assert ivanova == doc_ivanova and ivanova[0].endswith("ва")
+    assert len({john[0], peter[0], anna[0]}) == 3 and john[1] != anna[1]
+    assert john[0].endswith("rik") and anna[0].endswith("lia")
+    # Also over documents, and whatever else is in the corpus with no such name.
+    apart = names_of(spark, [*re.split("[,;.]? (?=Mr|Dr|Prof|Frau|Госпожа)|\n", PEOPLE), "Mr Nobody"])
+    assert [x for doc in apart for x in doc][:-1] == names
+
+
+def test_genders_that_disagree_tell_none(spark):
+    said, other, doctor = names_of(spark, ["Mr Robin Fox", "Mrs Robin Fox", "Dr Robin Fox"])
+    assert said[0][0] != other[0][0] and doctor[0][0] in (said[0][0], other[0][0])
+    assert said[0][0][:-3] == other[0][0][:-3] == doctor[0][0][:-3]
+
+
+def test_names_made_of_surrogates_are_avoided(spark):
+    """An entity that is a surrogate in some form makes the other take a further round."""
+    stem = s.surrogate(s.Cipher(b"k"), "given", "john", 0)
+    names = names_of(spark, ["Mr John Fox", f"Mrs {stem.title()}lia Fox"])
+    assert names[0][0][0] != stem + "rik" and names[0][0][0][:-3] != names[1][0][0][:-3]
+
+
+CREDENTIALS = [
+    "API_KEY=abcdef123456", "MY_API_KEY = abcdef123456", "Password: hunter2hunter", "PASSWORD=abcdefghij",
+    "password: abcdefghij", "Api-Key: 'q1w2e3r4t5'", '"api_key": "q1w2e3r4t5"', "Token:abcd1234efgh",
+    "ghp_0123456789abcdefghijABCDEFGHIJ012345", "sk-abcdefghij0123456789klmnop", "sk_live_0123456789abcdefghijABCD",
+    "AIzaSyA0123456789abcdefghijklmnopqrstuv", "glpat-0123456789abcdefghij", "token=ghp_0123456789abcdefghij0123456789abcdef",
+]
+
+
+def test_credentials_in_any_case_and_by_published_prefix():
+    for text in CREDENTIALS:
+        found = list(s.found_in(f"set {text} now"))
+        assert [x[0] for x in found] == ["secret"], text
+        value = found[0][1]
+        new = rewritten(text)
+        assert value not in new and len(new) == len(text)
+        assert [x[0] for x in s.found_in(new)] == ["secret"], (text, new)
+        lead = next((p for p in s.TOKEN_PREFIXES if value.startswith(p)), "")
+        assert list(s.found_in(new))[0][1].startswith(lead)
+    for text in ("Token: Kubernetes", "Secret: ingredients of soup", "a task-force", "risk-management0123456789012345", "Password reset"):
+        assert list(s.found_in(text)) == [], text
+
+
+def test_join_keeps_people_and_clashing_columns(spark, monkeypatch):
+    texts = [PEOPLE, PEOPLE, "", None, *CREDENTIALS, "mail a.b@c.org, Mr Smith"] * 3
+    frame = spark.createDataFrame(
+        [(i, x, 7, "r", "d", 1) for i, x in enumerate(texts)],
+        "doc_id long, text string, new int, row string, doc string, n_entities int",
+    )
+    plain = sorted(map(tuple, s.replace(frame, "k").collect()), key=str)
+    assert [r[0] for r in plain].count(0) == 1 and len(plain) == len(texts)
+    assert all(r[2:5] == (7, "r", "d") for r in plain)
+    monkeypatch.setattr(s, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(s, "HOT_MENTIONS", 5)
+    assert sorted(map(tuple, s.replace(frame, "k").collect()), key=str) == plain
