@@ -4,10 +4,11 @@ A revisit record of the profile "server not modified" holds only the headers of
 It stands for the latest earlier full response (status 200) of the same canonical URL,
 if their validators agree, and its own headers update the stored ones.
 
-The as-of join works in chunks of time: within a chunk a window carries the last
-response on, and over the few chunks of a URL another window carries the last response
-of earlier ones.  The chunks are quantiles of the capture times, so that a URL with a
-third of all records is spread over as many groups as there are chunks.
+The as-of join works in chunks of the records' order by URL and time: within a chunk a
+window carries the last response on, and over the few chunks of a URL another window
+carries the last response of earlier ones.  The chunks are the partitions of one range
+shuffle, written so that every step sees the same ones; a URL with a third of all records
+lies in a third of the chunks, whatever its times are, and any other in one or two.
 """
 
 from __future__ import annotations
@@ -15,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 50_000
+from ledgerline.llm.common import written
+
+CHUNK_ROWS = 500_000
+LEAST_CHUNKS = 32
 # Header fields of a stored response that a 304 never replaces.
 KEPT_FIELDS = (
     "connection", "content-encoding", "content-length", "content-md5",
@@ -112,17 +116,15 @@ def resolve(records: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
         "status",
         _lower_keys(F.col("headers")).alias("headers"),
     ).where("status in (200, 304)")
-    times = records.select(F.col("captured_at").cast("double").alias("t"))
-    chunks = max(1, -(-records.count() // chunk_rows), 32)
-    cuts = sorted(set(times.approxQuantile("t", [n / chunks for n in range(1, chunks)], 0.25 / chunks)))
-    # The number of cut times up to a record's own.
-    chunk = F.aggregate(
-        F.lit(cuts).cast("array<double>") if cuts else F.array().cast("array<double>"),
-        F.lit(0),
-        lambda n, cut: n + F.when(cut <= F.col("at").cast("double"), 1).otherwise(0),
-    )
     response = F.when(F.col("status") == 200, F.struct("record_id", "headers"))
-    usable = base.where("canonical is not null and at is not null").withColumn("chunk", chunk)
+    usable = base.where("canonical is not null and at is not null")
+    chunks = max(-(-records.count() // chunk_rows), LEAST_CHUNKS)
+    usable = written(
+        usable.repartitionByRange(chunks, "canonical", "at", "record_id").withColumn(
+            "chunk", F.spark_partition_id()
+        ),
+        "revisit-chunks",
+    )
     within = (
         Window.partitionBy("canonical", "chunk")
         .orderBy("at", "record_id")

@@ -244,6 +244,23 @@ def test_revisits_of_one_hot_url(spark):
     assert all(r["response_id"] == r["record_id"] // 97 * 97 and r["outcome"] == "resolved" for r in got)
 
 
+def test_revisits_of_a_burst_within_one_second(spark):
+    """Chunks part records of one URL and one time by their ids."""
+    records = spark.range(4000).selectExpr(
+        "id AS record_id", "IF(id % 4 = 0, concat('http://b.org/', id % 3), 'http://a.org/x') AS url", "7L AS captured_at",
+        "IF(id % 97 = 0, 200, 304) AS status", "CAST(NULL AS map<string,string>) AS headers",
+    )
+    got = {r["record_id"]: r["response_id"] for r in revisits.resolve(records, chunk_rows=100).collect()}
+    last, expected = {}, {}
+    for i in range(4000):
+        url = i % 3 if i % 4 == 0 else "x"
+        if i % 97 == 0:
+            last[url] = i
+        else:
+            expected[i] = last.get(url)
+    assert got == expected
+
+
 # 5: toxicity
 
 
