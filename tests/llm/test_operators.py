@@ -318,6 +318,68 @@ def test_toxicity_keeps_every_run_of_characters(spark):
     assert np.allclose(model.tables.evidence(words), [plain(w) for w in words], atol=1e-9)
 
 
+def recounted(rows: list[tuple[str, int]]) -> dict[int, dict[str, tuple[float, float]]]:
+    """The Kneser-Ney tables of labelled texts, counted one by one in plain Python."""
+    counts = [Counter(), Counter()]  # ordinary, toxic
+    for text, toxic in rows:
+        for raw in set(text.lower().split()):
+            padded = toxicity.OPEN * 4 + (raw.strip(toxicity.EDGES) or raw) + toxicity.CLOSE
+            for at in range(len(padded) - 4):
+                counts[toxic][padded[at : at + 5]] += 1
+    out = defaultdict(dict)
+    for order in range(5, 0, -1):
+        use = counts if order > 3 else [counts[0] + counts[1]] * 2
+        runs = set(use[0]) | set(use[1])
+        values = []
+        for seen in use[1], use[0]:
+            once, twice = (sum(n == k for n in seen.values()) for k in (1, 2))
+            discount = once / (once + 2 * twice) if once and twice else 0.5
+            total, kinds = Counter(), Counter()
+            for run, n in seen.items():
+                total[run[:-1]] += n
+                kinds[run[:-1]] += 1
+            share = {r: max(seen[r] - discount, 0) / total[r[:-1]] if total[r[:-1]] else 0.0 for r in runs}
+            left = {r[:-1]: discount * kinds[r[:-1]] / total[r[:-1]] if total[r[:-1]] else 1.0 for r in runs}
+            values.append((share, left))
+        for r in runs:
+            out[order][r] = (values[0][0][r], values[1][0][r])
+            out[100 + order][r[:-1]] = (values[0][1][r[:-1]], values[1][1][r[:-1]])
+        # One order lower, a run counts the different characters before it.
+        lower = [Counter(), Counter()]
+        for seen, below in zip(counts, lower):
+            for run in seen:
+                below[run[1:]] += 1
+        counts = lower
+    return out
+
+
+def test_toxicity_tables_by_recount(spark):
+    """Every share and weight that training makes of the labelled documents."""
+    ship(spark)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labelled = docs.join(labels, "doc_id").where("text is not null").selectExpr("text", "CAST(toxic AS int) AS toxic")
+    odd_texts = spark.createDataFrame([("", 0), (" !! a", 1), ("«Ä» ä 𝄞𝄞 𝄞", 0), ("same same, SAME", 1)], "text string, toxic int")
+    labelled = labelled.unionByName(odd_texts)
+    expected = recounted([tuple(r) for r in labelled.collect()])
+    got = defaultdict(dict)
+    for r in toxicity.trained(labelled).rows.collect():
+        assert r["run"] not in got[r["table"]]
+        got[r["table"]][r["run"]] = (r["a"], r["b"])
+    assert {k: set(v) for k, v in got.items()} == {k: set(v) for k, v in expected.items()}
+    for table, runs in expected.items():
+        keys = list(runs)
+        assert np.allclose([got[table][k] for k in keys], [runs[k] for k in keys], atol=1e-12), table
+    # Shares of the runs after a context and what it leaves make one in each model.
+    sums = defaultdict(lambda: [0.0, 0.0])
+    for order in range(1, 6):
+        for run, pair in got[order].items():
+            for n in (0, 1):
+                sums[order, run[:-1]][n] += pair[n]
+    for (order, context), pair in sums.items():
+        assert np.allclose(np.add(pair, got[100 + order][context]), 1.0)
+
+
 def test_toxicity_by_join_is_the_same(spark, odd, monkeypatch):
     ship(spark)
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
