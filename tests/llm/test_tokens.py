@@ -56,6 +56,22 @@ def test_too_many_symbols_for_the_limit():
         huffman.code_lengths(np.ones(9), 3)
 
 
+@pytest.mark.parametrize("symbols,skew", [(65_537, 1.01), (200_000, 1.2), (300_000, 3.0)])
+def test_large_vocabularies_round_trip(symbols, skew):
+    rng = np.random.default_rng(symbols)
+    counts = rng.zipf(skew, symbols).clip(max=10**9)
+    lengths = huffman.code_lengths(counts)
+    assert 16 < lengths.max() <= huffman.longest_for(symbols) <= huffman.MOST_BITS
+    assert sum(2.0 ** -lengths.astype(int)) == 1
+    table = huffman.decoding_table(lengths)
+    assert len(table.symbols) == 1 << huffman.LONGEST
+    rare, common = np.argsort(counts)[:2000], np.argsort(counts)[-2000:]
+    ids = [rng.permutation(np.r_[rare, common, rng.integers(0, symbols, 999)]).astype(np.uint32), np.array([0, symbols - 1], np.uint32)]
+    block = huffman.pack_block([7, None], ids, huffman.canonical_codes(lengths), lengths)
+    got = huffman.unpack_blocks([block, block], table)
+    assert [(d, [x.tolist() for x in y]) for d, y in got] == [([7, None], [x.tolist() for x in ids])] * 2
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 2**32), st.integers(1, 3000))
 def test_blocks_round_trip(seed, symbols):
