@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import small_side, whole_text, written
+from ledgerline.llm.common import BROADCAST_ROWS, small_side, whole_text, written
 from ledgerline.llm.suffix_array import repeated_places, suffix_array
 
 LENGTH = 400
@@ -41,6 +41,7 @@ BAND = 46
 SORT_BYTES = 250_000
 READ_BYTES = 1 << 19
 MOST_ITEMS = 1_500_000  # some 64 bytes each
+HOT_ROWS = 100_000
 STRETCHES = "doc_key long, anchor long, kind long, first int, last int, at int"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -196,16 +197,23 @@ WANTED = "anchor long, doc_key long, first int, last int, at int, single boolean
 
 
 def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted stretches.  ``wanted``: ``doc_key`` and its ``parts``."""
+    """The bytes of wanted stretches.  ``wanted``: ``doc_key`` and its ``parts``.
+
+    Rows that share a key have the same text: a task cuts out the first of them only.
+    """
     names = [x.split()[0] for x in WANTED.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 rows = []
                 for text, parts in zip(_bytes_of(part.column(0)), part.column(1).to_pylist()):
+                    if parts[0]["doc_key"] in done:
+                        continue
+                    done.add(parts[0]["doc_key"])
                     for p in parts:
                         rows.append((p["anchor"], p["doc_key"], p["first"], p["last"], p["at"], p["single"], text[p["first"] : p["last"] + LENGTH]))
                 columns = list(zip(*rows)) or [()] * len(names)
@@ -235,14 +243,19 @@ def _sorted_repeats(cuts: DataFrame) -> DataFrame:
     """Repeated strings of stretches, by suffix order within lots of whole groups."""
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, anchor = [], 0, None
+        held, size, anchor, seen = [], 0, None, set()
         for batch in batches:
             for row in batch.to_pylist():
                 if row["anchor"] != anchor:
-                    anchor = row["anchor"]
+                    anchor, seen = row["anchor"], set()
                     if size >= SORT_BYTES:
                         yield _repeats_of(held)
                         held, size = [], 0
+                # Tasks may have cut out the same stretch of rows with one key.
+                place = (row["doc_key"], row["first"])
+                if place in seen:
+                    continue
+                seen.add(place)
                 held.append(row)
                 size += len(row["data"]) + 1
         yield _repeats_of(held)
@@ -309,6 +322,7 @@ def _banded(cuts: DataFrame) -> DataFrame:
 
 def _banded_repeats(cuts: DataFrame) -> DataFrame:
     """Repeated strings of stretches whose anchor too many share."""
+    cuts = cuts.dropDuplicates(["anchor", "doc_key", "first"])
     bands = written(_banded(cuts), "repeat-bands")
     sizes = written(
         bands.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
@@ -354,6 +368,22 @@ def _digested_repeats(cuts: DataFrame) -> DataFrame:
     )
 
 
+def _of_kinds(every: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Stretches of the given kinds, ``anchor``, ``kind`` and their number ``n`` of rows.
+
+    Kinds that fit are broadcast.  Else those of ``HOT_ROWS`` rows and more are: there is
+    one for so many stretches at most.  What is left to a shuffle holds no hot key.
+    """
+    keys = ["anchor", "kind"]
+    if kinds.count() <= BROADCAST_ROWS:
+        return every.join(F.broadcast(kinds.select(keys)), keys, "left_semi")
+    hot = small_side(kinds.where(F.col("n") >= HOT_ROWS).select(keys))
+    rest = kinds.where(F.col("n") < HOT_ROWS).select(keys)
+    return every.join(hot, keys, "left_semi").unionByName(
+        every.join(hot, keys, "left_anti").join(rest, keys, "left_semi")
+    )
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_key``, ``first`` and ``last`` place of strings that occur more than once."""
     every = written(all_stretches(docs), "stretches")
@@ -368,7 +398,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         ),
         "repeat-kinds",
     )
-    whole = every.join(shared.where("n > 1").select("anchor", "kind"), ["anchor", "kind"])
+    whole = _of_kinds(every, shared.where("n > 1").select("anchor", "kind", "n"))
     asked = written(
         shared.where("anchor_kinds > 1")
         .groupBy("doc_key")
@@ -403,10 +433,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Returns ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary).
     """
+    # A set, made in each task first: rows that share a key bring the same spans.
     lists = (
         repeated_spans(docs)
         .groupBy("doc_key")
-        .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     )
     spans = written(lists.mapInArrow(_merged, lists.schema), "repeat-spans")
     keyed = with_key(docs).join(_small_lists(spans, "spans"), "doc_key", "left")

@@ -199,6 +199,21 @@ def test_repeats_in_odd_rows(odd, empty):
     assert repeats.without_repeats(empty).collect() == []
 
 
+@pytest.mark.parametrize("most_kinds", [512, 1])
+def test_repeats_of_one_key_and_one_kind(spark, empty, monkeypatch, most_kinds):
+    """Many rows without id share a text, many texts share a passage: each way of joining."""
+    monkeypatch.setattr(repeats, "MOST_KINDS", most_kinds)
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(repeats, "HOT_ROWS", 20)
+    same = " ".join(f"same{n}" for n in range(90))
+    rows = [(None, same)] * 40 + [(n, f"{n} {COPY[:700]} {n}") for n in range(30)]
+    rows += [(90, same[:500] + "x"), (91, NEAR), (91, NEAR)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = Counter((d, *x) for (d, _), x in zip(rows, plain_removed([t.encode() for _, t in rows], 400)))
+    got = repeats.without_repeats(docs).collect()
+    assert Counter((r[0], r[1], r[2], r[3], hashlib.sha256(r[4]).hexdigest()) for r in got) == want
+
+
 # 4: revisits
 
 
