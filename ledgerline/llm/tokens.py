@@ -17,7 +17,8 @@ import regex
 
 from ledgerline.llm.common import kept_in_worker
 
-# Pieces kept per worker in each of two tables, some 60 MB each.
+# Pieces kept per worker in each of two tables, some 60 MB each; likewise the words of
+# pieces that hold several, which are fewer.
 MOST_PIECES = 300_000
 
 # The published split of byte-level vocabularies.
@@ -92,6 +93,7 @@ class Encoder:
         self.packed = [n.to_bytes(self.width, "little") for n in range(size)]
         self.ends = {end: self._word(end) for end in PLAIN_ENDS} if self.plain else {}
         self.pieces = _Kept(self._piece)
+        self.words = _Kept(self._word)
 
     def _word(self, word: str) -> bytes:
         """Ids of what the split leaves whole."""
@@ -108,10 +110,31 @@ class Encoder:
         end = self.ends.get(piece[-1])
         if end is not None and piece[:-1].isalpha():
             return self.pieces[piece[:-1]] + end
+        # One line feed between other characters is a word of its own.
+        head, feed, tail = piece.partition("\n")
+        if feed and not (head[-1].isspace() or tail[0].isspace()):
+            return self.pieces[head] + self.words[feed] + self._line(tail)
         return self._split(" " + piece)
 
+    def _line(self, text: str) -> bytes:
+        """Ids of what begins a line, up to its first space."""
+        if text.isalpha():
+            return self.words[text]
+        end = self.ends.get(text[-1])
+        if end is not None and text[:-1].isalpha():
+            return self.words[text[:-1]] + end
+        return self._split(text)
+
     def _split(self, text: str) -> bytes:
-        return b"".join([self._word(word) for word in self.split.findall(text)])
+        """Ids of a text's words, each kept as it is or as the piece that it makes up."""
+        return b"".join(
+            [
+                self.pieces[word[1:]]
+                if word[0] == " " and word[1:].isalpha()
+                else self.words[word]
+                for word in self.split.findall(text)
+            ]
+        )
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
