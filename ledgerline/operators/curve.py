@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+from math import isnan
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +12,35 @@ BITS = 6  # a column's values fall into 64 ranges of about as many rows
 ACCURACY = 2000
 
 
-def clustered_by(frame: DataFrame, columns: tuple[str, ...]) -> list[Column]:
-    """What to sort by: the column itself, or the curve through several and then them.
+def sorted_within(
+    frame: DataFrame, first: list[str], columns: tuple[str, ...], bounds: list[list[float]]
+) -> DataFrame:
+    """Rows of each task by the columns ``first``, then by ``columns``: one by its values,
+    several along the curve through them, whose ``bounds`` are those of ``range_bounds``.
 
     The curve takes one bit of each column's range number in turn (Z order), so a file, or
     a row group of it, spans a small part of each column and a filter on any of them skips
     most.  Sorting by one column after another would serve the first one only.
+
+    A sort evaluates what it sorts by at every comparison, so the place on the curve is a
+    column of its own, made once for each row in steps and dropped again.
     """
     if len(columns) < 2:
-        return [F.col(name) for name in columns]
-    return [_curve(_ranges(frame, columns)), *[F.col(name) for name in columns]]
+        return frame.sortWithinPartitions(*first, *columns)
+    made = [_unused(frame, f"curve_{name}") for name in columns]
+    place = _unused(frame, "curve")
+    numbers = {m: _number(frame, name) for m, name in zip(made, columns)}
+    ranges = {m: _range(F.col(m), b) for m, b in zip(made, bounds)}
+    placed = frame.withColumns(numbers).withColumns(ranges)
+    placed = placed.withColumn(place, _curve([F.col(m) for m in made]))
+    return placed.sortWithinPartitions(*first, place, *columns).drop(place, *made)
+
+
+def _unused(frame: DataFrame, name: str) -> str:
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def _number(frame: DataFrame, name: str) -> Column:
@@ -41,24 +60,33 @@ def _number(frame: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: rows can't be clustered by {kind.simpleString()}")
 
 
-def _ranges(frame: DataFrame, columns: tuple[str, ...]) -> list[Column]:
-    """The range number of each column: 0 for null, then from the smallest values on.
+def range_bounds(frame: DataFrame, columns: tuple[str, ...]) -> list[list[float]]:
+    """What parts the ranges of each of several columns, in order.
 
-    One aggregate gives the bounds: ``2 ** BITS - 1`` numbers a column.
+    One aggregate gives them: ``2 ** BITS - 1`` numbers a column.
     """
+    if len(columns) < 2:
+        return [[] for _ in columns]
     parts = F.array([F.lit(n / 2**BITS) for n in range(1, 2**BITS)])
-    numbers = {name: _number(frame, name) for name in columns}
     found = frame.agg(
-        *[F.percentile_approx(n, parts, ACCURACY).alias(c) for c, n in numbers.items()]
+        *[F.percentile_approx(_number(frame, c), parts, ACCURACY).alias(c) for c in columns]
     ).head()
-    return [_range(number, found[name] or []) for name, number in numbers.items()]
+    # As Spark orders them: not-a-number behind all others.
+    order = lambda bound: (isnan(bound), bound)
+    return [sorted(set(bounds or []), key=order) for bounds in found]
 
 
 def _range(number: Column, bounds: list[float]) -> Column:
-    """How many bounds lie below a number: its place among them when sorted in."""
-    upto = F.from_json(F.lit(json.dumps(sorted(set(bounds)))), "array<double>")
-    place = F.array_position(F.sort_array(F.array_append(upto, number)), number)
-    return F.when(number.isNull(), F.lit(0).cast("bigint")).otherwise(place - 1)
+    """How many bounds lie below a number, found by halving; 0 for null."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        above = number > F.lit(bounds[middle])
+        return F.when(above, among(middle + 1, high)).otherwise(among(low, middle))
+
+    return among(0, len(bounds)).cast("bigint")
 
 
 def _curve(ranges: list[Column]) -> Column:

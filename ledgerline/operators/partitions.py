@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.operators import files
-from ledgerline.operators.curve import clustered_by
+from ledgerline.operators.curve import range_bounds, sorted_within
 
 
 @dataclass(frozen=True)
@@ -47,8 +47,8 @@ def write_days(
     if rebalance:
         laid_out = laid_out.hint("rebalance", *map(F.col, partition_columns))
     if cluster_columns:
-        order = clustered_by(frame, cluster_columns)
-        laid_out = laid_out.sortWithinPartitions(*partition_columns, *order)
+        bounds = range_bounds(frame, cluster_columns)
+        laid_out = sorted_within(laid_out, partition_columns, cluster_columns, bounds)
     counted, observation = count_on_write(laid_out, key_column)
     (
         counted.write.mode("overwrite")
