@@ -7,6 +7,8 @@ stay as they are and a repeated job gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -18,6 +20,10 @@ from ledgerline.operators import files
 from ledgerline.operators.curve import range_bounds, sorted_within
 
 
+# Files that a task has open at once: with four tasks and full row groups some 8 GB at most.
+MOST_OPEN = 16
+
+
 @dataclass(frozen=True)
 class Written:
     """What a write counted on its way, without reading the table again."""
@@ -50,16 +56,33 @@ def write_days(
         bounds = range_bounds(frame, cluster_columns)
         laid_out = sorted_within(laid_out, partition_columns, cluster_columns, bounds)
     counted, observation = count_on_write(laid_out, key_column)
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    with _open_files(frame.sparkSession, 0 if cluster_columns else MOST_OPEN):
+        (
+            counted.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(*partition_columns)
+            .parquet(path)
+        )
     return written(observation, path)
 
 
+@contextmanager
+def _open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Let a task write so many partitions side by side, rather than sort its rows by
+    partition first, which spills where they don't fit.  It sorts what goes beyond."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def count_on_write(
     frame: DataFrame, key_column: str | None
 ) -> tuple[DataFrame, Observation]:

@@ -31,32 +31,26 @@ def keep(
     values = [F.col(name) for name in rows.columns if name not in NOT_CONTENT]
     hashed = F.sum(F.xxhash64(*values).cast("decimal(38,0)"))
     keyed = rows.select("*", day.alias("state_day"))
-    per_key = keyed.groupBy("state_day", *grain).agg(
-        F.count(F.lit(1)).alias("n"), hashed.alias("content")
+    # Sums by day come apart from keys: a key is sent with its count, and nothing else.
+    counts = keyed.groupBy(F.col("state_day").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), hashed.cast("string").alias("content")
     )
-    apart = time_column is None or time_column in grain
-    if not apart:
-        key = F.to_json(F.struct(*grain), {"ignoreNullFields": "false"})
-        counts = per_key.select(F.col("state_day").alias("day"), key.alias("key"), "n")
-        counts.write.parquet(f"{path}/_keys/build={build}")
-    counted = {
-        "keys": F.count(F.lit(1)),
-        "repeated": F.count(F.when(F.col("n") > 1, 1)),
-        "most": F.max("n"),
-    }
-    (
-        per_key.groupBy(F.col("state_day").alias("day"))
-        .agg(
-            F.sum("n").alias("rows"),
-            F.sum("content").cast("string").alias("content"),
-            *[
-                (value if apart else F.lit(None)).cast("bigint").alias(name)
-                for name, value in counted.items()
-            ],
+    per_key = keyed.groupBy("state_day", *grain).agg(F.count(F.lit(1)).alias("n"))
+    names = ("keys", "repeated", "most")
+    if time_column is None or time_column in grain:
+        of_keys = per_key.groupBy(F.col("state_day").alias("key_day")).agg(
+            F.count(F.lit(1)).alias("keys"),
+            F.count(F.when(F.col("n") > 1, 1)).alias("repeated"),
+            F.max("n").alias("most"),
         )
-        .coalesce(1)
-        .write.parquet(f"{path}/_states/build={build}")
-    )
+        counts = counts.join(of_keys, F.col("day").eqNullSafe(F.col("key_day"))).drop("key_day")
+    else:
+        key = F.to_json(F.struct(*grain), {"ignoreNullFields": "false"})
+        by_key = per_key.select(F.col("state_day").alias("day"), key.alias("key"), "n")
+        by_key.write.option("compression", "zstd").parquet(f"{path}/_keys/build={build}")
+        nothing = F.lit(None).cast("bigint")
+        counts = counts.withColumns({name: nothing for name in names})
+    counts.coalesce(1).write.parquet(f"{path}/_states/build={build}")
 
 
 def _of(spark: SparkSession, path: str, kind: str, schema: str, snapshot: Snapshot) -> DataFrame:

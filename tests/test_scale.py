@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import curve, partitions
+from ledgerline.operators import curve, partitions, states
 
 D15 = date(2024, 1, 15)
 
@@ -38,3 +39,41 @@ def test_range_of_a_number_is_how_many_bounds_lie_below(spark):
         found = [r[0] for r in frame.select(curve._range(F.col("v"), bounds)).collect()]
         above = lambda v, b: v is not None and b == b and (v != v or v > b)
         assert found == [sum(above(v, b) for b in bounds) for v in values], bounds
+
+
+def test_partitions_beyond_the_open_files_are_written_too(spark, tmp_path):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name, None)
+    with partitions._open_files(spark, partitions.MOST_OPEN):
+        seen.append(spark.conf.get(name))
+    assert seen == [str(partitions.MOST_OPEN)] and spark.conf.get(name, None) == before
+    rows = spark.range(4000, numPartitions=1).selectExpr(
+        "date_add(DATE '2024-01-01', CAST(id * 7919 % 40 AS INT)) AS date", "id"
+    )
+    path = str(tmp_path / "days")
+    assert partitions.write_days(rows, path, ["date"], rebalance=False).rows == 4000
+    assert spark.read.parquet(path).select("date", "id").exceptAll(rows).isEmpty()
+    assert spark.conf.get(name, None) == before
+
+
+def test_keys_are_sent_without_the_content_of_their_rows(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(
+        [(D15, "a", 1), (D15, "a", 1), (D15, "b", 2), (None, "a", 3), (None, None, None)],
+        "day date, k string, v int",
+    )
+    plans, coalesce = [], type(rows).coalesce
+
+    def watched(frame, n):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return coalesce(frame, n)
+
+    monkeypatch.setattr(type(rows), "coalesce", watched)
+    states.keep(rows, str(tmp_path), "b", "day", ("day", "k"))
+    by_key = re.findall(r"Aggregate \[[^\]]*k#[^\]]*\].*", plans[0])
+    assert by_key and not any("xxhash64" in line for line in by_key)
+    found = spark.read.parquet(f"{tmp_path}/_states/build=b").collect()
+    assert {(r.day, r.rows, r["keys"], r.repeated, r.most) for r in found} == {
+        (D15, 3, 2, 1, 2), (None, 2, 2, 0, 1)
+    }
+    content = rows.groupBy("day").agg(F.sum(F.xxhash64("day", "k", "v").cast("decimal(38,0)")).cast("string"))
+    assert {(r.day, r.content) for r in found} == {tuple(r) for r in content.collect()}
