@@ -162,10 +162,13 @@ def append_to_lake(
 
 
 def _write_attempt(rows: DataFrame, lake: str, run_id: str, name: str) -> int:
+    # The run and its attempt are the same for all rows: they are added behind the shuffle.
+    laid_out = rows.hint("rebalance", F.col("partition_date"), F.col("kind"))
     return write_days(
-        rows.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(name)}),
+        laid_out.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(name)}),
         lake,
         ["partition_date", "run_id", "attempt", "kind"],
+        rebalance=False,
     ).rows
 
 

@@ -295,29 +295,24 @@ def fetched_paypal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of a day as one fetch gives them: numbered, with their total.
 
     Numbers count within ranges of keys, from the number of pages in the ranges before.
+    Lines are numbered before they become pages: they are a fraction of a page's bytes.
     """
-    bucket = f"order_key div {PAGES_IN_ORDER} AS page_range"
-    pages = paypal_pages(spark, sf_dir, "k AS page_key", bucket)
-    near = Window.partitionBy("landed_date", "page_range").orderBy("page_key")
-    day = Window.partitionBy("landed_date")
-    sizes = pages.groupBy("landed_date", "page_range").agg(F.count(F.lit(1)).alias("n"))
+    lines = spread_base(spark, sf_dir, "line_base").selectExpr(
+        "*", f"order_key div {PAGES_IN_ORDER} AS page_range"
+    )
+    near = Window.partitionBy("paid_on", "page_range").orderBy("k")
+    day = Window.partitionBy("paid_on")
+    sizes = lines.groupBy("paid_on", "page_range").agg(F.count(F.lit(1)).alias("n"))
     offsets = sizes.select(
-        "landed_date",
+        "paid_on",
         "page_range",
         (F.sum("n").over(day.orderBy("page_range")) - F.col("n")).alias("pages_before"),
         F.sum("n").over(day).alias("pages_in_all"),
     )
-    return (
-        pages.withColumn("near_number", F.row_number().over(near))
-        .join(offsets, ["landed_date", "page_range"])
-        .withColumns(
-            {
-                "page": F.col("pages_before") + F.col("near_number"),
-                "total_pages": F.col("pages_in_all"),
-            }
-        )
-        .drop("page_key", "page_range", "near_number", "pages_before", "pages_in_all")
+    numbered = lines.withColumn("near_number", F.row_number().over(near)).join(
+        offsets, ["paid_on", "page_range"]
     )
+    return paypal_documents(numbered, "pages_before + near_number", "pages_in_all")
 
 
 def stripe_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,13 +364,17 @@ def paypal_pages(
     spark: SparkSession, sf_dir: str, *more: str
 ) -> DataFrame:
     """A page per line: one transaction, or no list at all."""
+    return paypal_documents(spread_base(spark, sf_dir, "line_base"), "1", "1", *more)
+
+
+def paypal_documents(lines: DataFrame, page: str, total_pages: str, *more: str) -> DataFrame:
     transaction = TRANSACTION.format(initiated=INITIATED)
-    texts = spread_base(spark, sf_dir, "line_base").selectExpr(
+    texts = lines.selectExpr(
         "paid_on AS landed_date",
         *more,
         f"""to_json(named_struct(
-              'page', 1,
-              'total_pages', 1,
+              'page', {page},
+              'total_pages', {total_pages},
               'transaction_details', if(line_number = 4 AND flag = 'A', NULL,
                 array({transaction})))) AS document""",
     )

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ledgerline.operators import curve, partitions, states
+from ledgerline.workload import inputs
 
 D15 = date(2024, 1, 15)
 
@@ -41,6 +42,27 @@ def test_range_of_a_number_is_how_many_bounds_lie_below(spark):
         assert found == [sum(above(v, b) for b in bounds) for v in values], bounds
 
 
+def test_paypal_lines_are_numbered_before_they_become_pages(spark, tmp_path):
+    spark.range(60).selectExpr(
+        "id * 300 AS l_orderkey", "id + 7 AS l_partkey", "id AS l_suppkey",
+        "CAST(1 + id % 7 AS INT) AS l_linenumber", "CAST(1 + id % 50 AS DOUBLE) AS l_quantity",
+        "10.5D AS l_extendedprice", "0.0D AS l_discount", "0.05D AS l_tax",
+        "if(id % 3 = 0, 'A', 'N') AS l_returnflag", "'O' AS l_linestatus",
+        "date_add(DATE '1995-01-01', CAST(id % 4 AS INT)) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = inputs.fetched_paypal_pages(spark, str(tmp_path))
+    assert pages.columns == ["landed_date", "page", "total_pages", "transaction_details"]
+    steps = pages._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (made,) = [n for n, step in enumerate(steps) if "Generate inline" in step]
+    assert all(n > made for n, step in enumerate(steps) if "Window" in step or "Join" in step)
+    of_day = {}
+    for row in pages.collect():
+        assert row.total_pages == 15
+        of_day.setdefault(row.landed_date, []).append(row.page)
+    assert len(of_day) == 4
+    assert all(sorted(numbers) == list(range(1, 16)) for numbers in of_day.values())
+
+
 def test_partitions_beyond_the_open_files_are_written_too(spark, tmp_path):
     name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
     before = spark.conf.get(name, None)
