@@ -42,3 +42,15 @@ def test_equal_bytes_have_equal_hashes():
         assert len(hashes) == 3000 - length + 1
         assert (hashes[2000 : 2501 - length] == hashes[100 : 601 - length]).all()
         assert len(np.unique(hashes)) == len(hashes) - (501 - length)
+
+
+def test_document_keys_need_no_python_worker(spark):
+    docs = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (2, "a"), (1, "b"), (None, "a"), (None, "a"), (0, "a"), (3, None), (3, "")],
+        "doc_id int, text string",
+    )
+    keyed = repeats.with_key(docs)
+    assert "InArrow" not in keyed._jdf.queryExecution().executedPlan().toString()
+    rows = keyed.collect()
+    assert len({r.doc_key for r in rows}) == len({(r.doc_id, r.text) for r in rows}) == 6
+    assert len({(r.doc_id, r.text, r.doc_key) for r in rows}) == 6
